@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from posetide import fixtures as fx
 from posetide.functions.flags import person_filter
+from posetide.functions.numeric import rnd
 from posetide.operators import suppress as S
 from posetide.plans.flagship import FLAGSHIP_SQL, flagship, nms_sql
 from posetide.plans.registry import query
@@ -31,14 +32,14 @@ def q_nms_tie_suppress(spark, d):
 
 
 @query("box_iou_pairs", fx.with_fixtures("""
-select a.image_id, a.det_id id_a, b.det_id id_b, round(
+select a.image_id, a.det_id id_a, b.det_id id_b, cast(floor((
   greatest(0.0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0, least(a.y2, b.y2) - greatest(a.y1, b.y1))
   / ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1)
-     - greatest(0.0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0, least(a.y2, b.y2) - greatest(a.y1, b.y1))), 6) iou
+     - greatest(0.0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0, least(a.y2, b.y2) - greatest(a.y1, b.y1)))) * 1000000.0 + 0.5) / 1000000.0 as double) iou
 from fx_detections a join fx_detections b on a.image_id = b.image_id and a.det_id < b.det_id
 where least(a.x2, b.x2) > greatest(a.x1, b.x1) and least(a.y2, b.y2) > greatest(a.y1, b.y1)
 """, "fx_detections"))
 def q_box_iou_pairs(spark, d):
     """IoU (no +1) of every overlapping pair of boxes in an image."""
     p = S.overlap_pairs(fx.fx_detections(spark, d), plus_one=False)
-    return p.select("image_id", "id_a", "id_b", F.round("iou", 6).alias("iou"))
+    return p.select("image_id", "id_a", "id_b", rnd("iou").alias("iou"))
