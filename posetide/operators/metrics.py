@@ -227,9 +227,7 @@ def tag_push_pull(tags: DataFrame, image="image_id", person="person", tag="tag",
     |d| > 39 and max(0, 1-|d|) is 0 for |d| >= 1, so only nearby persons
     are paired — exact, without forming all pairs of an image."""
     vis = tags.where(_c(visible) > 0)
-    per = vis.groupBy(image, person).agg(F.avg(tag).alias("m"),
-                                          F.avg(F.pow(F.col(tag), 2)).alias("m2"))
-    per = per.withColumn("var", F.greatest(F.lit(0.0), F.col("m2") - F.col("m") * F.col("m")))
+    per = vis.groupBy(image, person).agg(F.avg(tag).alias("m"), F.var_pop(tag).alias("var"))
     width = 39.0 if kind == "exp" else 1.0
     per = per.withColumn("b", F.floor(F.col("m") / width))
     a = per.select(image, F.col(person).alias("pa"), F.col("m").alias("ma"), "b")

@@ -212,13 +212,13 @@ st as (select image_id, count(*) n, sum(var) pull_sum from pull_p group by image
 push as (select a.image_id, sum(exp(-((a.m - b.m) * (a.m - b.m)))) push_sum
   from pm a join pm b on a.image_id = b.image_id and a.person <> b.person group by a.image_id)
 select st.image_id, st.n n_persons,
-  {rnd_sql("case when st.n <= 1 then 0.0 else coalesce(push.push_sum, 0.0) / ((st.n - 1) * st.n) * 0.5 end", 5)} push,
-  {rnd_sql("st.pull_sum / st.n", 5)} pull
+  {rnd_sql("case when st.n <= 1 then 0.0 else coalesce(push.push_sum, 0.0) / ((st.n - 1) * st.n) * 0.5 end", 9)} push,
+  {rnd_sql("st.pull_sum / st.n", 9)} pull
 from st left join push on push.image_id = st.image_id""", "fx_tags").replace(")\n, vis as", "),\nvis as"))
 def q_tag_push_pull(spark, d):
     """Associative-embedding pull and push per image."""
     r = M.tag_push_pull(fx.fx_tags(spark, d))
-    return r.select("image_id", "n_persons", rnd("push", 5).alias("push"), rnd("pull", 5).alias("pull"))
+    return r.select("image_id", "n_persons", rnd("push", 9).alias("push"), rnd("pull", 9).alias("pull"))
 
 
 @query("bce", fx.with_fixtures(f"""
