@@ -174,6 +174,17 @@ def fx_ann_keypoints(spark, d):
                     ((F.col("l_partkey") + k) % 3).cast("double").alias("v")))
 
 
+def fx_ann_arrays(spark, d):
+    """The same 23 source keypoints as arrays (the annotation JSON layout)."""
+    li = table(spark, d, "lineitem")
+    ks = F.sequence(F.lit(0), F.lit(22))
+    return li.select(
+        F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
+        F.transform(ks, lambda k: ((F.col("l_partkey") % 300) + (F.col("l_partkey") + k * 7) % 40).cast("double")).alias("kx"),
+        F.transform(ks, lambda k: ((F.col("l_suppkey") * 3) + (F.col("l_suppkey") + k * 11) % 60).cast("double")).alias("ky"),
+        F.transform(ks, lambda k: ((F.col("l_partkey") + k) % 3).cast("double")).alias("kv"))
+
+
 def fx_poses(spark, d, num_joints: int = 17):
     """One pose per lineitem: joint arrays kx, ky, kv plus score and area."""
     li = table(spark, d, "lineitem")
