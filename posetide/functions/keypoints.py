@@ -143,8 +143,9 @@ def uniform_draw(key, epoch, salt: int, seed: int = 0) -> Column:
 
 
 def uniform_draw_sql(key: str, epoch: str, salt: int, seed: int = 0) -> str:
-    return (f"((((({key}) % {MODULUS} + {MODULUS}) % {MODULUS}) * 48271 + ({epoch}) * 69621 + {salt * 40692 + seed})"
-            f" % {MODULUS}) / {float(MODULUS)}")
+    # cast before dividing: integer / decimal literal stays DECIMAL in DuckDB
+    return (f"cast((((({key}) % {MODULUS} + {MODULUS}) % {MODULUS}) * 48271 + ({epoch}) * 69621 + {salt * 40692 + seed})"
+            f" % {MODULUS} as double) / cast({MODULUS} as double)")
 
 
 def augment_draw(key, epoch, n_visible, seed: int = 0, half_body_prob=0.3, num_joints_half_body=15,

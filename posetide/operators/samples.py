@@ -100,10 +100,15 @@ def assemble_samples(prep: DataFrame, epoch: int = 0, train: bool = True, seed:
               .withColumn("rotation", F.col("d_rotation"))
               .withColumn("flipped", F.col("d_flip")))
         f = K.flip_joints("jx", "jy", "jv", "width")
-        p = (p.withColumn("jx", F.when(F.col("flipped"), f["jx"]).otherwise(F.col("jx")))
-              .withColumn("jy", F.when(F.col("flipped"), f["jy"]).otherwise(F.col("jy")))
-              .withColumn("jv", F.when(F.col("flipped"), f["jv"]).otherwise(F.col("jv")))
-              .withColumn("center_x", F.when(F.col("flipped"), F.col("width") - F.col("center_x") - 1)
+        # new arrays under temporary names, then swap in: every lambda reads
+        # the pre-flip arrays
+        fl = F.col("flipped")
+        p = (p.select("*", F.when(fl, f["jx"]).otherwise(F.col("jx")).alias("_fx"),
+                      F.when(fl, f["jy"]).otherwise(F.col("jy")).alias("_fy"),
+                      F.when(fl, f["jv"]).otherwise(F.col("jv")).alias("_fv"))
+              .drop("jx", "jy", "jv")
+              .withColumnsRenamed({"_fx": "jx", "_fy": "jy", "_fv": "jv"})
+              .withColumn("center_x", F.when(fl, F.col("width") - F.col("center_x") - 1)
                           .otherwise(F.col("center_x"))))
     else:
         p = p.withColumn("rotation", F.lit(0.0)).withColumn("flipped", F.lit(False))
@@ -111,7 +116,8 @@ def assemble_samples(prep: DataFrame, epoch: int = 0, train: bool = True, seed:
                         F.lit(float(image_wh[1])))
     p = p.select("*", *[v.alias(k) for k, v in m.items()])
     t = K.apply_affine("jx", "jy", "jv", {k: F.col(k) for k in m})
-    p = p.withColumn("jx", t["jx"]).withColumn("jy", t["jy"])
+    p = (p.select("*", t["jx"].alias("_tx"), t["jy"].alias("_ty")).drop("jx", "jy")
+          .withColumnsRenamed({"_tx": "jx", "_ty": "jy"}))
     inside = F.transform(F.arrays_zip("jx", "jy", "jv"), lambda z: F.when(
         (z["jv"] > 0) & (z["jx"] >= -9 * 4) & (z["jy"] >= -9 * 4)
         & (z["jx"] < image_wh[0] + 9 * 4) & (z["jy"] < image_wh[1] + 9 * 4), 1).otherwise(0))

@@ -91,8 +91,8 @@ mm as (select image_id, ann_id, k * cos(th) m00, k * sin(th) m01, -k * sin(th) m
   192.0 * 0.5 - (k * cos(th) * cx + k * sin(th) * cy) m02, 256.0 * 0.5 - (-k * sin(th) * cx + k * cos(th) * cy) m12 from m)
 select mm.image_id, mm.ann_id, {rnd_sql("m00")} m00, {rnd_sql("m01")} m01, {rnd_sql("m02", 4)} m02,
   {rnd_sql("m10")} m10, {rnd_sql("m11")} m11, {rnd_sql("m12", 4)} m12,
-  {rnd_sql("sum(case when j.vis > 0 then m00 * j.x + m01 * j.y + m02 else j.x end)", 2)} sum_x,
-  {rnd_sql("sum(case when j.vis > 0 then m10 * j.x + m11 * j.y + m12 else j.y end)", 2)} sum_y
+  sum(cast(floor((case when j.vis > 0 then m00 * j.x + m01 * j.y + m02 else j.x end) * 10000.0 + 0.5) as bigint)) sum_x_e4,
+  sum(cast(floor((case when j.vis > 0 then m10 * j.x + m11 * j.y + m12 else j.y end) * 10000.0 + 0.5) as bigint)) sum_y_e4
 from mm join j25 j on j.image_id = mm.image_id and j.ann_id = mm.ann_id
 group by mm.image_id, mm.ann_id, m00, m01, m02, m10, m11, m12"""))
 def q_affine_points(spark, d):
@@ -103,10 +103,15 @@ def q_affine_points(spark, d):
     m = K.affine_matrix("center_x", "center_y", "scale_x", rot, F.lit(192.0), F.lit(256.0))
     p = p.select("image_id", "ann_id", "jx", "jy", "jv", *[v.alias(k) for k, v in m.items()])
     t = K.apply_affine("jx", "jy", "jv", {k: F.col(k) for k in m})
-    s = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)
+    # quantise each coordinate to 1e-4 and sum integers: exact in any order
+    s = lambda a: F.aggregate(a, F.lit(0).cast("long"),
+                              lambda acc, v: acc + F.floor(v * 10000.0 + 0.5).cast("long"))
+    # sums first: a lambda reading m02 must not see a same-named alias of
+    # the same select list (lateral column alias resolution)
+    p = p.select("*", s(t["jx"]).alias("sum_x_e4"), s(t["jy"]).alias("sum_y_e4"))
     return p.select("image_id", "ann_id", rnd("m00").alias("m00"), rnd("m01").alias("m01"), rnd("m02", 4).alias("m02"),
                     rnd("m10").alias("m10"), rnd("m11").alias("m11"), rnd("m12", 4).alias("m12"),
-                    rnd(s(t["jx"]), 2).alias("sum_x"), rnd(s(t["jy"]), 2).alias("sum_y"))
+                    "sum_x_e4", "sum_y_e4")
 
 
 @query("warp_matrix_udp", _sql(_cs_sql() + f"""
