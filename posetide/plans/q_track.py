@@ -82,11 +82,11 @@ def q_one_euro(spark, d):
 
 @query("video_summary", fx.with_fixtures(f"""
 , pf as (select video_id, frame_idx, count(*) n, min(ts) t from fx_frame_boxes group by video_id, frame_idx),
-s as (select video_id, count(*) n_frames, sum(n) n_poses, (epoch_us(max(t)) - epoch_us(min(t))) / 1e6 seconds
+s as (select video_id, count(*) n_frames, sum(n) n_poses, (epoch_us(max(t)) - epoch_us(min(t))) / 1e6 secs
   from pf group by video_id)
 select video_id, n_frames, cast(n_poses as bigint) n_poses, {rnd_sql("n_poses / n_frames")} poses_per_frame,
-  case when seconds > 0 then {rnd_sql("n_frames / seconds", 9)} end fps,
-  case when seconds > 0 then {rnd_sql("(n_frames / seconds) / (n_poses / n_frames)", 9)} end fps_per_pose
+  case when secs > 0 then {rnd_sql("n_frames / secs", 9)} end fps,
+  case when secs > 0 then {rnd_sql("(n_frames / secs) / (n_poses / n_frames)", 9)} end fps_per_pose
 from s""", "fx_frame_boxes").replace(")\n, pf as", "),\npf as"))
 def q_video_summary(spark, d):
     """H9: frames, poses, poses per frame and event-time fps per video."""
