@@ -109,10 +109,32 @@ def _collapse_copies(boxes: DataFrame, key: str, id_col: str, score_col: str):
     tagged = boxes.join(leaders, [key, *coords])
     return tagged
 
+SMALL_GROUP = 256  # keys with at most this many candidates fold in one pass
+
+
+def split_by_group_size(df: DataFrame, key: str, cap: int = SMALL_GROUP):
+    """Tag rows with their key's size (partial aggregate + join, co-partitioned
+    by key) and split into bounded groups, folded in one pass, and large
+    groups, which take the distributed pair-graph path. Both are exact."""
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    tagged = cut_lineage(df.join(n, key))
+    return (tagged.where(F.col("_n") <= cap).drop("_n"), tagged.where(F.col("_n") > cap).drop("_n"))
+
+
+def _fold_greedy(small: DataFrame, key: str, id_col: str, score_col: str, fields: list[str], suppresses) -> DataFrame:
+    """Greedy NMS of bounded groups: sort each group's candidates by
+    (score desc, id) and fold, keeping a candidate unless a kept one
+    suppresses it. ``suppresses(kept, cand)`` builds the boolean Column."""
+    item = F.struct((-F.col(score_col)).alias("ns"), F.col(id_col).alias("id"), *[F.col(f) for f in fields])
+    g = small.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("bs"))
+    kept = F.aggregate("bs", F.slice("bs", 1, 0), lambda acc, b: F.when(
+        F.exists(acc, lambda k: suppresses(k, b)), acc).otherwise(F.concat(acc, F.array(b))))
+    return g.select(key, F.explode(kept).alias("b")).select(key, F.col("b.id").alias("id"))
+
 
 def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "image_id",
             id_col: str = "det_id", score_col: str = "score", plus_one: bool = True,
-            cell: float = 64.0, collapse_copies: bool = True) -> DataFrame:
+            cell: float = 64.0, collapse_copies: bool = True, small_group: int = SMALL_GROUP) -> DataFrame:
     """Greedy box NMS per ``key``; returns the kept rows of ``dets``.
 
     tie="keep"     suppress when overlap > thr (G1 numpy and G3 GPU form)
@@ -123,6 +145,24 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
     if thr < 0 or (tie == "suppress" and thr <= 0):
         raise ValueError("threshold must make non-overlapping boxes compatible")
     base = dets.select(key, id_col, score_col, "x1", "y1", "x2", "y2")
+    small, big = split_by_group_size(base, key, small_group)
+
+    def over(k, b):
+        o = iou({c: k[c] for c in ("x1", "y1", "x2", "y2")}, {c: b[c] for c in ("x1", "y1", "x2", "y2")}, plus_one)
+        return (o > thr) if tie == "keep" else (o >= thr)
+    kept_small = _fold_greedy(small, key, id_col, score_col, ["x1", "y1", "x2", "y2"], over)
+    if big.isEmpty():
+        kept = kept_small
+    else:
+        kept = kept_small.unionByName(_box_nms_graph(big, thr, tie, key, id_col, score_col, plus_one, cell,
+                                                     collapse_copies))
+    return dets.join(kept.withColumnRenamed("id", id_col), [key, id_col], "left_semi")
+
+
+def _box_nms_graph(base: DataFrame, thr: float, tie: str, key: str, id_col: str, score_col: str,
+                   plus_one: bool, cell: float, collapse_copies: bool) -> DataFrame:
+    """Large groups: collapse exact copies, grid-join overlapping pairs,
+    resolve the greedy order round by round. Returns (key, id) kept."""
     copies_drop = thr < 1.0 if tie == "keep" else thr <= 1.0
     if collapse_copies and copies_drop:
         tagged = _collapse_copies(base, key, id_col, score_col)
@@ -139,8 +179,7 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
     a_first = _before(F.col("sa"), F.col("id_a"), F.col("sb"), F.col("id_b"))
     edges = p.select(key, F.when(a_first, F.col("id_a")).otherwise(F.col("id_b")).alias("src"),
                      F.when(a_first, F.col("id_b")).otherwise(F.col("id_a")).alias("dst"))
-    kept = resolve_greedy(cand.select(key, F.col(id_col).alias("id")), edges, key)
-    return dets.join(kept.withColumnRenamed("id", id_col), [key, id_col], "left_semi")
+    return resolve_greedy(cand.select(key, F.col(id_col).alias("id")), edges, key)
 
 
 # ---------------------------------------------------------------------------
@@ -208,10 +247,11 @@ def oks_pairs(poses: DataFrame, thr: float, key: str = "image_id", id_col: str =
     p = poses.select(key, F.col(id_col).alias("id"), F.col(score_col).alias("score"),
                      F.col("area").cast("double").alias("area"), "kx", "ky", "kv")
     cand = _oks_candidates(p, key, thr, sigmas, cell)
-    a = p.select(key, *[F.col(c).alias(f"a_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
-    b = p.select(key, *[F.col(c).alias(f"b_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
-    j = (cand.join(a, (cand[key] == a[key]) & (cand.id_a == a.a_id))
-         .drop(a[key]).join(b, (cand[key] == b[key]) & (cand.id_b == b.b_id)).drop(b[key]))
+    a = p.select(F.col(key), *[F.col(c).alias(f"a_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
+    b = p.select(F.col(key), *[F.col(c).alias(f"b_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
+    j = (cand.join(a.withColumnRenamed("a_id", "id_a"), [key, "id_a"])
+             .join(b.withColumnRenamed("b_id", "id_b"), [key, "id_b"])
+             .withColumn("a_id", F.col("id_a")).withColumn("b_id", F.col("id_b")))
     a_first = _before(F.col("a_score"), F.col("a_id"), F.col("b_score"), F.col("b_id"))
 
     def pick(c):
@@ -219,7 +259,7 @@ def oks_pairs(poses: DataFrame, thr: float, key: str = "image_id", id_col: str =
 
     def other(c):
         return F.when(a_first, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}"))
-    return j.select(cand[key].alias(key), pick("id").alias("src"), other("id").alias("dst"),
+    return j.select(key, pick("id").alias("src"), other("id").alias("dst"),
                     oks_expr(pick("kx"), pick("ky"), other("kx"), other("ky"), other("kv"),
                              pick("area"), other("area"), sigmas, vis_thr).alias("oks"))
 
@@ -234,15 +274,24 @@ def pose_score(df: DataFrame, score_per_joint: bool = False, score_col: str = "s
 
 
 def oks_nms(poses: DataFrame, thr: float = 0.9, key: str = "image_id", id_col: str = "pose_id",
-            sigmas=None, vis_thr=None, score_per_joint: bool = False, cell: float = 64.0) -> DataFrame:
+            sigmas=None, vis_thr=None, score_per_joint: bool = False, cell: float = 64.0,
+            small_group: int = SMALL_GROUP) -> DataFrame:
     """Greedy OKS NMS; keeps a pose unless an earlier kept pose has
     OKS > thr with it. Same pair-graph resolution as ``box_nms``."""
     if not 0.0 < thr < 1.0:
         raise ValueError("OKS threshold must be in (0, 1)")
+    sigmas = sigmas or OKS_SIGMAS
     poses = pose_score(poses, score_per_joint)
-    pairs = oks_pairs(poses, thr, key, id_col, sigmas, vis_thr, cell)
-    edges = pairs.where(F.col("oks") > thr).select(key, "src", "dst")
-    kept = resolve_greedy(poses.select(key, F.col(id_col).alias("id")), edges, key)
+    base = poses.select(key, id_col, "score", F.col("area").cast("double").alias("area"), "kx", "ky", "kv")
+    small, big = split_by_group_size(base, key, small_group)
+
+    def over(k, b):
+        return oks_expr(k["kx"], k["ky"], b["kx"], b["ky"], b["kv"], k["area"], b["area"], sigmas, vis_thr) > thr
+    kept = _fold_greedy(small, key, id_col, "score", ["area", "kx", "ky", "kv"], over)
+    if not big.isEmpty():
+        pairs = oks_pairs(big, thr, key, id_col, sigmas, vis_thr, cell)
+        edges = pairs.where(F.col("oks") > thr).select(key, "src", "dst")
+        kept = kept.unionByName(resolve_greedy(big.select(key, F.col(id_col).alias("id")), edges, key))
     return poses.join(kept.withColumnRenamed("id", id_col), [key, id_col], "left_semi")
 
 
@@ -255,9 +304,47 @@ def rescore(overlap: Column, score: Column, thr: float, kind: str = "gaussian")
     raise ValueError("kind must be 'gaussian' or 'linear'")
 
 
+def soft_oks_nms_local(kx, ky, kv, area, score, ids, thr, max_dets, sigmas, vis_thr=None, kind="gaussian"):
+    """Soft OKS NMS of one bounded group in numpy: returns (id, rank, score)
+    of the picks. Same order rule as the distributed rounds: best current
+    score, ties to the smaller id."""
+    import numpy as np
+    var = (2.0 * np.asarray(sigmas)) ** 2
+    kx, ky, kv = (np.asarray(a, dtype=np.float64) for a in (kx, ky, kv))
+    area = np.asarray(area, dtype=np.float64)
+    cur = np.asarray(score, dtype=np.float64).copy()
+    ids = np.asarray(ids)
+    alive = np.ones(len(ids), dtype=bool)
+    out = []
+    K = len(sigmas)
+    for rank in range(1, max_dets + 1):
+        if not alive.any():
+            break
+        cand = np.flatnonzero(alive)
+        best = cand[np.lexsort((ids[cand], -cur[cand]))[0]]
+        out.append((ids[best], rank, cur[best]))
+        alive[best] = False
+        rest = np.flatnonzero(alive)
+        if len(rest) == 0:
+            continue
+        d2 = (kx[rest, :K] - kx[best, :K]) ** 2 + (ky[rest, :K] - ky[best, :K]) ** 2
+        e = d2 / var / ((area[best] + area[rest])[:, None] / 2.0 + np.finfo(np.float64).eps) / 2.0
+        if vis_thr is not None:
+            m = kv[rest, :K] > vis_thr
+            cnt = m.sum(1)
+            o = np.where(cnt > 0, (np.exp(-e) * m).sum(1) / np.maximum(cnt, 1), 0.0)
+        else:
+            o = np.exp(-e).mean(1)
+        if kind == "gaussian":
+            cur[rest] = cur[rest] * np.exp(-(o * o) / thr)
+        else:
+            cur[rest] = np.where(o >= thr, cur[rest] * (1 - o), cur[rest])
+    return out
+
+
 def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: str = "image_id",
                  id_col: str = "pose_id", sigmas=None, vis_thr=None, score_per_joint: bool = False,
-                 kind: str = "gaussian") -> DataFrame:
+                 kind: str = "gaussian", small_group: int = SMALL_GROUP) -> DataFrame:
     """Soft OKS NMS — pick the best remaining pose per key, re-score all
     remaining poses of that key by their OKS with it, repeat up to
     ``max_dets`` times (the cap is the operator's feature).
@@ -270,7 +357,29 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
     poses = pose_score(poses, score_per_joint)
     cols = [key, F.col(id_col).alias("id"), F.col("score").alias("cur"),
             F.col("area").cast("double").alias("area"), "kx", "ky", "kv"]
-    remaining = cut_lineage(poses.select(*cols))
+    small, big = split_by_group_size(poses.select(*cols), key, small_group)
+    key_type = dict(poses.dtypes)[key]
+    id_type = dict(poses.dtypes)[id_col]
+
+    # bounded groups (<= small_group rows): one row per key holding its
+    # candidates, walked with numpy inside an Arrow batch
+    packed = small.groupBy(key).agg(F.collect_list(F.struct("id", "cur", "area", "kx", "ky", "kv")).alias("g"))
+
+    def local(it):
+        import pandas as pd
+        for pdf in it:
+            rows = []
+            for k, g in zip(pdf[key], pdf["g"]):
+                ids = [r["id"] for r in g]
+                picks = soft_oks_nms_local([r["kx"] for r in g], [r["ky"] for r in g], [r["kv"] for r in g],
+                                           [r["area"] for r in g], [r["cur"] for r in g], ids,
+                                           thr, max_dets, sigmas, vis_thr, kind)
+                rows.extend((k, int(i), int(r), float(sc)) for i, r, sc in picks)
+            yield pd.DataFrame(rows, columns=[key, id_col, "rank", "score"])
+    out_small = packed.mapInPandas(local, f"{key} {key_type}, {id_col} {id_type}, rank int, score double")
+    if big.isEmpty():
+        return out_small
+    remaining = cut_lineage(big)
     picks: list[DataFrame] = []
     for rnd in range(max_dets):
         if remaining.isEmpty():
@@ -288,9 +397,8 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
         remaining = cut_lineage(rest.join(g, [key])
                                 .withColumn("cur", rescore(o, F.col("cur"), thr, kind))
                                 .drop("gx", "gy", "ga"))
-    if not picks:
-        return poses.limit(0)
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    return out.select(key, F.col("id").alias(id_col), "rank", F.col("cur").alias("score"))
+    out = out_small
+    for p in picks:
+        out = out.unionByName(p.select(key, F.col("id").alias(id_col), F.col("rank").cast("int").alias("rank"),
+                                       F.col("cur").alias("score")))
+    return out
