@@ -127,10 +127,7 @@ _PART_JOINTS = ", ".join(f"('{p}', {j}, {bl}, {bt}, {br}, {bb})"
                          for p, lo, hi, bl, bt, br, bb in PART_SPEC for j in range(lo, hi))
 
 
-def part_joint_dim(spark):
-    """(part, joint, divisors) — one row per joint of each part (45 rows)."""
-    rows = [(p, j, bl, bt, br, bb) for p, lo, hi, bl, bt, br, bb in PART_SPEC for j in range(lo, hi)]
-    return spark.createDataFrame(rows, "part string, joint int, bl int, bt int, br int, bb int")
+from posetide.schema import part_joint_dim  # noqa: E402
 
 
 @query("part_crop_box", fx.with_fixtures(f"""

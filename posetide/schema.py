@@ -144,6 +144,13 @@ def part_spec_dim(spark: SparkSession) -> DataFrame:
         PART_SPEC, "part string, kp_from int, kp_to int, bl int, bt int, br int, bb int")
 
 
+def part_joint_dim(spark: SparkSession) -> DataFrame:
+    """(part, joint, divisors): one row per joint of each part (45 rows), so
+    joint-range membership is an equi-join."""
+    rows = [(p, j, bl, bt, br, bb) for p, lo, hi, bl, bt, br, bb in PART_SPEC for j in range(lo, hi)]
+    return spark.createDataFrame(rows, "part string, joint int, bl int, bt int, br int, bb int")
+
+
 def category_part_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CATEGORY_PARTS, "category_id int, part string")
 
