@@ -17,12 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lineitem_key() -> Column:
-    # unique per lineitem row: (partkey, suppkey, linenumber) within an order
-    return ((F.col("l_partkey") * 1000003 + F.col("l_suppkey")) * 8
-            + F.col("l_linenumber")).cast("long")
+    # unique per lineitem row within an order: (partkey, suppkey, linenumber,
+    # quantity) — the smoke tables repeat (order, line, part, supplier) once
+    return (((F.col("l_partkey") * 1000003 + F.col("l_suppkey")) * 8 + F.col("l_linenumber")) * 64
+            + F.col("l_quantity").cast("long") % 64).cast("long")
 
 
-LINEITEM_KEY_SQL = "((l_partkey * 1000003 + l_suppkey) * 8 + l_linenumber)"
+LINEITEM_KEY_SQL = "(((l_partkey * 1000003 + l_suppkey) * 8 + l_linenumber) * 64 + cast(l_quantity as bigint) % 64)"
 
 # ---------------------------------------------------------------------------
 # Spark builders
