@@ -117,7 +117,7 @@ def video_poses(frames: DataFrame, url_col: str, fetcher=local_then_http, detect
                                        fetcher, detector))
     sizes = dets.groupBy("video_id").agg(F.max("img_w").alias("img_w"), F.max("img_h").alias("img_h"))
     tracks = T.track_boxes(dets, frames.select("video_id", "frame_idx"), max_age=step,
-                           min_hits=3 if step == 1 else 1)
+                           min_hits=3 if step == 1 else 1, order_by=["det_idx"])
     sized = (tracks.join(sizes, "video_id")
              .join(frames.select("video_id", "frame_idx", url_col), ["video_id", "frame_idx"]))
     rp = C.round_pad_clip("x1", "y1", "x2", "y2", "img_w", "img_h")

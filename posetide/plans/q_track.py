@@ -29,7 +29,7 @@ def _tracked(spark, d, cadence: bool):
         b = T.detect_cadence(b, STEP).where("run_detector")
     max_age = STEP if cadence else 1
     min_hits = 1 if cadence else 3
-    return T.track_boxes(b, frames, max_age=max_age, min_hits=min_hits, iou_threshold=0.3)
+    return T.track_boxes(b, frames, max_age=max_age, min_hits=min_hits, iou_threshold=0.3, order_by=["obj"])
 
 
 def _track_out(t):

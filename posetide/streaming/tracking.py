@@ -51,11 +51,12 @@ def _load(s: str) -> tuple[T.SortState, int, int]:
     return st, d["last_frame"], d["late"]
 
 
-def track_stream(dets: DataFrame, max_age: int = 1, min_hits: int = 3, iou_threshold: float = 0.3) -> DataFrame:
+def track_stream(dets: DataFrame, max_age: int = 1, min_hits: int = 3, iou_threshold: float = 0.3,
+                 order_col: str | None = None) -> DataFrame:
     """H2 streaming: input rows video_id, frame_idx, x1, y1, x2, y2, score
-    (null box = frame marker). Output as the batch ``track_boxes`` plus the
-    running count of late frames for the video."""
-    cols = ["video_id", "frame_idx", "x1", "y1", "x2", "y2", "score"]
+    (null box = frame marker) and an optional detector-order column. Output
+    as the batch ``track_boxes`` plus the running count of late frames."""
+    cols = ["video_id", "frame_idx", "x1", "y1", "x2", "y2", "score"] + ([order_col] if order_col else [])
     names = [c.split()[0] for c in TRACK_OUT.split(", ")]
 
     def step(key, pdfs, state):
@@ -68,6 +69,8 @@ def track_stream(dets: DataFrame, max_age: int = 1, min_hits: int = 3, iou_thres
         rows = []
         for f, g in sorted(pdf.groupby("frame_idx"), key=lambda kv: kv[0]):
             f = int(f)
+            g = g.sort_values(order_col) if order_col else g.sort_values(
+                ["score", "x1", "y1", "x2", "y2"], ascending=[False, True, True, True, True])
             if f <= last:
                 late += 1
                 continue
