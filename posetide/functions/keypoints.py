@@ -74,6 +74,20 @@ def flip_joints(jx, jy, jv, width) -> dict[str, Column]:
     }
 
 
+def fliplr_regression(jx, jy, mode: str = "static", center_x: float = 0.5, center_index: int = 0,
+                      num_joints: int = NUM_JOINTS) -> dict[str, Column]:
+    """I4: mirror regression outputs about x = center_x ("static") or about
+    the root joint's x ("root"), swapping left/right joints."""
+    jx, jy = _c(jx), _c(jy)
+    perm = _lit_array(flip_permutation(num_joints))
+    xc = F.lit(center_x) if mode == "static" else _get(jx, F.lit(center_index))
+    if mode not in ("static", "root"):
+        raise ValueError("mode must be 'static' or 'root'")
+    js = F.sequence(F.lit(0), F.size(jx) - 1)
+    return {"jx": F.transform(js, lambda j: xc * 2 - _get(jx, _get(perm, j))),
+            "jy": F.transform(js, lambda j: _get(jy, _get(perm, j)))}
+
+
 def affine_matrix(center_x, center_y, scale_x, rot_deg, out_w, out_h, shift_x=0.0, shift_y=0.0,
                   inv: bool = False, unit: float = PIXEL_STD_UNIT) -> dict[str, Column]:
     """The 2x3 affine matrix that maps the box (centre, scale * unit

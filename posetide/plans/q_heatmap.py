@@ -228,3 +228,28 @@ def q_heatmap_combined_decode(spark, d):
         F.reverse("hm").alias("off_x"), F.transform("hm", lambda v: -v).alias("off_y"))
     r = OH.decode_combined(h, kernel=3, h=8, w=8)
     return r.select("person_id", "joint", rnd("px", 4).alias("px"), rnd("py", 4).alias("py"), rnd("maxval").alias("maxval"))
+
+
+@query("tag_grouping")
+def q_tag_grouping(spark, d):
+    """F13 + F14: top-30 peaks per (image, joint) grouped into people by
+    their tags (7 joint types per image in this table)."""
+    from posetide.operators.bottomup import group_people
+    g = group_people(fx.fx_peaks(spark, d), num_joints=7, m=30)
+    return g.select("image_id", "person", "joint", "x", "y", "val", rnd("tag", 4).alias("tag"),
+                    rnd("person_score").alias("person_score"))
+
+
+@query("bottom_up_parse")
+def q_bottom_up_parse(spark, d):
+    """Bottom-up parse of per-image maps (10 joints of 8 x 8 per
+    image built from the embeddings: heatmap = vector + 0.5, tag map = 3 x
+    the reversed vector): peak NMS, top-M, grouping, adjust, refine."""
+    from posetide.operators.bottomup import parse_bottom_up
+    e = fx.table(spark, d, "embeddings")
+    maps = e.select((F.col("vec_id") / 10).cast("long").alias("image_id"), (F.col("vec_id") % 10).cast("int").alias("joint"),
+                    F.transform("embedding", lambda v: v.cast("double") + 0.5).alias("hm"),
+                    F.transform(F.reverse("embedding"), lambda v: v.cast("double") * 3).alias("tag"))
+    p = parse_bottom_up(maps, num_joints=10, h=8, w=8, m=5, detection_threshold=0.1, tag_threshold=1.0)
+    return p.select("image_id", "person", "joint", rnd("x", 4).alias("x"), rnd("y", 4).alias("y"),
+                    rnd("val", 6).alias("val"), rnd("person_score").alias("person_score"))

@@ -233,3 +233,29 @@ def q_sample_assembly(spark, d):
         "image_id", "ann_id", rnd("center_x").alias("center_x"), rnd("center_y").alias("center_y"),
         rnd("scale_x").alias("scale_x"), rnd("scale_y").alias("scale_y"), rnd("rotation").alias("rotation"),
         "flipped", "n_weighted")
+
+
+_FLIP25 = ", ".join(f"({j}, {f})" for j, f in enumerate(__import__("posetide.schema", fromlist=["x"]).flip_permutation(25)))
+
+
+@query("flip_regression", fx.with_fixtures(f"""
+, fl as (select * from (values {_FLIP25}) t(joint, partner)),
+root as (select sample_id, pred_x / 192.0 rx from fx_pose_pairs where joint = 14)
+select p.sample_id, f.joint, {rnd_sql("2 * 0.5 - q.pred_x / 192.0")} sx, {rnd_sql("2 * r.rx - q.pred_x / 192.0")} rx,
+  {rnd_sql("q.pred_y / 256.0")} y
+from fx_pose_pairs p join fl f on f.joint = p.joint
+join fx_pose_pairs q on q.sample_id = p.sample_id and q.joint = f.partner
+join root r on r.sample_id = p.sample_id""", "fx_pose_pairs").replace(")\n, fl as", "),\nfl as"))
+def q_flip_regression(spark, d):
+    """I4: regression outputs (pred / input size) mirrored about x = 0.5
+    (static) and about the hip joint 14 (root)."""
+    p = fx.fx_pose_pairs(spark, d)
+    arr = (p.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("joint", "pred_x", "pred_y"))).alias("a"))
+           .select("sample_id", F.transform("a", lambda s: s["pred_x"] / 192.0).alias("jx"),
+                   F.transform("a", lambda s: s["pred_y"] / 256.0).alias("jy")))
+    st = K.fliplr_regression("jx", "jy", "static", 0.5)
+    rt = K.fliplr_regression("jx", "jy", "root", center_index=14)
+    z = arr.select("sample_id", F.posexplode(F.arrays_zip(st["jx"].alias("sx"), rt["jx"].alias("rx"),
+                                                          st["jy"].alias("y"))).alias("joint", "z"))
+    return z.select("sample_id", F.col("joint").cast("int").alias("joint"), rnd("z.sx").alias("sx"),
+                    rnd("z.rx").alias("rx"), rnd("z.y").alias("y"))
