@@ -40,37 +40,47 @@ def src_of_slot() -> list[int]:
 def reorder_annotation(kx, ky, kv) -> dict[str, Column]:
     """I1 + I2: 23 source keypoints (17 body + 6 foot) -> 25 slots; neck (5)
     and hip (14) are the midpoints of slots 6/7 and 12/13 with the smaller
-    visibility; visibility clipped to 0/1 and truncated to int."""
+    visibility; visibility clipped to 0/1 and truncated to int. Unrolled
+    over the fixed 25 slots (plain element access, whole-stage codegen)."""
     kx, ky, kv = map(_c, (kx, ky, kv))
-    m = _lit_array(src_of_slot())
-    js = F.sequence(F.lit(0), F.lit(NUM_JOINTS - 1))
+    src = src_of_slot()
 
-    def raw(arr, j):
-        return _get(arr, _get(m, j))
+    def raw(arr, slot):
+        return F.element_at(arr, src[slot] + 1)
 
-    def vis(j):
-        return F.least(F.greatest(raw(kv, j), F.lit(0.0)), F.lit(1.0)).cast("int")
+    def vis(slot):
+        return F.least(F.greatest(raw(kv, slot), F.lit(0.0)), F.lit(1.0)).cast("int")
 
-    def coord(arr):
-        return F.transform(js, lambda j: F.when(j == 5, (raw(arr, F.lit(6)) + raw(arr, F.lit(7))) / 2)
-                           .when(j == 14, (raw(arr, F.lit(12)) + raw(arr, F.lit(13))) / 2)
-                           .otherwise(raw(arr, j)))
-    jv = F.transform(js, lambda j: F.when(j == 5, F.least(vis(F.lit(6)), vis(F.lit(7))))
-                     .when(j == 14, F.least(vis(F.lit(12)), vis(F.lit(13))))
-                     .otherwise(vis(j)))
-    return {"jx": coord(kx), "jy": coord(ky), "jv": jv}
+    def coord(arr, j):
+        if j == 5:
+            return (raw(arr, 6) + raw(arr, 7)) / 2
+        if j == 14:
+            return (raw(arr, 12) + raw(arr, 13)) / 2
+        return raw(arr, j)
 
+    def v(j):
+        if j == 5:
+            return F.least(vis(6), vis(7))
+        if j == 14:
+            return F.least(vis(12), vis(13))
+        return vis(j)
+    return {"jx": F.array(*[coord(kx, j) for j in range(NUM_JOINTS)]),
+            "jy": F.array(*[coord(ky, j) for j in range(NUM_JOINTS)]),
+            "jv": F.array(*[v(j) for j in range(NUM_JOINTS)])}
 
-def flip_joints(jx, jy, jv, width) -> dict[str, Column]:
+
+def flip_joints(jx, jy, jv, width, num_joints: int = NUM_JOINTS) -> dict[str, Column]:
     """Mirror x -> W - 1 - x, swap left/right joints, multiply the
-    coordinates by visibility (invisible joints become 0)."""
+    coordinates by visibility (invisible joints become 0). Unrolled."""
     jx, jy, jv, width = map(_c, (jx, jy, jv, width))
-    perm = _lit_array(flip_permutation(NUM_JOINTS))
-    js = F.sequence(F.lit(0), F.size(jx) - 1)
+    perm = flip_permutation(num_joints)
+
+    def at(a, j):
+        return F.element_at(a, perm[j] + 1)
     return {
-        "jx": F.transform(js, lambda j: (width - _get(jx, _get(perm, j)) - 1) * _get(jv, _get(perm, j))),
-        "jy": F.transform(js, lambda j: _get(jy, _get(perm, j)) * _get(jv, _get(perm, j))),
-        "jv": F.transform(js, lambda j: _get(jv, _get(perm, j))),
+        "jx": F.array(*[(width - at(jx, j) - 1) * at(jv, j) for j in range(num_joints)]),
+        "jy": F.array(*[at(jy, j) * at(jv, j) for j in range(num_joints)]),
+        "jv": F.array(*[at(jv, j) for j in range(num_joints)]),
     }
 
 
@@ -78,14 +88,13 @@ def fliplr_regression(jx, jy, mode: str = "static", center_x: float = 0.5, cente
                       num_joints: int = NUM_JOINTS) -> dict[str, Column]:
     """I4: mirror regression outputs about x = center_x ("static") or about
     the root joint's x ("root"), swapping left/right joints."""
-    jx, jy = _c(jx), _c(jy)
-    perm = _lit_array(flip_permutation(num_joints))
-    xc = F.lit(center_x) if mode == "static" else _get(jx, F.lit(center_index))
     if mode not in ("static", "root"):
         raise ValueError("mode must be 'static' or 'root'")
-    js = F.sequence(F.lit(0), F.size(jx) - 1)
-    return {"jx": F.transform(js, lambda j: xc * 2 - _get(jx, _get(perm, j))),
-            "jy": F.transform(js, lambda j: _get(jy, _get(perm, j)))}
+    jx, jy = _c(jx), _c(jy)
+    perm = flip_permutation(num_joints)
+    xc = F.lit(center_x) if mode == "static" else F.element_at(jx, center_index + 1)
+    return {"jx": F.array(*[xc * 2 - F.element_at(jx, perm[j] + 1) for j in range(num_joints)]),
+            "jy": F.array(*[F.element_at(jy, perm[j] + 1) for j in range(num_joints)])}
 
 
 def affine_matrix(center_x, center_y, scale_x, rot_deg, out_w, out_h, shift_x=0.0, shift_y=0.0,
@@ -117,22 +126,18 @@ def affine_matrix(center_x, center_y, scale_x, rot_deg, out_w, out_h, shift_x=0.
     return {"m00": a, "m01": b, "m02": tx, "m10": c, "m11": d, "m12": ty}
 
 
-def apply_affine(jx, jy, jv, m: dict, only_visible: bool = True) -> dict[str, Column]:
+def apply_affine(jx, jy, jv, m: dict, only_visible: bool = True, num_joints: int = NUM_JOINTS) -> dict[str, Column]:
     """Apply a 2x3 affine to every joint (only visible ones when
-    ``only_visible``; the others keep their coordinates)."""
+    ``only_visible``; the others keep their coordinates). Unrolled."""
     jx, jy, jv = map(_c, (jx, jy, jv))
-    js = F.sequence(F.lit(0), F.size(jx) - 1)
-
-    def tx(j):
-        x, y = _get(jx, j), _get(jy, j)
-        v = m["m00"] * x + m["m01"] * y + m["m02"]
-        return F.when(_get(jv, j) > 0, v).otherwise(x) if only_visible else v
-
-    def ty(j):
-        x, y = _get(jx, j), _get(jy, j)
-        v = m["m10"] * x + m["m11"] * y + m["m12"]
-        return F.when(_get(jv, j) > 0, v).otherwise(y) if only_visible else v
-    return {"jx": F.transform(js, tx), "jy": F.transform(js, ty)}
+    xs, ys = [], []
+    for j in range(num_joints):
+        x, y, v = F.element_at(jx, j + 1), F.element_at(jy, j + 1), F.element_at(jv, j + 1)
+        tx = m["m00"] * x + m["m01"] * y + m["m02"]
+        ty = m["m10"] * x + m["m11"] * y + m["m12"]
+        xs.append(F.when(v > 0, tx).otherwise(x) if only_visible else tx)
+        ys.append(F.when(v > 0, ty).otherwise(y) if only_visible else ty)
+    return {"jx": F.array(*xs), "jy": F.array(*ys)}
 
 
 def warp_matrix_udp(theta_deg, in_w, in_h, dst_w, dst_h, roi_w, roi_h) -> dict[str, Column]:
@@ -179,27 +184,39 @@ def augment_draw(key, epoch, n_visible, seed: int = 0, half_body_prob=0.3, num_j
     }
 
 
-def half_body(jx, jy, jv, upper_first, aspect: float = 0.75, unit: float = PIXEL_STD_UNIT) -> dict[str, Column]:
-    """centre/scale of the upper or lower visible joints (x1.5, grown to
-    the aspect ratio); null when fewer than two joints are selected."""
-    jx, jy, jv, upper_first = map(_c, (jx, jy, jv, upper_first))
-    js = F.sequence(F.lit(0), F.size(jx) - 1)
-    up_ids = _lit_array(UPPER_BODY_IDS)
-    upper = F.filter(js, lambda j: (_get(jv, j) > 0) & F.array_contains(up_ids, j))
-    lower = F.filter(js, lambda j: (_get(jv, j) > 0) & ~F.array_contains(up_ids, j))
-    sel = F.when(upper_first & (F.size(upper) > 2), upper).when(F.size(lower) > 2, lower).otherwise(upper)
-    xs = F.transform(sel, lambda j: _get(jx, j))
-    ys = F.transform(sel, lambda j: _get(jy, j))
-    n = F.size(sel)
-    cx = F.aggregate(xs, F.lit(0.0), lambda a, v: a + v) / n
-    cy = F.aggregate(ys, F.lit(0.0), lambda a, v: a + v) / n
-    w = F.array_max(xs) - F.array_min(xs)
-    h = F.array_max(ys) - F.array_min(ys)
+def with_half_body(df, jx="jx", jy="jy", jv="jv", upper_first="upper_first", aspect: float = 0.75,
+                   unit: float = PIXEL_STD_UNIT, num_joints: int = NUM_JOINTS):
+    """Adds hb_center_x/y and hb_scale_x/y — centre/scale of the upper
+    or lower visible joints (x1.5, grown to the aspect ratio); null when
+    fewer than two joints are selected. Unrolled over the joints (sums in
+    joint order) in two small projections so code generation stays within
+    method limits."""
+    up_ids = set(UPPER_BODY_IDS)
+    stats = []
+    for tag, upper in (("u", True), ("l", False)):
+        idx = [j for j in range(num_joints) if (j in up_ids) == upper]
+        on = [F.element_at(jv, j + 1) > 0 for j in idx]
+        xs = [F.when(o, F.element_at(jx, j + 1)) for o, j in zip(on, idx)]
+        ys = [F.when(o, F.element_at(jy, j + 1)) for o, j in zip(on, idx)]
+        stats += [sum((F.when(o, 1).otherwise(0) for o in on), F.lit(0)).alias(f"_hb_n{tag}"),
+                  sum((F.coalesce(x, F.lit(0.0)) for x in xs), F.lit(0.0)).alias(f"_hb_sx{tag}"),
+                  sum((F.coalesce(y, F.lit(0.0)) for y in ys), F.lit(0.0)).alias(f"_hb_sy{tag}"),
+                  F.least(*xs).alias(f"_hb_x0{tag}"), F.greatest(*xs).alias(f"_hb_x1{tag}"),
+                  F.least(*ys).alias(f"_hb_y0{tag}"), F.greatest(*ys).alias(f"_hb_y1{tag}")]
+    d = df.select("*", *stats)
+    pick_u = (F.col(upper_first) & (F.col("_hb_nu") > 2)) | ~(F.col("_hb_nl") > 2)
+
+    def sel(name):
+        return F.when(pick_u, F.col(f"_hb_{name}u")).otherwise(F.col(f"_hb_{name}l"))
+    d = d.select("*", sel("n").alias("_hb_n"), sel("sx").alias("_hb_sx"), sel("sy").alias("_hb_sy"),
+                 (sel("x1") - sel("x0")).alias("_hb_w"), (sel("y1") - sel("y0")).alias("_hb_h"))
+    n, w, h = F.col("_hb_n"), F.col("_hb_w"), F.col("_hb_h")
     w2 = F.when(w < aspect * h, h * aspect).otherwise(w)
     h2 = F.when(w > aspect * h, w / aspect).otherwise(h)
     ok = n >= 2
-    return {"hb_center_x": F.when(ok, cx), "hb_center_y": F.when(ok, cy),
-            "hb_scale_x": F.when(ok, w2 / unit * 1.5), "hb_scale_y": F.when(ok, h2 / unit * 1.5)}
+    out = d.select("*", F.when(ok, F.col("_hb_sx") / n).alias("hb_center_x"), F.when(ok, F.col("_hb_sy") / n).alias("hb_center_y"),
+                   F.when(ok, w2 / unit * 1.5).alias("hb_scale_x"), F.when(ok, h2 / unit * 1.5).alias("hb_scale_y"))
+    return out.drop(*[c for c in out.columns if c.startswith("_hb_")])
 
 
 LOWER_BODY = LOWER_BODY_IDS  # documented alongside UPPER_BODY_IDS

@@ -187,24 +187,26 @@ def _box_nms_graph(base: DataFrame, thr: float, tie: str, key: str, id_col: str,
 # ---------------------------------------------------------------------------
 
 def oks_expr(gx, gy, dx, dy, dv, area_g, area_d, sigmas, vis_thr=None) -> Column:
-    """Object keypoint similarity between pose g and pose d (arrays).
+    """Object keypoint similarity between pose g and pose d (arrays),
+    unrolled over the K sigmas (plain element access, codegen-friendly).
 
     Mask (when ``vis_thr`` is set) uses d's visibility only — the
     reference's ``list(a) and list(b)`` evaluates to the second list (Q5).
-    No joint left -> 0."""
-    vars_ = F.array(*[F.lit((2.0 * s) ** 2) for s in sigmas])
-    n = len(sigmas)
-    idx = F.sequence(F.lit(0), F.lit(n - 1))
+    No joint left -> 0. Summation runs in joint order."""
     denom = (area_g + area_d) / 2.0 + F.lit(2.220446049250313e-16)
-    e = F.transform(idx, lambda i: (F.pow(dx[i] - gx[i], 2) + F.pow(dy[i] - gy[i], 2))
-                    / vars_[i] / denom / 2.0)
-    if vis_thr is not None:
-        keep = F.filter(idx, lambda i: dv[i] > vis_thr)
-        es = F.transform(keep, lambda i: e[i])
-    else:
-        es = e
-    total = F.aggregate(es, F.lit(0.0), lambda acc, v: acc + F.exp(-v))
-    return F.when(F.size(es) == 0, F.lit(0.0)).otherwise(total / F.size(es))
+    total, count = F.lit(0.0), F.lit(0)
+    for i, s in enumerate(sigmas):
+        ex = F.element_at(dx, i + 1) - F.element_at(gx, i + 1)
+        ey = F.element_at(dy, i + 1) - F.element_at(gy, i + 1)
+        term = F.exp(-((ex * ex + ey * ey) / F.lit((2.0 * s) ** 2) / denom / 2.0))
+        if vis_thr is not None:
+            on = F.element_at(dv, i + 1) > vis_thr
+            total = total + F.when(on, term).otherwise(F.lit(0.0))
+            count = count + F.when(on, 1).otherwise(0)
+        else:
+            total = total + term
+            count = count + 1
+    return F.when(count == 0, F.lit(0.0)).otherwise(total / count)
 
 
 def _oks_candidates(poses: DataFrame, key: str, thr: float, sigmas, cell: float) -> DataFrame:
@@ -259,9 +261,11 @@ def oks_pairs(poses: DataFrame, thr: float, key: str = "image_id", id_col: str =
 
     def other(c):
         return F.when(a_first, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}"))
-    return j.select(key, pick("id").alias("src"), other("id").alias("dst"),
-                    oks_expr(pick("kx"), pick("ky"), other("kx"), other("ky"), other("kv"),
-                             pick("area"), other("area"), sigmas, vis_thr).alias("oks"))
+    o = j.select(key, pick("id").alias("src"), other("id").alias("dst"), pick("kx").alias("gx"), pick("ky").alias("gy"),
+                 pick("area").alias("ga"), other("kx").alias("dx"), other("ky").alias("dy"), other("kv").alias("dv"),
+                 other("area").alias("da"))
+    return o.select(key, "src", "dst", oks_expr(F.col("gx"), F.col("gy"), F.col("dx"), F.col("dy"), F.col("dv"),
+                                                F.col("ga"), F.col("da"), sigmas, vis_thr).alias("oks"))
 
 
 def pose_score(df: DataFrame, score_per_joint: bool = False, score_col: str = "score",

@@ -113,8 +113,8 @@ def video_poses(frames: DataFrame, url_col: str, fetcher=local_then_http, detect
     Output: video_id, frame_idx, track_id, joint, x, y, score, x_smooth,
     y_smooth."""
     fr = T.detect_cadence(frames.select("video_id", "frame_idx", url_col), step, tracking=True)
-    dets = person_filter(P.detect_urls(fr.where("run_detector"), url_col, ["video_id", "frame_idx"],
-                                       fetcher, detector))
+    dets = cut_lineage(person_filter(P.detect_urls(fr.where("run_detector"), url_col, ["video_id", "frame_idx"],
+                                                   fetcher, detector)))  # scored once, used twice
     sizes = dets.groupBy("video_id").agg(F.max("img_w").alias("img_w"), F.max("img_h").alias("img_h"))
     tracks = T.track_boxes(dets, frames.select("video_id", "frame_idx"), max_age=step,
                            min_hits=3 if step == 1 else 1, order_by=["det_idx"])

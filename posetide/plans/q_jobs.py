@@ -35,14 +35,14 @@ def q_person_flag_job(spark, d):
 def q_cutout_job(spark, d):
     """Body-part cut-out summary per product (flag, crop manifest,
     size) over the product table."""
-    summary, _ = J.cutouts(fx.fx_products(spark, d), HOST, fetcher=partial(synthetic_fetch, size=(400, 480)))
+    summary, _ = J.cutouts(fx.fx_products(spark, d), HOST, fetcher=partial(synthetic_fetch, size=(400, 240)))
     return summary
 
 
 @query("cutout_crops")
 def q_cutout_crops(spark, d):
     """P6 + C8 + A13: crop boxes and manifest names per (product, part)."""
-    _, crops = J.cutouts(fx.fx_products(spark, d), HOST, fetcher=partial(synthetic_fetch, size=(400, 480)))
+    _, crops = J.cutouts(fx.fx_products(spark, d), HOST, fetcher=partial(synthetic_fetch, size=(400, 240)))
     return crops.drop("img")
 
 

@@ -180,10 +180,9 @@ select image_id, ann_id,
 from sel"""))
 def q_half_body(spark, d):
     """Half-body centre/scale (upper or lower visible joints)."""
-    p = prepared(spark, d)
-    up = K.augment_draw("ann_id", F.lit(0), F.lit(0))["upper_first"]
-    hb = K.half_body("jx", "jy", "jv", up)
-    return p.select("image_id", "ann_id", *[rnd(v).alias(k) for k, v in hb.items()])
+    p = prepared(spark, d).withColumn("upper_first", K.augment_draw("ann_id", F.lit(0), F.lit(0))["upper_first"])
+    hb = K.with_half_body(p)
+    return hb.select("image_id", "ann_id", *[rnd(k).alias(k) for k in ("hb_center_x", "hb_center_y", "hb_scale_x", "hb_scale_y")])
 
 
 @query("gaussian_target", fx.with_fixtures(f"""
@@ -201,16 +200,14 @@ select wts.sample_id, cast(wts.weight as bigint) weight, coalesce(cells.n_cells,
   {rnd_sql("coalesce(cells.mass, 0.0)")} mass
 from wts left join cells on cells.sample_id = wts.sample_id""", "fx_pose_pairs").replace(")\n, mu as", "),\nmu as"))
 def q_gaussian_target(spark, d):
-    """Gaussian target heatmaps (sigma 3, 48 x 64 maps, stride 4) in
-    long form, summarised per sample (cells, mass, target weight)."""
+    """Gaussian target heatmaps (sigma 3, 48 x 64 maps, stride 4),
+    summarised per sample (cells, mass, target weight); the oracle sums
+    every cell, ours uses the separable closed form."""
     p = fx.fx_pose_pairs(spark, d)
-    cells = S.gaussian_target_cells(p, key="sample_id", x="gt_x", y="gt_y", vis="visible")
-    per = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_cells"), F.sum("val").alias("mass"))
-    wts = S.target_weights(p, key="sample_id", x="gt_x", y="gt_y", vis="visible").groupBy("sample_id").agg(
-        F.sum("target_weight").cast("long").alias("weight"))
-    return (wts.join(per, "sample_id", "left")
-            .select("sample_id", "weight", F.coalesce("n_cells", F.lit(0)).cast("long").alias("n_cells"),
-                    rnd(F.coalesce("mass", F.lit(0.0))).alias("mass")))
+    m = S.target_mass(p, key="sample_id", x="gt_x", y="gt_y", vis="visible")
+    return m.groupBy("sample_id").agg(
+        F.sum("target_weight").cast("long").alias("weight"), F.sum("n_cells").cast("long").alias("n_cells"),
+        rnd(F.sum("mass")).alias("mass"))
 
 
 @query("split_shard", fx.with_fixtures(f"""
