@@ -102,13 +102,19 @@ def q_affine_points(spark, d):
     rot = K.augment_draw("ann_id", F.lit(0), F.lit(0))["rotation"]
     m = K.affine_matrix("center_x", "center_y", "scale_x", rot, F.lit(192.0), F.lit(256.0))
     p = p.select("image_id", "ann_id", "jx", "jy", "jv", *[v.alias(k) for k, v in m.items()])
-    t = K.apply_affine("jx", "jy", "jv", {k: F.col(k) for k in m})
-    # quantise each coordinate to 1e-4 and sum integers: exact in any order
-    s = lambda a: F.aggregate(a, F.lit(0).cast("long"),
-                              lambda acc, v: acc + F.floor(v * 10000.0 + 0.5).cast("long"))
-    # sums first: a lambda reading m02 must not see a same-named alias of
-    # the same select list (lateral column alias resolution)
-    p = p.select("*", s(t["jx"]).alias("sum_x_e4"), s(t["jy"]).alias("sum_y_e4"))
+    # transformed joints (I7), each quantised to 1e-4 and summed as integers
+    # (exact in any order); unrolled over the 25 joints. Sums are added in
+    # their own projection: an expression reading m02 must not see a
+    # same-named alias of the same select list (lateral column alias).
+    def qsum(row):
+        total = F.lit(0).cast("long")
+        for j in range(25):
+            x, y, v = (F.element_at(c, j + 1) for c in ("jx", "jy", "jv"))
+            t = F.col(f"m{row}0") * x + F.col(f"m{row}1") * y + F.col(f"m{row}2")
+            val = F.when(v > 0, t).otherwise(x if row == 0 else y)
+            total = total + F.floor(val * 10000.0 + 0.5).cast("long")
+        return total
+    p = p.select("*", qsum(0).alias("sum_x_e4"), qsum(1).alias("sum_y_e4"))
     return p.select("image_id", "ann_id", rnd("m00").alias("m00"), rnd("m01").alias("m01"), rnd("m02", 4).alias("m02"),
                     rnd("m10").alias("m10"), rnd("m11").alias("m11"), rnd("m12", 4).alias("m12"),
                     "sum_x_e4", "sum_y_e4")

@@ -57,3 +57,16 @@ def test_group_people_on_table(spark):
     for r in out:
         people.setdefault(r.person, set()).add(round(r.tag))
     assert len(people) == 3 and all(len(t) == 1 for t in people.values())
+
+
+def test_frame_files_become_a_frame_table(spark):
+    from posetide.sources.frames import read_frames
+    from posetide.sources.images import encode_png
+    d = tempfile.mkdtemp(prefix="posetide-frames-")
+    for v in ("camA", "camB"):
+        os.makedirs(os.path.join(d, v))
+        for f in range(3):
+            with open(os.path.join(d, v, f"{f:05d}.png"), "wb") as fh:
+                fh.write(encode_png(np.zeros((4, 4, 3), dtype=np.uint8)))
+    rows = sorted((r.video_id, r.frame_idx, r.ts.timestamp()) for r in read_frames(spark, d, fps=2.0).collect())
+    assert rows[:3] == [("camA", 0, 0.0), ("camA", 1, 0.5), ("camA", 2, 1.0)] and len(rows) == 6
