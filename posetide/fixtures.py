@@ -178,26 +178,25 @@ def fx_ann_keypoints(spark, d):
 def fx_ann_arrays(spark, d):
     """The same 23 source keypoints as arrays (the annotation JSON layout)."""
     li = table(spark, d, "lineitem")
-    ks = F.sequence(F.lit(0), F.lit(22))
+    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     return li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
-        F.transform(ks, lambda k: ((F.col("l_partkey") % 300) + (F.col("l_partkey") + k * 7) % 40).cast("double")).alias("kx"),
-        F.transform(ks, lambda k: ((F.col("l_suppkey") * 3) + (F.col("l_suppkey") + k * 11) % 60).cast("double")).alias("ky"),
-        F.transform(ks, lambda k: ((F.col("l_partkey") + k) % 3).cast("double")).alias("kv"))
+        F.array(*[((pk % 300) + (pk + k * 7) % 40).cast("double") for k in range(23)]).alias("kx"),
+        F.array(*[((sk * 3) + (sk + k * 11) % 60).cast("double") for k in range(23)]).alias("ky"),
+        F.array(*[((pk + k) % 3).cast("double") for k in range(23)]).alias("kv"))
 
 
 def fx_poses(spark, d, num_joints: int = 17):
     """One pose per lineitem: joint arrays kx, ky, kv plus score and area."""
     li = table(spark, d, "lineitem")
-    js = F.sequence(F.lit(0), F.lit(num_joints - 1))
     px, py = F.col("l_partkey") % 40, F.col("l_suppkey") % 40
     return li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("pose_id"),
         ((F.col("l_partkey") * 37) % 1000).cast("double").__truediv__(1000).alias("score"),
         (F.col("l_quantity") * 400).alias("area"),
-        F.transform(js, lambda j: (px + j * 2 + F.col("l_linenumber") % 3).cast("double")).alias("kx"),
-        F.transform(js, lambda j: (py + j * 3).cast("double")).alias("ky"),
-        F.transform(js, lambda j: ((F.col("l_partkey") + j) % 4).cast("double") / 3).alias("kv"))
+        F.array(*[(px + j * 2 + F.col("l_linenumber") % 3).cast("double") for j in range(num_joints)]).alias("kx"),
+        F.array(*[(py + j * 3).cast("double") for j in range(num_joints)]).alias("ky"),
+        F.array(*[((F.col("l_partkey") + j) % 4).cast("double") / 3 for j in range(num_joints)]).alias("kv"))
 
 
 def fx_tags(spark, d):

@@ -66,13 +66,19 @@ def target_mass(df: DataFrame, key="sample_id", joint="joint", x="x", y="y", vis
     y0 = F.greatest(F.lit(0).cast("long"), F.col("my") - tmp)
     y1 = F.least(F.col("my") + tmp + 1, F.lit(heatmap_wh[1]).cast("long")) - 1
     import math
-    # the window is mu + o for o in [-3 sigma, 3 sigma]; the Gaussian weight
-    # of offset o is a constant, the map bounds gate it (unrolled: codegen)
-    weights = [(o, math.exp(-(o * o) / (2.0 * sigma * sigma))) for o in range(-tmp, tmp + 1)]
+    # offsets o in [-3 sigma, 3 sigma] carry constant weights; the map bounds
+    # clip the window to [max(-t, -mu), min(t, size - 1 - mu)], so each axis
+    # sum is a difference of two prefix sums (two array reads, tiny code)
+    cum = [0.0]
+    for o in range(-tmp, tmp + 1):
+        cum.append(cum[-1] + math.exp(-(o * o) / (2.0 * sigma * sigma)))
+    prefix = F.array(*[F.lit(c) for c in cum])
 
     def axis_sum(mu, size):
-        return sum((F.when((F.col(mu) + o >= 0) & (F.col(mu) + o < size), F.lit(c)).otherwise(F.lit(0.0))
-                    for o, c in weights), F.lit(0.0))
+        lo = F.greatest(F.lit(-tmp), -F.col(mu))
+        hi = F.least(F.lit(tmp), F.lit(size - 1) - F.col(mu))
+        val = F.element_at(prefix, (hi + tmp + 2).cast("int")) - F.element_at(prefix, (lo + tmp + 1).cast("int"))
+        return F.when(hi >= lo, val).otherwise(F.lit(0.0))
     on = F.col("target_weight") > 0.5
     return w.select(key, joint, "target_weight",
                     F.when(on, (x1 - x0 + 1) * (y1 - y0 + 1)).otherwise(F.lit(0)).cast("long").alias("n_cells"),

@@ -23,6 +23,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
         .config("spark.driver.memory", "16g")
+        # wide generated methods (unrolled joint arithmetic) must still be JIT-compiled
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
