@@ -112,13 +112,24 @@ def _collapse_copies(boxes: DataFrame, key: str, id_col: str, score_col: str):
 SMALL_GROUP = 256  # keys with at most this many candidates fold in one pass
 
 
+BROADCAST_KEYS_MAX = 1_000_000  # size bound for broadcasting the set of large keys
+
+
 def split_by_group_size(df: DataFrame, key: str, cap: int = SMALL_GROUP):
-    """Tag rows with their key's size (partial aggregate + join, co-partitioned
-    by key) and split into bounded groups, folded in one pass, and large
-    groups, which take the distributed pair-graph path. Both are exact."""
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = cut_lineage(df.join(n, key))
-    return (tagged.where(F.col("_n") <= cap).drop("_n"), tagged.where(F.col("_n") > cap).drop("_n"))
+    """Split rows into bounded groups (folded in one pass) and large groups
+    (distributed pair-graph path); both exact.
+
+    Only the set of large keys is computed (a partial aggregate: one row
+    per key) and cut from the lineage. When it is empty — the usual case —
+    the input is returned as is with no join. Otherwise the key set is
+    broadcast when its counted size is within ``BROADCAST_KEYS_MAX`` and
+    shuffle-joined beyond that. Returns (small, big or None)."""
+    big_keys = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                           .where(F.col("_n") > cap).select(key))
+    if big_keys.isEmpty():
+        return df, None
+    bk = F.broadcast(big_keys) if big_keys.count() <= BROADCAST_KEYS_MAX else big_keys
+    return df.join(bk, key, "left_anti"), df.join(bk, key, "left_semi")
 
 
 def _fold_greedy(small: DataFrame, key: str, id_col: str, score_col: str, fields: list[str], suppresses) -> DataFrame:
@@ -151,7 +162,7 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
         o = iou({c: k[c] for c in ("x1", "y1", "x2", "y2")}, {c: b[c] for c in ("x1", "y1", "x2", "y2")}, plus_one)
         return (o > thr) if tie == "keep" else (o >= thr)
     kept_small = _fold_greedy(small, key, id_col, score_col, ["x1", "y1", "x2", "y2"], over)
-    if big.isEmpty():
+    if big is None:
         kept = kept_small
     else:
         kept = kept_small.unionByName(_box_nms_graph(big, thr, tie, key, id_col, score_col, plus_one, cell,
@@ -292,7 +303,7 @@ def oks_nms(poses: DataFrame, thr: float = 0.9, key: str = "image_id", id_col: s
     def over(k, b):
         return oks_expr(k["kx"], k["ky"], b["kx"], b["ky"], b["kv"], k["area"], b["area"], sigmas, vis_thr) > thr
     kept = _fold_greedy(small, key, id_col, "score", ["area", "kx", "ky", "kv"], over)
-    if not big.isEmpty():
+    if big is not None:
         pairs = oks_pairs(big, thr, key, id_col, sigmas, vis_thr, cell)
         edges = pairs.where(F.col("oks") > thr).select(key, "src", "dst")
         kept = kept.unionByName(resolve_greedy(big.select(key, F.col(id_col).alias("id")), edges, key))
@@ -381,7 +392,7 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
                 rows.extend((k, int(i), int(r), float(sc)) for i, r, sc in picks)
             yield pd.DataFrame(rows, columns=[key, id_col, "rank", "score"])
     out_small = packed.mapInPandas(local, f"{key} {key_type}, {id_col} {id_type}, rank int, score double")
-    if big.isEmpty():
+    if big is None:
         return out_small
     remaining = cut_lineage(big)
     picks: list[DataFrame] = []
