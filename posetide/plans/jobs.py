@@ -125,9 +125,5 @@ def video_poses(frames: DataFrame, url_col: str, fetcher=local_then_http, detect
     joints = P.pose_urls(boxes, url_col, ["video_id", "frame_idx", "track_id"], fetcher, pose_model)
     if not smooth:
         return joints
-    j = cut_lineage(joints)
-    keys = ["video_id", "track_id", "joint"]
-    sx = T.one_euro(j, keys, "frame_idx", "x").withColumnRenamed("smoothed", "x_smooth")
-    sy = T.one_euro(j, keys, "frame_idx", "y").select(*keys, "frame_idx", F.col("smoothed").alias("y_smooth"))
-    return (sx.join(sy, keys + ["frame_idx"])
-              .join(j.select(*keys, "frame_idx", "y", "score"), keys + ["frame_idx"]))
+    # x and y smoothed in one sorted pass per (video, track, joint)
+    return T.one_euro(joints, ["video_id", "track_id", "joint"], "frame_idx", ["x", "y"])

@@ -307,3 +307,25 @@ def q_category_summary(spark, d):
     i = fx.fx_images(spark, d).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     return (p.join(i, "product_id", "left").groupBy("category_id")
             .agg(F.count(F.lit(1)).alias("n_products"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_images")))
+
+
+@query("pose_pck_heatmap", fx.with_fixtures(f"""
+, hp as (select person_id // 10 sample_id, cast(person_id % 10 as integer) joint, hm p, list_reverse(hm) g from fx_heatmaps),
+am as (select sample_id, joint, list_max(p) pm, list_position(p, list_max(p)) - 1 pi,
+  list_max(g) gm, list_position(g, list_max(g)) - 1 gi from hp),
+xy as (select sample_id, joint,
+  case when pm > 0 then cast(pi % 8 as double) else -1.0 end px, case when pm > 0 then cast(pi // 8 as double) else -1.0 end py,
+  case when gm > 0 then cast(gi % 8 as double) else -1.0 end gx, case when gm > 0 then cast(gi // 8 as double) else -1.0 end gy from am),
+d as (select joint, sqrt(((px - gx) / 8.0) * ((px - gx) / 8.0) + ((py - gy) / 8.0) * ((py - gy) / 8.0)) dist from xy)
+select joint, {rnd_sql("avg(case when dist < 0.2 then 1.0e0 else 0.0e0 end)")} acc, count(*) n_valid from d group by joint""",
+                                         "fx_heatmaps").replace(")\n, hp as", "),\nhp as"))
+def q_pose_pck_heatmap(spark, d):
+    """PCK from heatmaps — F1 argmax of predicted and target maps, then
+    J1-J3 with the (H, W) normaliser applied to (x, y) as given (Q11)."""
+    from posetide.functions.heatmap import argmax
+    hp = fx_heatmap_pairs(spark, d)
+    a, b = argmax("pred", F.lit(8)), argmax("gt", F.lit(8))
+    xy = hp.select("sample_id", "joint", a["px"].alias("pred_x"), a["py"].alias("pred_y"),
+                   b["px"].alias("gt_x"), b["py"].alias("gt_y"), F.lit(True).alias("visible"),
+                   F.lit(8.0).alias("norm_x"), F.lit(8.0).alias("norm_y"))
+    return M.pck_per_joint(M.normalized_distance(xy), 0.2).select("joint", rnd("acc").alias("acc"), "n_valid")
