@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Keys here are non-negative, so pmod equals %; it is used because ANSI-mode
+# % is several times slower in generated code.
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -20,7 +24,7 @@ def _lineitem_key() -> Column:
     # unique per lineitem row within an order: (partkey, suppkey, linenumber,
     # quantity) — the smoke tables repeat (order, line, part, supplier) once
     return (((F.col("l_partkey") * 1000003 + F.col("l_suppkey")) * 8 + F.col("l_linenumber")) * 64
-            + F.col("l_quantity").cast("long") % 64).cast("long")
+            + F.pmod(F.col("l_quantity").cast("long"), F.lit(64))).cast("long")
 
 
 LINEITEM_KEY_SQL = "(((l_partkey * 1000003 + l_suppkey) * 8 + l_linenumber) * 64 + cast(l_quantity as bigint) % 64)"
@@ -35,10 +39,10 @@ def fx_products(spark, d):
     k = F.col("p_partkey").cast("string")
     return p.select(
         F.col("p_partkey").alias("product_id"),
-        (F.lit(1001) + F.col("p_partkey") % 6).cast("int").alias("category_id"),
+        (F.lit(1001) + F.pmod(F.col("p_partkey"), F.lit(6))).cast("int").alias("category_id"),
         F.concat(F.lit("/images/p/"), k, F.lit("/a.jpg,/images/p/"), k, F.lit("/b.jpg")).alias("images"),
-        F.when(F.col("p_partkey") % 7 == 0, F.lit(""))
-         .when(F.col("p_partkey") % 11 == 0, F.lit(None).cast("string"))
+        F.when(F.pmod(F.col("p_partkey"), F.lit(7)) == 0, F.lit(""))
+         .when(F.pmod(F.col("p_partkey"), F.lit(11)) == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("/images/p/"), k, F.lit("/a_512.jpg"))).alias("image_512"),
     )
 
@@ -47,24 +51,24 @@ def fx_images(spark, d):
     o = table(spark, d, "orders")
     return o.select(
         F.col("o_orderkey").alias("image_id"),
-        (F.lit(200) + F.col("o_custkey") % 600).cast("int").alias("width"),
-        (F.lit(200) + (F.col("o_custkey") * 7) % 600).cast("int").alias("height"),
-        (F.col("o_orderkey") % 200).alias("product_id"),
+        (F.lit(200) + F.pmod(F.col("o_custkey"), F.lit(600))).cast("int").alias("width"),
+        (F.lit(200) + F.pmod((F.col("o_custkey") * 7), F.lit(600))).cast("int").alias("height"),
+        (F.pmod(F.col("o_orderkey"), F.lit(200))).alias("product_id"),
     )
 
 
 def fx_detections(spark, d):
     li = table(spark, d, "lineitem")
-    bx = (F.col("l_partkey") % 40).cast("double")
-    by = (F.col("l_suppkey") % 40).cast("double")
+    bx = (F.pmod(F.col("l_partkey"), F.lit(40))).cast("double")
+    by = (F.pmod(F.col("l_suppkey"), F.lit(40))).cast("double")
     return li.select(
         F.col("l_orderkey").alias("image_id"),
         _lineitem_key().alias("det_id"),
         bx.alias("x1"), by.alias("y1"),
         (bx + 10 + F.col("l_quantity")).alias("x2"),
         (by + 10 + F.col("l_quantity")).alias("y2"),
-        ((F.col("l_partkey") * 37) % 1000).cast("double").__truediv__(1000).alias("score"),
-        (F.col("l_linenumber") % 3).cast("int").alias("class_id"),
+        (F.pmod((F.col("l_partkey") * 37), F.lit(1000))).cast("double").__truediv__(1000).alias("score"),
+        (F.pmod(F.col("l_linenumber"), F.lit(3))).cast("int").alias("class_id"),
     )
 
 
@@ -72,18 +76,18 @@ def fx_pose_pairs(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     j = F.col("joint")
     c = F.col("o_custkey")
-    gx = ((c * 31 + j * 17) % 192).cast("double")
-    gy = ((c * 13 + j * 29) % 256).cast("double")
+    gx = (F.pmod((c * 31 + j * 17), F.lit(192))).cast("double")
+    gy = (F.pmod((c * 13 + j * 29), F.lit(256))).cast("double")
     return (o.select("*", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("joint"))
             .select(
                 F.col("o_orderkey").alias("sample_id"), j.cast("int").alias("joint"),
                 gx.alias("gt_x"), gy.alias("gt_y"),
-                (gx + ((c + j * 7) % 11 - 5)).alias("pred_x"),
-                (gy + ((c * 3 + j * 5) % 11 - 5)).alias("pred_y"),
-                ((c * 11 + j * 53) % 100).cast("double").__truediv__(100).alias("score"),
-                ((F.col("o_orderkey") + j) % 4 > 0).alias("visible"),
-                (F.lit(20) + c % 80).cast("double").alias("norm_x"),
-                (F.lit(20) + c % 60).cast("double").alias("norm_y")))
+                (gx + (F.pmod((c + j * 7), F.lit(11)) - 5)).alias("pred_x"),
+                (gy + (F.pmod((c * 3 + j * 5), F.lit(11)) - 5)).alias("pred_y"),
+                (F.pmod((c * 11 + j * 53), F.lit(100))).cast("double").__truediv__(100).alias("score"),
+                (F.pmod((F.col("o_orderkey") + j), F.lit(4)) > 0).alias("visible"),
+                (F.lit(20) + F.pmod(c, F.lit(80))).cast("double").alias("norm_x"),
+                (F.lit(20) + F.pmod(c, F.lit(60))).cast("double").alias("norm_y")))
 
 
 def fx_frames(spark, d):
@@ -125,25 +129,25 @@ def fx_peaks(spark, d):
     return li.select(
         F.col("l_orderkey").alias("image_id"), (F.col("l_linenumber") - 1).cast("int").alias("joint"),
         _lineitem_key().alias("peak_id"),
-        (F.col("l_partkey") % 48).cast("int").alias("x"), (F.col("l_partkey") % 64).cast("int").alias("y"),
-        ((F.col("l_partkey") * 37) % 1000).cast("double").__truediv__(1000).alias("val"),
-        ((F.col("l_suppkey") % 3).cast("double") + (F.col("l_partkey") % 10).cast("double") / 100).alias("tag"))
+        (F.pmod(F.col("l_partkey"), F.lit(48))).cast("int").alias("x"), (F.pmod(F.col("l_partkey"), F.lit(64))).cast("int").alias("y"),
+        (F.pmod((F.col("l_partkey") * 37), F.lit(1000))).cast("double").__truediv__(1000).alias("val"),
+        ((F.pmod(F.col("l_suppkey"), F.lit(3))).cast("double") + (F.pmod(F.col("l_partkey"), F.lit(10))).cast("double") / 100).alias("tag"))
 
 
 def fx_multilabel(spark, d):
     lb = table(spark, d, "labels")
     return lb.select(
         F.col("doc_id").alias("sample_id"), F.col("quality").alias("gt_a"), F.col("toxic").alias("gt_b"),
-        ((F.col("doc_id") * 37) % 100).cast("double").__truediv__(100).alias("pred_a"),
-        ((F.col("doc_id") * 53) % 100).cast("double").__truediv__(100).alias("pred_b"),
-        F.when(F.col("doc_id") % 5 == 0, 0).otherwise(1).alias("mask_a"), F.lit(1).alias("mask_b"))
+        (F.pmod((F.col("doc_id") * 37), F.lit(100))).cast("double").__truediv__(100).alias("pred_a"),
+        (F.pmod((F.col("doc_id") * 53), F.lit(100))).cast("double").__truediv__(100).alias("pred_b"),
+        F.when(F.pmod(F.col("doc_id"), F.lit(5)) == 0, 0).otherwise(1).alias("mask_a"), F.lit(1).alias("mask_b"))
 
 
 def fx_wide_images(spark, d):
     pg = table(spark, d, "pages")
     return pg.select(
         F.col("page_id").alias("product_id"), F.col("url").alias("image_1"),
-        F.when(F.col("page_id") % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("url")).alias("image_2"),
+        F.when(F.pmod(F.col("page_id"), F.lit(5)) == 0, F.lit(None).cast("string")).otherwise(F.col("url")).alias("image_2"),
         F.concat(F.col("url"), F.lit(".jpg")).alias("image_3"),
         F.replace(F.col("url"), F.lit(".html"), F.lit(".jpg")).alias("image_4"))
 
@@ -153,9 +157,9 @@ def fx_annotations(spark, d):
     q = F.col("l_quantity")
     return li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
-        (F.col("l_linenumber") % 2 + 1).cast("int").alias("category_id"),
+        (F.pmod(F.col("l_linenumber"), F.lit(2)) + 1).cast("int").alias("category_id"),
         F.when(F.col("l_linenumber") == 7, 1).otherwise(0).alias("iscrowd"),
-        (F.col("l_partkey") % 300 - 20).cast("double").alias("box_x"),
+        (F.pmod(F.col("l_partkey"), F.lit(300)) - 20).cast("double").alias("box_x"),
         (F.col("l_suppkey") * 3 - 20).cast("double").alias("box_y"),
         (q * 4).alias("box_w"), (q * 6 - 10).alias("box_h"), (q * q - 4).alias("area"),
         F.when(F.col("l_discount") == 0, 0.0).otherwise(2.0).alias("max_kp"),
@@ -170,9 +174,9 @@ def fx_ann_keypoints(spark, d):
                       "l_partkey", "l_suppkey", "l_quantity",
                       F.explode(F.sequence(F.lit(0), F.lit(22))).alias("src"))
             .select("image_id", "ann_id", k.cast("int").alias("src"),
-                    ((F.col("l_partkey") % 300) + (F.col("l_partkey") + k * 7) % 40).cast("double").alias("x"),
-                    ((F.col("l_suppkey") * 3) + (F.col("l_suppkey") + k * 11) % 60).cast("double").alias("y"),
-                    ((F.col("l_partkey") + k) % 3).cast("double").alias("v")))
+                    ((F.pmod(F.col("l_partkey"), F.lit(300))) + F.pmod((F.col("l_partkey") + k * 7), F.lit(40))).cast("double").alias("x"),
+                    ((F.col("l_suppkey") * 3) + F.pmod((F.col("l_suppkey") + k * 11), F.lit(60))).cast("double").alias("y"),
+                    (F.pmod((F.col("l_partkey") + k), F.lit(3))).cast("double").alias("v")))
 
 
 def fx_ann_arrays(spark, d):
@@ -181,32 +185,32 @@ def fx_ann_arrays(spark, d):
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     return li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
-        F.array(*[((pk % 300) + (pk + k * 7) % 40).cast("double") for k in range(23)]).alias("kx"),
-        F.array(*[((sk * 3) + (sk + k * 11) % 60).cast("double") for k in range(23)]).alias("ky"),
-        F.array(*[((pk + k) % 3).cast("double") for k in range(23)]).alias("kv"))
+        F.array(*[((F.pmod(pk, F.lit(300))) + F.pmod((pk + k * 7), F.lit(40))).cast("double") for k in range(23)]).alias("kx"),
+        F.array(*[((sk * 3) + F.pmod((sk + k * 11), F.lit(60))).cast("double") for k in range(23)]).alias("ky"),
+        F.array(*[(F.pmod((pk + k), F.lit(3))).cast("double") for k in range(23)]).alias("kv"))
 
 
 def fx_poses(spark, d, num_joints: int = 17):
     """One pose per lineitem: joint arrays kx, ky, kv plus score and area."""
     li = table(spark, d, "lineitem")
-    px, py = F.col("l_partkey") % 40, F.col("l_suppkey") % 40
+    px, py = F.pmod(F.col("l_partkey"), F.lit(40)), F.pmod(F.col("l_suppkey"), F.lit(40))
     return li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("pose_id"),
-        ((F.col("l_partkey") * 37) % 1000).cast("double").__truediv__(1000).alias("score"),
+        (F.pmod((F.col("l_partkey") * 37), F.lit(1000))).cast("double").__truediv__(1000).alias("score"),
         (F.col("l_quantity") * 400).alias("area"),
-        F.array(*[(px + j * 2 + F.col("l_linenumber") % 3).cast("double") for j in range(num_joints)]).alias("kx"),
+        F.array(*[(px + j * 2 + F.pmod(F.col("l_linenumber"), F.lit(3))).cast("double") for j in range(num_joints)]).alias("kx"),
         F.array(*[(py + j * 3).cast("double") for j in range(num_joints)]).alias("ky"),
-        F.array(*[((F.col("l_partkey") + j) % 4).cast("double") / 3 for j in range(num_joints)]).alias("kv"))
+        F.array(*[(F.pmod((F.col("l_partkey") + j), F.lit(4))).cast("double") / 3 for j in range(num_joints)]).alias("kv"))
 
 
 def fx_tags(spark, d):
     """Per (image, person, joint) embedding tags for the associative loss."""
     li = table(spark, d, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("image_id"), (F.col("l_suppkey") % 3).cast("int").alias("person"),
+        F.col("l_orderkey").alias("image_id"), (F.pmod(F.col("l_suppkey"), F.lit(3))).cast("int").alias("person"),
         (F.col("l_linenumber") - 1).cast("int").alias("joint"),
         _lineitem_key().alias("tag_id"),
-        ((F.col("l_suppkey") % 3).cast("double") + (F.col("l_partkey") % 10).cast("double") / 10).alias("tag"),
+        ((F.pmod(F.col("l_suppkey"), F.lit(3))).cast("double") + (F.pmod(F.col("l_partkey"), F.lit(10))).cast("double") / 10).alias("tag"),
         F.when(F.col("l_discount") > 0, 1).otherwise(0).alias("visible"))
 
 

@@ -13,8 +13,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     """Session for tests and the bench. On a cluster, pass the cluster's own
     session to the operators instead; nothing here is required there."""
     master = master or os.environ.get("POSETIDE_MASTER", "local[8]")
+    b = SparkSession.builder
+    if os.environ.get("POSETIDE_JIT_HUGE", "0") == "1":
+        # let the JVM JIT very wide generated methods (unrolled joint arithmetic)
+        b = (b.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+              .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods"))
     spark = (
-        SparkSession.builder.master(master).appName(app)
+        b.master(master).appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -23,9 +28,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
         .config("spark.driver.memory", "16g")
-        # wide generated methods (unrolled joint arithmetic) must still be JIT-compiled
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
-        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
