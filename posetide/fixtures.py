@@ -179,28 +179,44 @@ def fx_ann_keypoints(spark, d):
                     (F.pmod((F.col("l_partkey") + k), F.lit(3))).cast("double").alias("v")))
 
 
+def _wrap(r, c: int, m: int) -> Column:
+    """(r + c) mod m for 0 <= r < m: one compare instead of a division."""
+    c = c % m
+    return F.when(r + c >= m, r + (c - m)).otherwise(r + c)
+
+
 def fx_ann_arrays(spark, d):
-    """The same 23 source keypoints as arrays (the annotation JSON layout)."""
+    """The same 23 source keypoints as arrays (the annotation JSON layout).
+    Remainders are taken once per row; each element is a constant shift of
+    it, so the generated code stays small."""
     li = table(spark, d, "lineitem")
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
-    return li.select(
-        F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
-        F.array(*[((F.pmod(pk, F.lit(300))) + F.pmod((pk + k * 7), F.lit(40))).cast("double") for k in range(23)]).alias("kx"),
-        F.array(*[((sk * 3) + F.pmod((sk + k * 11), F.lit(60))).cast("double") for k in range(23)]).alias("ky"),
-        F.array(*[(F.pmod((pk + k), F.lit(3))).cast("double") for k in range(23)]).alias("kv"))
+    base = li.select(F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("ann_id"),
+                     F.pmod(pk, F.lit(300)).alias("p300"), F.pmod(pk, F.lit(40)).alias("p40"),
+                     (sk * 3).alias("s3"), F.pmod(sk, F.lit(60)).alias("s60"), F.pmod(pk, F.lit(3)).alias("p3"))
+    p300, p40, s3, s60, p3 = (F.col(c) for c in ("p300", "p40", "s3", "s60", "p3"))
+    return base.select(
+        "image_id", "ann_id",
+        F.array(*[(p300 + _wrap(p40, 7 * k, 40)).cast("double") for k in range(23)]).alias("kx"),
+        F.array(*[(s3 + _wrap(s60, 11 * k, 60)).cast("double") for k in range(23)]).alias("ky"),
+        F.array(*[_wrap(p3, k, 3).cast("double") for k in range(23)]).alias("kv"))
 
 
 def fx_poses(spark, d, num_joints: int = 17):
     """One pose per lineitem: joint arrays kx, ky, kv plus score and area."""
     li = table(spark, d, "lineitem")
-    px, py = F.pmod(F.col("l_partkey"), F.lit(40)), F.pmod(F.col("l_suppkey"), F.lit(40))
-    return li.select(
+    base = li.select(
         F.col("l_orderkey").alias("image_id"), _lineitem_key().alias("pose_id"),
-        (F.pmod((F.col("l_partkey") * 37), F.lit(1000))).cast("double").__truediv__(1000).alias("score"),
+        (F.pmod(F.col("l_partkey") * 37, F.lit(1000))).cast("double").__truediv__(1000).alias("score"),
         (F.col("l_quantity") * 400).alias("area"),
-        F.array(*[(px + j * 2 + F.pmod(F.col("l_linenumber"), F.lit(3))).cast("double") for j in range(num_joints)]).alias("kx"),
-        F.array(*[(py + j * 3).cast("double") for j in range(num_joints)]).alias("ky"),
-        F.array(*[(F.pmod((F.col("l_partkey") + j), F.lit(4))).cast("double") / 3 for j in range(num_joints)]).alias("kv"))
+        (F.pmod(F.col("l_partkey"), F.lit(40)) + F.pmod(F.col("l_linenumber"), F.lit(3))).alias("x0"),
+        F.pmod(F.col("l_suppkey"), F.lit(40)).alias("y0"), F.pmod(F.col("l_partkey"), F.lit(4)).alias("p4"))
+    x0, y0, p4 = F.col("x0"), F.col("y0"), F.col("p4")
+    return base.select(
+        "image_id", "pose_id", "score", "area",
+        F.array(*[(x0 + j * 2).cast("double") for j in range(num_joints)]).alias("kx"),
+        F.array(*[(y0 + j * 3).cast("double") for j in range(num_joints)]).alias("ky"),
+        F.array(*[_wrap(p4, j, 4).cast("double") / 3 for j in range(num_joints)]).alias("kv"))
 
 
 def fx_tags(spark, d):

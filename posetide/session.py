@@ -34,9 +34,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    tune_session(spark)
     return spark
 
 
+def tune_session(spark: SparkSession) -> None:
+    """Session settings the operators rely on for speed, applied only where
+    the user left Spark's default. Whole-stage methods above HotSpot's JIT
+    limit (8000 bytes of bytecode) would run interpreted; with the limit set
+    to 8000 Spark falls back to split, JIT-compiled per-operator code for
+    such stages (the setting Spark documents for HotSpot)."""
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
