@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kd_shards as shards
-from . import (near_dups, piece_encoding, quality_lines, quartile_digest, secret_scan, slack_packing, url_rules)
+from . import (near_dups, piece_encoding, quality_lines, quartile_digest, repeated_passages, secret_scan, slack_packing, url_rules)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bottom_k_near_dups")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_repeated_passages")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.removals(documents(spark, sf_dir))
