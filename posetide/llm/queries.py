@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kd_shards as shards
-from . import (near_dups, piece_encoding, quality_lines, quartile_digest, repeated_passages, secret_scan, slack_packing, url_rules)
+from . import (masked_lm, near_dups, piece_encoding, quality_lines, quartile_digest, repeated_passages, secret_scan, slack_packing, url_rules)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_repeated_passages")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages.removals(documents(spark, sf_dir))
+
+
+@query("op3_masked_lm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.scores(documents(spark, sf_dir))
