@@ -10,10 +10,12 @@ probability under 1e-8. So
   lists that a pair shares (its overlap); a pair that shares fewer than the
   least number, after what longer lists could hide, is dropped;
 * a document of which nearly the whole sketch lies in longer lists belongs to a
-  large group of near copies. It is held against a few members (centres) of its
-  first long list. What that leaves unlinked is held against everything else in
-  its lists; what it links is one component, within which no more pairs are
-  looked at. So a large group costs a few links a member, not all pairs.
+  large group of near copies. It is held against a few members (centres) of the
+  shortest of its long lists, and what that links is one component. The
+  documents that meet in such lists are a cluster; those outside its largest
+  component are held, in blocks, against all of the cluster on their full
+  sets, and only links come out. So the linked part of a large group costs a
+  few links a member, not all pairs.
 
 Candidates pass an estimate from the sketch of the union and are confirmed on
 the full sets. Documents with equal sets are one node from the start. Links
@@ -40,6 +42,11 @@ LEAST_SHARED = 15
 LEAST_ESTIMATE = 0.58
 LONG = 100
 CENTRES = 8
+#: Long lists by which a node finds its cluster: all eight are missed by a
+#: partner with a probability under 3e-7.
+KEYS = 8
+#: Sets on either side of a block.
+BLOCK = 500
 
 _HASHES = WordHashes()
 
@@ -145,6 +152,67 @@ def _comparable(x: str, y: str):
     return (F.col(x) * 100 >= F.col(y) * LIKENESS) & (F.col(y) * 100 >= F.col(x) * LIKENESS)
 
 
+def _compared(batches):
+    """Sets sorted by cluster, block of queries, block of all -> the links
+    between a query and any other set that is not in its component."""
+    def links_of(rows):
+        queries = [r for r in rows if r[0] == 0]
+        others = [r for r in rows if r[0] == 1]
+        if not queries or not others:
+            return []
+        sets = [np.frombuffer(r[3], np.int64) for r in others]
+        sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        names, comps = np.array([r[1] for r in others]), np.array([r[2] for r in others])
+        out = []
+        for _, node, comp, full in queries:
+            own = np.frombuffer(full, np.int64)
+            low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+            n = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            hit = (100 * both >= LIKENESS * (len(own) + sizes - both)) & (comps != comp)
+            out += [(node, x) for x in names[hit].tolist()]
+        return out
+
+    def batch_of(rows):
+        a, b = zip(*rows) if rows else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    here, group = None, []
+    for batch in batches:
+        for c, i, j, *row in zip(*(batch.column(k).to_pylist() for k in ("_cluster", "_i", "_j", "_side", "node", "_c", "full"))):
+            if (c, i, j) != here:
+                yield batch_of(links_of(group))
+                here, group = (c, i, j), []
+            group.append(row)
+    yield batch_of(links_of(group))
+
+
+def _blocks(inside: DataFrame, full: DataFrame) -> DataFrame:
+    """Links (a, b) in clusters (node, _c, _cluster) that no component holds
+    yet: each node outside its cluster's largest component against all nodes of
+    the cluster, ``BLOCK`` against ``BLOCK`` sets a time."""
+    sizes = inside.groupBy("_cluster", "_c").agg(F.count("*").alias("k"))
+    sizes = (sizes.groupBy("_cluster").agg(F.max_by("_c", F.struct("k", "_c")).alias("_main"), F.sum("k").alias("_all"), F.max("k").alias("_most"))
+             .where("_all > _most")
+             .select("_cluster", "_main", F.ceil((F.col("_all") - F.col("_most")) / BLOCK).cast("int").alias("_is"),
+                     F.ceil(F.col("_all") / BLOCK).cast("int").alias("_js")))
+    sets = inside.join(sizes, "_cluster").join(full, "node")
+    i, j = F.pmod(F.xxhash64("node"), F.col("_is")).cast("int"), F.pmod(F.xxhash64("node"), F.col("_js")).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["_cluster", "_i", "_j", "_side", "node", "_c", "full"]
+    queries = sets.where("_c <> _main").withColumn("_i", i).withColumn("_j", each("_js")).withColumn("_side", F.lit(0))
+    others = sets.withColumn("_j", j).withColumn("_i", each("_is")).withColumn("_side", F.lit(1))
+    parts = int(inside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (queries.select(*columns).unionByName(others.select(*columns))
+            .repartition(parts, "_cluster", "_i", "_j").sortWithinPartitions("_cluster", "_i", "_j")
+            .mapInArrow(_compared, "a long, b long").distinct())
+
+
 def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, comp) of the linked nodes. ``nodes``: stored node, n, _text_key,
     _sketch; ``docs``: _text_key, _text."""
@@ -165,11 +233,13 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     least = F.least(F.lit(LEAST_SHARED), F.ceil(F.col("n") / 2))  # a set under LISTED is its own sketch
     pairs = stored(shared.where(F.col("overlap") >= least - F.col("hidden")).select("a", "b", "overlap"), "pairs")
 
-    # nodes that only long lists may link
+    # nodes that only long lists may link, by the shortest of their long lists:
+    # those of a group are shorter than those of a passage that many groups share
     whole = F.least(F.lit(LEAST_SHARED), F.ceil(F.col("n") * 0.4))
-    members = long.join(hidden, "node").where(F.col("hidden") >= whole).select("v", "node", "n")
+    members = (long.join(hidden, "node").where(F.col("hidden") >= whole)
+               .groupBy("node", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("held", "v"))), 1, KEYS).alias("_keys")))
     members = stored(members, "members")
-    first = members.groupBy("node", "n").agg(F.min("v").alias("v"))
+    first = members.select("node", "n", F.col("_keys")[0]["v"].alias("v"))
     # the same few members of a list for everyone in it, drawn by hash
     some = (first.groupBy("v").agg(*(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))).alias(f"c{k}") for k in range(CENTRES)))
             .select("v", F.explode(F.array_distinct(F.array(*(f"c{k}" for k in range(CENTRES))))).alias("c"))
@@ -195,19 +265,12 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return df.join(c, node, "left").withColumn(name, F.coalesce(name, node))
 
     rest = placed(placed(pairs.select("a", "b"), "a", "_ca"), "b", "_cb").where("_ca <> _cb").select("a", "b")
-    listed = placed(members, "node", "_c").join(nodes.select("node", "_sketch"), "node")
-    listed = stored(listed, "listed")
-    main = (listed.groupBy("v", "_c").agg(F.count("*").alias("k")).groupBy("v")
-            .agg(F.max_by("_c", F.struct("k", "_c")).alias("_main"), F.count("*").alias("_comps")).where("_comps > 1"))
-    inside = listed.join(main, "v")
-    x, y = inside.where("_c <> _main").alias("x"), inside.alias("y")
-    own = F.least(F.lit(LEAST_SHARED), F.ceil(F.least("x.n", "y.n") / 2))
-    in_lists = F.array_intersect(F.slice("x._sketch", 1, LISTED), F.slice("y._sketch", 1, LISTED))
-    outer = (x.join(y, (F.col("x.v") == F.col("y.v")) & (F.col("x._c") != F.col("y._c")) & _comparable("x.n", "y.n")
-                    & ((F.col("y._c") == F.col("y._main")) | (F.col("x.node") < F.col("y.node")))
-                    & (F.size(in_lists) >= own))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = _confirm(_near_enough(rest.unionByName(outer).distinct(), nodes), full)
+    more = _confirm(_near_enough(rest, nodes), full)
+    ties = members.select("node", F.explode("_keys.v").alias("v"))
+    cluster = components(ties.select(F.col("node").alias("a"), (-1 - F.col("v")).alias("b")))
+    inside = placed(members.select("node", "n"), "node", "_c").join(
+        cluster.select("node", F.col("comp").alias("_cluster")), "node")
+    more = more.unionByName(_blocks(stored(inside, "clusters"), full))
     links = stored(links.unionByName(more), "links")
     return components(links)
 
