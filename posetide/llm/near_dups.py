@@ -153,8 +153,9 @@ def _comparable(x: str, y: str):
 
 
 def _compared(batches):
-    """Sets sorted by cluster, block of queries, block of all -> the links
-    between a query and any other set that is not in its component."""
+    """Sets sorted by cluster, block of queries, block of all -> links between a
+    query and any other set: of those that a block finds, as many as join
+    components that no link before joined."""
     def links_of(rows):
         queries = [r for r in rows if r[0] == 0]
         others = [r for r in rows if r[0] == 1]
@@ -167,7 +168,13 @@ def _compared(batches):
         order = np.argsort(values, kind="stable")
         values, owner = values[order], owner[order]
         names, comps = np.array([r[1] for r in others]), np.array([r[2] for r in others])
-        out = []
+        out, root = [], {}
+
+        def find(c):
+            while (up := root.setdefault(c, c)) != c:
+                root[c] = c = root[up]
+            return c
+
         for _, node, comp, full in queries:
             own = np.frombuffer(full, np.int64)
             low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
@@ -175,7 +182,10 @@ def _compared(batches):
             at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
             both = np.bincount(owner[at], minlength=len(sets))
             hit = (100 * both >= LIKENESS * (len(own) + sizes - both)) & (comps != comp)
-            out += [(node, x) for x in names[hit].tolist()]
+            for x, other in zip(names[hit].tolist(), comps[hit].tolist()):
+                if (mine := find(comp)) != (its := find(other)):
+                    root[mine] = its
+                    out.append((node, x))
         return out
 
     def batch_of(rows):
