@@ -153,18 +153,17 @@ def warp_matrix_udp(theta_deg, in_w, in_h, dst_w, dst_h, roi_w, roi_h) -> dict[s
 
 
 def uniform_draw(key, epoch, salt: int, seed: int = 0) -> Column:
-    """Reproducible uniform in [0, 1) from integers only (Lehmer-style
-    mix modulo a prime), identical on every executor, on every retry and
-    in SQL — unlike rand(), which depends on partitioning (Q8)."""
-    k = F.pmod(_c(key), F.lit(MODULUS))
-    v = F.pmod(k * 48271 + _c(epoch) * 69621 + F.lit(salt * 40692 + seed), F.lit(MODULUS))
-    return v / float(MODULUS)
+    """Reproducible uniform in [0, 1): 52 bits of the MD5 of key, epoch,
+    salt and seed. The same on every executor, on every retry and in SQL —
+    unlike rand(), which depends on partitioning (Q8) — and draws of different
+    salts or epochs have nothing to do with one another."""
+    text = F.concat_ws(":", _c(key).cast("string"), _c(epoch).cast("string"), F.lit(str(salt)), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / float(1 << 52)
 
 
 def uniform_draw_sql(key: str, epoch: str, salt: int, seed: int = 0) -> str:
-    # cast before dividing: integer / decimal literal stays DECIMAL in DuckDB
-    return (f"cast((((({key}) % {MODULUS} + {MODULUS}) % {MODULUS}) * 48271 + ({epoch}) * 69621 + {salt * 40692 + seed})"
-            f" % {MODULUS} as double) / cast({MODULUS} as double)")
+    return (f"cast(cast('0x' || substr(md5(concat_ws(':', {key}, {epoch}, '{salt}', '{seed}')), 1, 13) as bigint) as double)"
+            f" / cast({1 << 52} as double)")
 
 
 def augment_draw(key, epoch, n_visible, seed: int = 0, half_body_prob=0.3, num_joints_half_body=15,

@@ -29,83 +29,126 @@ def top_peaks(peaks: DataFrame, m: int, image="image_id", joint="joint", val="va
     return peaks.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= m)
 
 
+class _Groups:
+    """People under construction as growing tables: joints [P, K, 3 + T] of
+    x, y, value and tag, and for each person the tag that opened it, the sum of
+    the tags since then, and their number."""
+
+    def __init__(self, num_joints: int, tag_size: int):
+        self.joints = np.zeros((0, num_joints, 3 + tag_size))
+        self.opened = np.zeros((0, tag_size))
+        self.sums, self.seen = np.zeros((0, tag_size)), np.zeros(0)
+
+    def means(self, limit: int) -> np.ndarray:
+        return self.sums[:limit] / self.seen[:limit, None]
+
+    def join(self, person: int, joint: int, row: np.ndarray) -> None:
+        self.joints[person, joint] = row
+        self.sums[person] += row[3:]
+        self.seen[person] += 1
+
+    def open(self, joint: int, row: np.ndarray) -> None:
+        """A person with this tag; one that the same tag opened starts again
+        from it and keeps its other joints."""
+        same = np.flatnonzero((self.opened == row[3:]).all(axis=1))
+        if not len(same):
+            self.joints = np.concatenate([self.joints, np.zeros((1, *self.joints.shape[1:]))])
+            self.opened = np.concatenate([self.opened, row[None, 3:]])
+            self.sums = np.concatenate([self.sums, np.zeros((1, len(row) - 3))])
+            self.seen = np.append(self.seen, 0.0)
+            same = [len(self.seen) - 1]
+        person = same[0]
+        self.sums[person], self.seen[person] = 0.0, 0.0
+        self.join(person, joint, row)
+
+
+def assign_by_tag(candidates: np.ndarray, means: np.ndarray, tag_threshold: float, by_value: bool) -> np.ndarray:
+    """Person of each candidate (x, y, value, tag...), -1 for none, by the
+    cheapest one-to-one assignment. The cost is the tag distance; ``by_value``
+    rounds it and lets the stronger candidate win among equals."""
+    distance = np.linalg.norm(candidates[:, None, 3:] - means[None], axis=2)
+    cost = np.round(distance) * 100 - candidates[:, 2:3] if by_value else distance
+    # candidates without a person get places of their own that no one prefers
+    spare = max(0, len(candidates) - len(means))
+    cost = np.pad(cost, ((0, 0), (0, spare)), constant_values=1e10)
+    person = np.full(len(candidates), -1)
+    for row, col in min_cost_assignment(cost):
+        if row < len(candidates) and col < len(means) and distance[row, col] < tag_threshold:
+            person[row] = col
+    return person
+
+
 def match_by_tag(joints_in: list[np.ndarray], num_joints: int, detection_threshold: float = 0.1,
                  tag_threshold: float = 1.0, use_detection_val: bool = True, ignore_too_much: bool = False,
                  max_num_people: int = 30) -> np.ndarray:
-    """F14 for one image. ``joints_in[k]`` is an [M, 4] array (x, y, val,
-    tag) of joint k's candidates. Returns [P, K, 4] people."""
-    order = JOINT_ORDER_17 if num_joints == 17 else list(range(num_joints))
-    default = np.zeros((num_joints, 4), dtype=np.float64)
-    people: dict = {}
-    tags: dict = {}
-    for i, k in enumerate(order):
-        cand = joints_in[k]
-        if cand is None or len(cand) == 0:
-            continue
-        cand = cand[cand[:, 2] > detection_threshold]
-        if len(cand) == 0:
+    """F14 for one image: candidates joint by joint join the person whose mean
+    tag is near or open a new one. ``joints_in[k]``: [M, 3 + T] rows (x, y,
+    value, tag of T numbers). Returns [P, K, 3 + T] people."""
+    strong = [np.asarray(c)[np.asarray(c)[:, 2] > detection_threshold] if c is not None and len(c) else None for c in joints_in]
+    tag_size = next((c.shape[1] - 3 for c in strong if c is not None), 1)
+    groups = _Groups(num_joints, tag_size)
+    for k in JOINT_ORDER_17 if num_joints == 17 else range(num_joints):
+        rows = strong[k]
+        if rows is None or not len(rows):
             continue
-        if i == 0 or not people:
-            for c in cand:
-                key = c[3]
-                people.setdefault(key, default.copy())[k] = c
-                tags[key] = [c[3]]
+        known = min(len(groups.seen), max_num_people)
+        if known == 0:
+            person = np.full(len(rows), -1)
+        elif ignore_too_much and known == max_num_people:
             continue
-        keys = list(people)[:max_num_people]
-        if ignore_too_much and len(keys) == max_num_people:
-            continue
-        mean_tags = np.array([np.mean(tags[p]) for p in keys])
-        diff = np.abs(cand[:, 3:4] - mean_tags[None, :])
-        saved = diff.copy()
-        if use_detection_val:
-            diff = np.round(diff) * 100 - cand[:, 2:3]
-        n_add, n_grp = diff.shape
-        if n_add > n_grp:
-            diff = np.concatenate([diff, np.full((n_add, n_add - n_grp), 1e10)], axis=1)
-        for r, c in min_cost_assignment(diff):
-            if r < n_add and c < n_grp and saved[r, c] < tag_threshold:
-                people[keys[c]][k] = cand[r]
-                tags[keys[c]].append(cand[r, 3])
-            else:
-                key = cand[r, 3]
-                people.setdefault(key, default.copy())[k] = cand[r]
-                tags[key] = [cand[r, 3]]
-    return np.array(list(people.values())) if people else np.zeros((0, num_joints, 4))
-
-
-def refine_person(hm: np.ndarray, tg: np.ndarray, person: np.ndarray, udp: bool = False) -> np.ndarray:
-    """F16: fill missing joints from the argmax of heatmap - round(tag
-    distance to the person's mean tag), then quarter adjust (+0.5 unless
-    UDP). hm, tg: [K, H, W]; person: [K, 4] (x, y, val, tag)."""
-    K, H, W = hm.shape
-    seen = [tg[k, int(np.clip(person[k, 1], 0, H - 1)), int(np.clip(person[k, 0], 0, W - 1))]
-            for k in range(K) if person[k, 2] > 0]
-    if not seen:
-        return person
-    prev = float(np.mean(seen))
-    out = person.copy()
-    for k in range(K):
-        score = hm[k] - np.round(np.abs(tg[k] - prev))
-        y, x = np.unravel_index(np.argmax(score), score.shape)
-        val = hm[k, y, x]
-        fx, fy = (float(x), float(y)) if udp else (x + 0.5, y + 0.5)
-        fx += 0.25 if hm[k, y, min(W - 1, x + 1)] > hm[k, y, max(0, x - 1)] else -0.25
-        fy += 0.25 if hm[k, min(H - 1, y + 1), x] > hm[k, max(0, y - 1), x] else -0.25
-        if val > 0 and out[k, 2] == 0:
-            out[k, :3] = (fx, fy, val)
+        else:
+            person = assign_by_tag(rows, groups.means(known), tag_threshold, use_detection_val)
+        for row, p in zip(rows, person.tolist()):
+            groups.join(p, k, row) if p >= 0 else groups.open(k, row)
+    return groups.joints
+
+
+def _quarter(maps: np.ndarray, joint: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(dx, dy): a quarter cell towards the larger neighbour, down and right
+    only if it is strictly larger; neighbours beyond the edge are the cell."""
+    _, h, w = maps.shape
+    right, left = maps[joint, y, np.minimum(x + 1, w - 1)], maps[joint, y, np.maximum(x - 1, 0)]
+    below, above = maps[joint, np.minimum(y + 1, h - 1), x], maps[joint, np.maximum(y - 1, 0), x]
+    return np.where(right > left, 0.25, -0.25), np.where(below > above, 0.25, -0.25)
+
+
+def adjust_people(hm: np.ndarray, people: np.ndarray, udp: bool = False) -> np.ndarray:
+    """F15 for all people and joints at once: found joints move a quarter cell
+    and to the cell's centre (not with UDP coding)."""
+    out = people.copy()
+    p, k = np.nonzero(people[:, :, 2] > 0)
+    x, y = people[p, k, 0].astype(int), people[p, k, 1].astype(int)
+    dx, dy = _quarter(hm, k, y, x)
+    centre = 0.0 if udp else 0.5
+    out[p, k, 0] += dx + centre
+    out[p, k, 1] += dy + centre
     return out
 
 
-def _adjust(hm, person):
-    K, H, W = hm.shape
-    out = person.copy()
-    for k in range(K):
-        if out[k, 2] > 0:
-            x, y = out[k, 0], out[k, 1]
-            xx, yy = int(x), int(y)
-            y += 0.25 if hm[k, min(H - 1, yy + 1), xx] > hm[k, max(0, yy - 1), xx] else -0.25
-            x += 0.25 if hm[k, yy, min(W - 1, xx + 1)] > hm[k, yy, max(0, xx - 1)] else -0.25
-            out[k, 0], out[k, 1] = x + 0.5, y + 0.5
+def refine_people(hm: np.ndarray, tg: np.ndarray, people: np.ndarray, udp: bool = False) -> np.ndarray:
+    """F16 for all people and joints at once: a missing joint is put where its
+    map, less the rounded tag distance to the person's mean tag, is largest,
+    if the map is positive there. hm: [K, H, W]; tg: [K, H, W] or [K, H, W, T],
+    or [1, ...] for one tag map that all joints share."""
+    count, joints, h, w = len(people), *hm.shape
+    tg = np.broadcast_to(tg[..., None] if tg.ndim == 3 else tg, (joints, h, w, tg.shape[3] if tg.ndim == 4 else 1))
+    found = people[:, :, 2] > 0
+    x = np.clip(people[:, :, 0].astype(int), 0, w - 1)
+    y = np.clip(people[:, :, 1].astype(int), 0, h - 1)
+    tags = tg[np.arange(joints)[None], y, x]
+    number = found.sum(axis=1)
+    mean = (tags * found[:, :, None]).sum(axis=1) / np.maximum(number, 1)[:, None]
+    out = people.copy()
+    for p in np.flatnonzero(number):  # one person's maps at a time bound the memory
+        score = hm - np.round(np.linalg.norm(tg - mean[p], axis=3))
+        cell = score.reshape(joints, -1).argmax(axis=1)
+        ys, xs = cell // w, cell % w
+        k = np.arange(joints)
+        dx, dy = _quarter(hm, k, ys, xs)
+        centre = 0.0 if udp else 0.5
+        fill = ~found[p] & (hm[k, ys, xs] > 0)
+        put = np.stack([xs + centre + dx, ys + centre + dy, hm[k, ys, xs]], axis=1)
+        out[p, fill, :3] = put[fill]
     return out
 
 
@@ -116,7 +159,7 @@ def group_people(peaks: DataFrame, num_joints: int, m: int = 30, image="image_id
     """F13 + F14: top-M peaks per joint -> people per image (no maps).
     Output: image, person, joint, x, y, val, tag, person_score (mean val)."""
     top = top_peaks(peaks, m, image=image)
-    packed = top.groupBy(image).agg(F.collect_list(F.struct("joint", "x", "y", "val", "tag")).alias("c"))
+    packed = top.groupBy(image).agg(F.array_sort(F.collect_list(F.struct("joint", "rk", "x", "y", "val", "tag"))).alias("c"))
 
     def run(it):
         for pdf in it:
@@ -135,7 +178,7 @@ def group_people(peaks: DataFrame, num_joints: int, m: int = 30, image="image_id
 
 
 def parse_bottom_up(maps: DataFrame, num_joints: int, h: int, w: int, m: int = 30, adjust: bool = True,
-                    refine: bool = True, score_per_joint: bool = False, image="image_id", **params) -> DataFrame:
+                    refine: bool = True, score_per_joint: bool = False, udp: bool = False, image="image_id", **params) -> DataFrame:
     """Per image heatmaps + tag maps (rows image, joint, hm, tag as
     flat arrays) -> peak NMS -> top-M -> tag grouping -> adjust -> refine.
     One packed row per image (bounded: K maps of H x W)."""
@@ -146,7 +189,7 @@ def parse_bottom_up(maps: DataFrame, num_joints: int, h: int, w: int, m: int = 3
                      F.element_at("tag", (F.col("p.cell") + 1).cast("int")).alias("tag"),
                      F.col("p.cell").alias("peak_id"))
     top = top_peaks(cand, m, image=image)
-    packed_c = top.groupBy(image).agg(F.collect_list(F.struct("joint", "x", "y", "val", "tag")).alias("c"))
+    packed_c = top.groupBy(image).agg(F.array_sort(F.collect_list(F.struct("joint", "rk", "x", "y", "val", "tag"))).alias("c"))
     packed_m = maps.groupBy(image).agg(F.collect_list(F.struct("joint", "hm", "tag")).alias("maps"))
     j = packed_c.join(packed_m, image)
 
@@ -163,12 +206,10 @@ def parse_bottom_up(maps: DataFrame, num_joints: int, h: int, w: int, m: int = 3
                 for r in c:
                     per[r["joint"]].append((r["x"], r["y"], r["val"], r["tag"]))
                 ppl = match_by_tag([np.array(p, dtype=np.float64).reshape(-1, 4) for p in per], num_joints, **params)
-                for pi, p in enumerate(ppl):
-                    if adjust:
-                        p = _adjust(hm, p)
-                    s = p[:, 2].mean()
-                    if refine:
-                        p = refine_person(hm, tg, p)
+                found = adjust_people(hm, ppl, udp) if adjust else ppl
+                full = refine_people(hm, tg, found, udp) if refine else found
+                for pi, p in enumerate(full):
+                    s = found[pi, :, 2].mean()
                     for k in range(num_joints):
                         if p[k, 2] > 0:
                             rows.append((int(img), pi, k, *map(float, p[k]),

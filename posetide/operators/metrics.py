@@ -276,3 +276,21 @@ def project_points(X, Y, Z, fx_, fy_, cx, cy, k=None, p=None) -> tuple[Column, C
         tan = _c(p[0]) * u + _c(p[1]) * v
         u, v = u * (radial + tan) + _c(p[0]) * r2, v * (radial + tan) + _c(p[1]) * r2
     return _c(fx_) * u + _c(cx), _c(fy_) * v + _c(cy)
+
+
+def smooth_l1(diff: Column, beta: float = 1.0) -> Column:
+    """Half the square up to ``beta``, the distance less half of it beyond."""
+    a = F.abs(diff)
+    return F.when(a < beta, a * a * (0.5 / beta)).otherwise(a - 0.5 * beta)
+
+
+def root_aligned_smooth_l1(df: DataFrame, sample: str = "sample_id", joint: str = "joint", visible: str = "visible",
+                           axes=("x", "y", "z"), root: tuple[int, int] = (2, 3)) -> DataFrame:
+    """Smooth-L1 error of 3-D joints after both skeletons are moved to the
+    midpoint of two root joints, averaged over all rows and axes; masked rows
+    count as 0. Columns pred_<axis> and gt_<axis>. One row."""
+    mids = [F.avg(f"{s}_{a}").alias(f"_{s}_{a}") for s in ("pred", "gt") for a in axes]
+    at = df.where(F.col(joint).isin(*root)).groupBy(sample).agg(*mids)
+    errors = [smooth_l1((F.col(f"pred_{a}") - F.col(f"_pred_{a}")) - (F.col(f"gt_{a}") - F.col(f"_gt_{a}"))) for a in axes]
+    total = sum(errors[1:], errors[0]) / len(axes)
+    return df.join(at, sample).agg(F.avg(F.when(F.col(visible), total).otherwise(F.lit(0.0))).alias("error"))

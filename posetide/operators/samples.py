@@ -21,16 +21,22 @@ def _mu(x, stride):
     return (F.col(x) / stride + 0.5).cast("long")
 
 
+def _window_meets_map(x, y, sigma: float = 3.0, image_wh=POSE_INPUT_WH, heatmap_wh=HEATMAP_WH):
+    """Whether the 3-sigma window around an image point reaches the map."""
+    t, parts = int(sigma * 3), []
+    for v, image, cells in ((x, image_wh[0], heatmap_wh[0]), (y, image_wh[1], heatmap_wh[1])):
+        mu = (v / (image / cells) + 0.5).cast("long")
+        parts.append((mu - t < cells) & (mu + t + 1 >= 0))
+    return parts[0] & parts[1]
+
+
 def target_weights(df: DataFrame, key="sample_id", joint="joint", x="x", y="y", vis="vis",
                    sigma: float = 3.0, image_wh=POSE_INPUT_WH, heatmap_wh=HEATMAP_WH) -> DataFrame:
     """I5 weights: visibility, zeroed when the 3-sigma window misses the map."""
     sx = image_wh[0] / heatmap_wh[0]
     sy = image_wh[1] / heatmap_wh[1]
-    tmp = sigma * 3
     mx, my = _mu(x, sx), _mu(y, sy)
-    ul_x, ul_y = (mx - tmp).cast("long"), (my - tmp).cast("long")
-    br_x, br_y = (mx + tmp + 1).cast("long"), (my + tmp + 1).cast("long")
-    out = (ul_x >= heatmap_wh[0]) | (ul_y >= heatmap_wh[1]) | (br_x < 0) | (br_y < 0)
+    out = ~_window_meets_map(F.col(x), F.col(y), sigma, image_wh, heatmap_wh)
     v = F.col(vis).cast("double") if dict(df.dtypes)[vis] != "boolean" else F.when(F.col(vis), 1.0).otherwise(0.0)
     return df.select(key, joint, mx.alias("mx"), my.alias("my"),
                      F.when(out, F.lit(0.0)).otherwise(v).alias("target_weight"))
@@ -150,8 +156,7 @@ def assemble_samples(prep: DataFrame, epoch: int = 0, train: bool = True, seed:
     p = (p.select("*", t["jx"].alias("_tx"), t["jy"].alias("_ty")).drop("jx", "jy")
           .withColumnsRenamed({"_tx": "jx", "_ty": "jy"}))
     inside = F.transform(F.arrays_zip("jx", "jy", "jv"), lambda z: F.when(
-        (z["jv"] > 0) & (z["jx"] >= -9 * 4) & (z["jy"] >= -9 * 4)
-        & (z["jx"] < image_wh[0] + 9 * 4) & (z["jy"] < image_wh[1] + 9 * 4), 1).otherwise(0))
+        (z["jv"] > 0) & _window_meets_map(z["jx"], z["jy"]), 1).otherwise(0))
     p = p.withColumn("n_weighted", F.aggregate(inside, F.lit(0).cast("long"), lambda a, v: a + v))
     return p.select("image_id", "ann_id", "epoch", "center_x", "center_y", "scale_x", "scale_y", "rotation",
                     "flipped", "jx", "jy", "jv", *list(m), "n_weighted")

@@ -32,6 +32,23 @@ from posetide.schema import OKS_SIGMAS
 from posetide.session import cut_lineage
 
 
+def greedy_score(score: Column) -> Column:
+    """Score as the greedy order takes it, on every path: null and NaN come
+    last, and tie with one another."""
+    score = score.cast("double")
+    return F.when(score.isNull() | F.isnan(score), F.lit(float("-inf"))).otherwise(score)
+
+
+def _regular(pad: float) -> Column:
+    """Whether a box has four numbers and some extent; any other box overlaps
+    nothing, so it neither suppresses nor is suppressed."""
+    ok = F.lit(True)
+    for c in ("x1", "y1", "x2", "y2"):
+        v = F.col(c).cast("double")
+        ok = ok & v.isNotNull() & ~F.isnan(v)
+    return F.coalesce(ok & (F.col("x2") - F.col("x1") + pad > 0) & (F.col("y2") - F.col("y1") + pad > 0), F.lit(False))
+
+
 def _before(a_score: Column, a_id: Column, b_score: Column, b_id: Column) -> Column:
     return (a_score > b_score) | ((a_score == b_score) & (a_id < b_id))
 
@@ -104,32 +121,26 @@ def _collapse_copies(boxes: DataFrame, key: str, id_col: str, score_col: str):
     cheap. Returns (leaders, followers) as (key, id) frames."""
     coords = ["x1", "y1", "x2", "y2"]
     leaders = (boxes.groupBy(key, *coords)
-               .agg(F.max(F.struct(F.col(score_col), (-F.col(id_col)).alias("neg_id"))).alias("m"))
-               .select(key, *coords, (-F.col("m.neg_id")).alias("leader_id")))
+               .agg(F.min(F.struct((-F.col(score_col)).alias("ns"), F.col(id_col).alias("id"))).alias("m"))
+               .select(key, *coords, F.col("m.id").alias("leader_id")))
     tagged = boxes.join(leaders, [key, *coords])
     return tagged
 
 SMALL_GROUP = 256  # keys with at most this many candidates fold in one pass
 
 
-BROADCAST_KEYS_MAX = 1_000_000  # size bound for broadcasting the set of large keys
-
-
 def split_by_group_size(df: DataFrame, key: str, cap: int = SMALL_GROUP):
     """Split rows into bounded groups (folded in one pass) and large groups
     (distributed pair-graph path); both exact.
 
     Only the set of large keys is computed (a partial aggregate: one row
     per key) and cut from the lineage. When it is empty — the usual case —
-    the input is returned as is with no join. Otherwise the key set is
-    broadcast when its counted size is within ``BROADCAST_KEYS_MAX`` and
-    shuffle-joined beyond that. Returns (small, big or None)."""
+    the input is returned as is with no join. Returns (small, big or None)."""
     big_keys = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
                            .where(F.col("_n") > cap).select(key))
     if big_keys.isEmpty():
         return df, None
-    bk = F.broadcast(big_keys) if big_keys.count() <= BROADCAST_KEYS_MAX else big_keys
-    return df.join(bk, key, "left_anti"), df.join(bk, key, "left_semi")
+    return df.join(big_keys, key, "left_anti"), df.join(big_keys, key, "left_semi")
 
 
 def _fold_greedy(small: DataFrame, key: str, id_col: str, score_col: str, fields: list[str], suppresses) -> DataFrame:
@@ -150,12 +161,16 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
 
     tie="keep"     suppress when overlap > thr (G1 numpy and G3 GPU form)
     tie="suppress" suppress when overlap >= thr (G2 Cython form)
-    Areas use the inclusive +1 pixel convention of the reference."""
+    Areas use the inclusive +1 pixel convention of the reference. Null and NaN
+    scores come last; a box without four numbers or without extent overlaps
+    nothing and is kept. Both rules hold before any split by group size."""
     if tie not in ("keep", "suppress"):
         raise ValueError("tie must be 'keep' or 'suppress'")
     if thr < 0 or (tie == "suppress" and thr <= 0):
         raise ValueError("threshold must make non-overlapping boxes compatible")
-    base = dets.select(key, id_col, score_col, "x1", "y1", "x2", "y2")
+    every = dets.select(key, id_col, greedy_score(F.col(score_col)).alias(score_col), "x1", "y1", "x2", "y2",
+                        _regular(1.0 if plus_one else 0.0).alias("_regular"))
+    base = every.where("_regular").drop("_regular")
     small, big = split_by_group_size(base, key, small_group)
 
     def over(k, b):
@@ -167,6 +182,7 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
     else:
         kept = kept_small.unionByName(_box_nms_graph(big, thr, tie, key, id_col, score_col, plus_one, cell,
                                                      collapse_copies))
+    kept = kept.unionByName(every.where("not _regular").select(key, F.col(id_col).alias("id")))
     return dets.join(kept.withColumnRenamed("id", id_col), [key, id_col], "left_semi")
 
 
@@ -297,7 +313,7 @@ def oks_nms(poses: DataFrame, thr: float = 0.9, key: str = "image_id", id_col: s
         raise ValueError("OKS threshold must be in (0, 1)")
     sigmas = sigmas or OKS_SIGMAS
     poses = pose_score(poses, score_per_joint)
-    base = poses.select(key, id_col, "score", F.col("area").cast("double").alias("area"), "kx", "ky", "kv")
+    base = poses.select(key, id_col, greedy_score(F.col("score")).alias("score"), F.col("area").cast("double").alias("area"), "kx", "ky", "kv")
     small, big = split_by_group_size(base, key, small_group)
 
     def over(k, b):

@@ -61,17 +61,22 @@ def cutouts(products: DataFrame, host: str, fetcher=local_then_http, segmenter=N
     wanted = (s.where(F.col("person") & ~F.col("small") & F.col("face"))
               .join(F.broadcast(parts), "category_id"))
     # joint extents per part: explode the part's joint range from the arrays
-    pj = wanted.select("product_id", "img", "img_w", "img_h", "part", "bl", "bt", "br", "bb",
+    # Parts of a category in the order of the configuration
+    order = F.array(*[F.lit(f"{c}|{p}") for c, ps in CATEGORY_PARTS for p in ([ps] if isinstance(ps, str) else ps)])
+    place = F.array_position(order, F.concat(F.col("category_id").cast("string"), F.lit("|"), "part"))
+    pj = wanted.select("product_id", "img", "img_w", "img_h", "part", place.alias("place"), "bl", "bt", "br", "bb",
                        F.slice("jx", F.col("kp_from") + 1, F.col("kp_to") - F.col("kp_from")).alias("px"),
                        F.slice("jy", F.col("kp_from") + 1, F.col("kp_to") - F.col("kp_from")).alias("py"))
     box = C.part_crop_box(F.array_min("px"), F.array_min("py"), F.array_max("px"), F.array_max("py"),
                           "img_w", "img_h", "bl", "bt", "br", "bb")
-    crops = pj.select("product_id", "img", "part",
+    crops = pj.select("product_id", "img", "part", "place",
                       F.concat(F.col("product_id").cast("string"), F.lit("_"),
                                F.regexp_replace("part", " ", "_"), F.lit(".jpg")).alias("path"),
                       *[v.alias(k.replace("crop_", "")) for k, v in box.items()])
     manifest = crops.groupBy("product_id").agg(
-        F.concat_ws(",", F.array_sort(F.collect_list("path"))).alias("cropped_paths"))
+        F.array_sort(F.collect_list(F.struct("place", "path"))).alias("_paths")).select(
+        "product_id", F.concat_ws(",", F.col("_paths.path")).alias("cropped_paths"))
+    crops = crops.drop("place")
     known = sorted({c for c, _ in CATEGORY_PARTS})
     flag = (F.when(F.col("error").isNotNull(), F.lit("NA"))
             .when(F.col("category_id").isin(*known),

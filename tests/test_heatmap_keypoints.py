@@ -111,3 +111,15 @@ def test_gaussian_cells_render_the_target(spark):
     assert (x, y) == (25, 30) and dense[0].max() == pytest.approx(1.0)
     w = {r.joint: r.target_weight for r in SA.target_weights(df).collect()}
     assert w == {0: 1.0, 1: 0.0, 2: 0.0}
+
+
+def test_draws_of_salts_and_epochs_are_unrelated(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from posetide.functions import keypoints as K
+    df = spark.range(20000).select(*(K.uniform_draw("id", F.lit(e), s).alias(f"u{e}_{s}") for e in (0, 1) for s in (1, 2, 5)))
+    u = np.array([tuple(r) for r in df.collect()])
+    assert u.min() >= 0 and u.max() < 1 and abs(u.mean() - 0.5) < 0.01
+    c = np.corrcoef(u.T)
+    assert np.abs(c - np.eye(len(c))).max() < 0.03

@@ -142,3 +142,18 @@ def test_rescore_rules(spark):
                   S.rescore(F.col("o"), F.col("s"), 0.3, "gaussian").alias("g")).collect()
     assert r[0].lin == pytest.approx(0.4) and r[1].lin == pytest.approx(0.8)
     assert r[0].g == pytest.approx(0.8 * np.exp(-0.25 / 0.3))
+
+
+def test_null_and_odd_boxes_do_not_depend_on_group_size(spark):
+    """One order and one rule for odd boxes, whichever path a group takes."""
+    nan = float("nan")
+    rows = []
+    for img in range(6):
+        for i in range(12):
+            x = float((i * 7 + img) % 5)
+            rows.append((img, f"d{i:02d}", [0.9, 0.9, None, nan, 0.1 * i][i % 5], x, 0.0, x + 10, 10.0))
+        rows += [(img, "n1", 0.95, None, 0.0, 9.0, 9.0), (img, "n2", nan, nan, 0.0, 9.0, 9.0), (img, "n3", 0.99, 5.0, 5.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "image_id long, det_id string, score double, x1 double, y1 double, x2 double, y2 double")
+    got = [sorted((r.image_id, r.det_id) for r in S.box_nms(df, 0.3, small_group=n).collect()) for n in (0, 14, 15, 16, 256)]
+    assert all(g == got[0] for g in got)
+    assert all((img, n) in got[0] for img in range(6) for n in ("n1", "n2", "n3"))
