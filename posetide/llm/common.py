@@ -13,7 +13,7 @@ from posetide.session import ensure_checkpoint_dir
 
 U64 = np.uint64
 #: Words held by one worker's cache before it is emptied (bounds its memory).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -66,12 +66,19 @@ class WordHashes(dict):
         value = self[word] = xxh3_64_intdigest(word)
         return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
+    def bound(self) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        self.bound()
         return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
 
 
+#: One cache a worker, for all operators that run in it.
+HASHES = WordHashes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (xor-shift and multiply)."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)

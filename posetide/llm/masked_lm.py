@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, text_bytes
+from .common import U64, HASHES, text_bytes
 
 BUCKETS = 1 << 16
 CLASSES = 128
@@ -36,11 +36,9 @@ RATE = 0.1
 UNIT = 1.0 / (1 << 24)
 SEED = 7
 
-_HASHES = WordHashes()
-
 
 def buckets(words: list[bytes]) -> np.ndarray:
-    return (_HASHES.of(words) >> U64(64 - 16)).astype(np.int64)
+    return (HASHES.of(words) >> U64(64 - 16)).astype(np.int64)
 
 
 class Network:

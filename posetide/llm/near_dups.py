@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import U64, WordHashes, dropped, mix, stored, text_bytes, windows
+from .common import U64, HASHES, dropped, mix, stored, text_bytes, windows
 
 SHINGLE = 3
 LIKENESS = 85  # per cent
@@ -48,8 +48,6 @@ KEYS = 8
 #: Sets on either side of a block.
 BLOCK = 500
 
-_HASHES = WordHashes()
-
 
 def shingle_set(text: bytes) -> np.ndarray:
     """Sorted 63-bit hashes of the distinct shingles; fewer words than a
@@ -57,7 +55,7 @@ def shingle_set(text: bytes) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.int64)
-    h = _HASHES.of(words)
+    h = HASHES.of(words)
     runs = windows(h, SHINGLE) if len(h) >= SHINGLE else mix(windows(h, len(h)) + U64(len(h)))
     return np.unique(runs >> U64(1)).view(np.int64)
 

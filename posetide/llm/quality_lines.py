@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, mix, stored, text_bytes, windows
+from .common import U64, HASHES, mix, stored, text_bytes, windows
 
 #: Base rules.
 MIN_WORDS = 50
@@ -31,7 +31,6 @@ MIN_SHARE = 0.05
 #: A document that keeps less than this share of its words is depleted.
 MIN_LEFT = 0.3
 
-_HASHES = WordHashes()
 _NOT_CONTINUATION = bytes(range(0x80, 0xC0))
 
 PROFILE = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -64,7 +63,7 @@ def profile(text: bytes):
     joined = b"".join(words)
     chars = len(joined.translate(None, _NOT_CONTINUATION))
     symbols = len(joined) - len(joined.translate(None, SYMBOLS))
-    h = _HASHES.of(words)
+    h = HASHES.of(words)
     runs = windows(h, 3)
     again = 0
     if len(runs):
@@ -82,15 +81,14 @@ def profile(text: bytes):
     else:
         print_ = int(mix(h).min() >> U64(1))
     # signed hashes, as Spark's long has no unsigned form
-    keys = np.array([_HASHES[k] for k in lines], U64).view(np.int64).tolist()
+    keys = np.array([HASHES[k] for k in lines], U64).view(np.int64).tolist()
     return n, chars, symbols, repeated, again, print_, list(zip(keys, lines.values()))
 
 
 def _profiles(batches):
     for batch in batches:
         rows = [profile(t) for t in text_bytes(batch.column("_text"))]
-        if len(_HASHES) > 600_000:
-            _HASHES.clear()
+        HASHES.bound()
         cols = list(zip(*rows)) or [[]] * 7
         counts = np.cumsum([0, *map(len, cols[6])])
         flat = [x for r in cols[6] for x in r]
@@ -159,9 +157,8 @@ def _without(batches):
                 gone = set(gone)
                 texts[i] = b"\n".join(
                     x for x in texts[i].encode().split(b"\n")
-                    if not x.split() or int(np.int64(U64(_HASHES[line_key(x)]))) not in gone).decode()
-        if len(_HASHES) > 600_000:
-            _HASHES.clear()
+                    if not x.split() or int(np.int64(U64(HASHES[line_key(x)]))) not in gone).decode()
+        HASHES.bound()
         names = [c for c in batch.schema.names if c != "_removed"]
         yield pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)

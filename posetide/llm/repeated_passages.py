@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, mix, stored, text_bytes, windows
+from .common import U64, HASHES, mix, stored, text_bytes, windows
 
 WINDOW = 35
 GRAM = 8
@@ -40,7 +40,6 @@ SEGMENTS = 4000
 #: Words in an automaton from which on the next one is begun.
 SHARD_WORDS = 60_000
 
-_HASHES = WordHashes()
 _BASE = 0x9E3779B97F4A7C15
 _UNDO = pow(_BASE, -1, 1 << 64)
 
@@ -67,7 +66,7 @@ def segments(words: list[bytes], window: int = WINDOW):
     n = len(words)
     if n < window:
         return (np.zeros(0, np.int64),) * 4
-    h = _HASHES.of(words)
+    h = HASHES.of(words)
     least = grams = windows(h, min(GRAM, window))
     wide, have = window - min(GRAM, window) + 1, 1
     while have * 2 <= wide:  # least of ``have`` neighbours, doubled
@@ -226,7 +225,7 @@ def _single_windows(window: int):
         for batch in batches:
             out = [[], [], [], []]
             for row, first, times, words in zip(*(batch.column(c).to_pylist() for c in ("_row", "first", "times", "_words"))):
-                runs = windows(_HASHES.of(words.split(b" ")), window).view(np.int64)
+                runs = windows(HASHES.of(words.split(b" ")), window).view(np.int64)
                 out[0].append(np.full(len(runs), row))
                 out[1].append(first + np.arange(len(runs)))
                 out[2].append(np.full(len(runs), times))
