@@ -19,6 +19,7 @@ that fit no full window are cut a second time, and nothing is padded.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import pyarrow as pa
@@ -29,7 +30,9 @@ from .common import gapless_rank, stored, text_bytes
 
 WINDOW = 2048
 END_ID = 1
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
+PLAIN = re.compile(rb"[!-&(-;=-~]+")
+RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
@@ -39,8 +42,10 @@ class WordIds(dict):
 
     The vocabulary's rules drop white space and never reach across it, so a
     text's ids are those of its words in turn. Each distinct word is given to
-    the tokenizer once; its letter case makes no difference there, except in
-    the names of special tokens."""
+    the tokenizer once. A plain ASCII word is looked up by its runs of letters,
+    single digits and runs of signs, at which the rules cut, in lower case,
+    which they make of it; words with an apostrophe (contractions) or the mark
+    that opens special tokens are not plain."""
 
     def __init__(self, path: str):
         import os
@@ -54,12 +59,13 @@ class WordIds(dict):
         if len(self) > CACHE_WORDS:
             self.clear()
         new = words.difference(self)
-        plain = {w: w.lower() if w.isascii() and b"<" not in w else w for w in new}
-        once = list(set(plain.values()).difference(self))
-        for word, e in zip(once, self.tokenizer.encode_batch([w.decode() for w in once], add_special_tokens=False)):
-            self[word] = np.array(e.ids, "<u4").tobytes()
-        for word, low in plain.items():
-            self[word] = self[low]
+        parts = {w: RUNS.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in new}
+        once = list(set().union(*parts.values()).difference(self))
+        for part, e in zip(once, self.tokenizer.encode_batch_fast([p.decode() for p in once], add_special_tokens=False)):
+            self[part] = np.array(e.ids, "<u4").tobytes()
+        for word, runs in parts.items():
+            if len(runs) > 1 or runs[0] != word:
+                self[word] = b"".join([self[r] for r in runs])
 
 
 _TOKENIZERS: dict[str, WordIds] = {}

@@ -330,3 +330,14 @@ def test_masked(spark, hard):
     got = {g["doc_id"]: g for g in rows(secret_scan.masked(hard))}
     assert "abcdef123" not in got[13]["text"] and "AKIA" not in got[13]["text"] and got[13]["text"].count("[secret]") == 4
     assert got[13]["n_chars"] == len(got[13]["text"]) and got[3]["text"] is None and list(got[13]) == hard.columns
+
+
+def test_ids_of_words_are_those_of_the_text(docs):
+    path = P.path("word_bpe_49k.json")
+    tok, table = Tokenizer.from_file(path), slack_packing.WordIds(path)
+    texts = [r["text"] for r in rows(docs.limit(60))] + [
+        "It's they'RE x'd 'tis a1b22 <|endoftext|> <|ENDOFTEXT|> a<b e-mail@x.org $5,00 <<|startoftext|>>", "ÀÉ é İİ ß ﬁ x\x1cy \x7f~~ 日本  x"]
+    for t in texts:
+        words = t.encode().split()
+        table.learn(set(words))
+        assert np.frombuffer(b"".join(table[w] for w in words), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
