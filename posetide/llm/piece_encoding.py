@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import heapq
 import re
-from hashlib import sha256
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,26 @@ class CharMap:
         return unit >> 10 << ((unit & 0x200) >> 6)
 
 
+class Chunks(dict):
+    """Chunk of normalised text -> its ids and the bytes that each covers."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, chunk: str):
+        # no merge crosses a place whose two characters no piece has side by side
+        joints = self.model.joints
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1: i + 1] not in joints]
+        if cuts:
+            parts = [self[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
+            value = [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
+        else:
+            value = self.model.chunk_ids(chunk)
+        self[chunk] = value
+        return value
+
+
 class Model:
     """Pieces, scores and normaliser of a model file."""
 
@@ -85,14 +106,13 @@ class Model:
         self.ids = {p.piece: i for i, p in enumerate(m.pieces) if p.type == NORMAL}
         self.scores = {p.piece: p.score for p in m.pieces if p.type == NORMAL}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == BYTE}
-        self.names = [str(i).encode() for i in range(len(m.pieces))]
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
         # the characters that stand next to each other in some piece
         self.joints = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         # runs that no merge leaves: spaces in front, then neither space nor line break
         closed = all(not (b == SPACE and a != SPACE) and "\n" not in (a, b) for a, b in self.joints)
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if closed else r"(?s).+")
-        self.cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.cache = Chunks(self)
 
     # -- normalisation ----------------------------------------------------
     def normalise(self, text: str) -> tuple[str, np.ndarray | None]:
@@ -157,10 +177,17 @@ class Model:
         """Pieces of a chunk: the adjacent pair with the best score is joined
         until none is a piece; leftmost first among equal scores."""
         score = self.scores
-        if chunk in score and len(chunk) == 1:
-            return [chunk]
         parts: list[str | None] = list(chunk)
         n = len(parts)
+        if n <= 24:  # looking at every pair is quicker than keeping a heap
+            while True:
+                best, at = None, 0
+                for i, (a, b) in enumerate(zip(parts, parts[1:])):
+                    if (found := score.get(a + b)) is not None and (best is None or found > best):
+                        best, at = found, i
+                if best is None:
+                    return parts
+                parts[at: at + 2] = [parts[at] + parts[at + 1]]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(-score[p], i, p, i + 1) for i in range(n - 1) if (p := chunk[i: i + 2]) in score]
         heapq.heapify(heap)
@@ -178,35 +205,30 @@ class Model:
                 heapq.heappush(heap, (-score[p], k, p, i))
         return [p for p in parts if p is not None]
 
-    def chunk_ids(self, chunk: str) -> tuple[bytes, int, np.ndarray, np.ndarray]:
-        """Of a chunk: decimal ids joined by commas, their number, the ids, the
-        bytes that each covers (only the last byte piece of a character ends it)."""
-        hit = self.cache.get(chunk)
-        if hit is None:
-            ids, sizes = [], []
-            for piece in self.merge(chunk):
-                if (i := self.ids.get(piece)) is not None:
-                    ids.append(i)
-                    sizes.append(len(piece.encode()))
-                else:
-                    raw = piece.encode()
-                    ids += [self.bytes[b] for b in raw]
-                    sizes += [0] * (len(raw) - 1) + [len(raw)]
-            hit = (b",".join(self.names[i] for i in ids), len(ids), np.array(ids, np.int32), np.array(sizes, np.int32))
-            if len(self.cache) > CACHE_CHUNKS:
-                self.cache.clear()
-            self.cache[chunk] = hit
-        return hit
+    def chunk_ids(self, chunk: str) -> tuple[list[int], list[int]]:
+        """Ids of a chunk and the bytes that each covers (only the last byte
+        piece of a character covers it)."""
+        ids, sizes = [], []
+        for piece in self.merge(chunk):
+            if (i := self.ids.get(piece)) is not None:
+                ids.append(i)
+                sizes.append(len(piece.encode()))
+            else:
+                raw = piece.encode()
+                ids += [self.bytes[b] for b in raw]
+                sizes += [0] * (len(raw) - 1) + [len(raw)]
+        return ids, sizes
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, first byte and end byte of each piece in the original text. A
         character's byte pieces all span the whole character."""
         normal, source = self.normalise(text)
-        parts = [self.chunk_ids(c) for c in self.chunks.findall(normal)]
+        if len(self.cache) > CACHE_CHUNKS:
+            self.cache.clear()
+        parts = list(map(self.cache.__getitem__, self.chunks.findall(normal)))
         if not parts:
             return (np.zeros(0, np.int32),) * 3
-        ids = np.concatenate([p[2] for p in parts])
-        sizes = np.concatenate([p[3] for p in parts])
+        ids, sizes = (np.array(list(chain.from_iterable(map(itemgetter(k), parts))), np.int32) for k in (0, 1))
         if source is None:
             source = self._plain(text, normal)
         ends = np.cumsum(sizes)
