@@ -5,7 +5,7 @@ walks the text and at each place takes the longest prefix that the compiled
 character map (a double-array trie over UTF-8 bytes) knows, noting for every
 byte it writes which source bytes it came from. The normalised text is cut
 where no piece could reach across, each distinct chunk is merged once (best
-score first, leftmost among equals), and every piece is projected through the
+score first, leftmost among equals; short chunks many at a time), and every piece is projected through the
 alignment to a span of the original bytes. Characters that no piece has
 become byte pieces.
 """
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CACHE_CHUNKS = 400_000
+#: Characters of a chunk that is merged with others, and how many at once.
+SHORT, TOGETHER = 64, 20_000
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -66,23 +68,35 @@ class CharMap:
 
 
 class Chunks(dict):
-    """Chunk of normalised text -> its ids and the bytes that each covers."""
+    """Chunk of normalised text -> its ids, and the bytes that each covers, as
+    32-bit numbers."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
 
-    def __missing__(self, chunk: str):
-        # no merge crosses a place whose two characters no piece has side by side
-        joints = self.model.joints
-        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1: i + 1] not in joints]
-        if cuts:
-            parts = [self[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
-            value = [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
-        else:
-            value = self.model.chunk_ids(chunk)
-        self[chunk] = value
-        return value
+    def learn(self, chunks: set[str]) -> None:
+        """Merge what is new: short chunks of known characters all at once, the
+        others one by one."""
+        if len(self) > CACHE_CHUNKS:
+            self.clear()
+        new = [c for c in chunks if c not in self]
+        known = self.model.known
+        short = [c for c in new if len(c) <= SHORT and known.issuperset(c)]
+        for at in range(0, len(short), TOGETHER):
+            part = short[at: at + TOGETHER]
+            ids, sizes, ends = self.model.merge_all(part)
+            ids, sizes, low = ids.tobytes(), sizes.tobytes(), 0
+            for chunk, end in zip(part, (4 * ends).tolist()):
+                self[chunk] = ids[low:end], sizes[low:end]
+                low = end
+        for chunk in new:
+            if chunk not in self:
+                # no merge crosses a place whose two characters no piece has side by side
+                joints = self.model.joints
+                cuts = [i for i in range(1, len(chunk)) if chunk[i - 1: i + 1] not in joints]
+                parts = [self.model.chunk_ids(chunk[a:b]) for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
+                self[chunk] = tuple(np.array([x for p in parts for x in p[k]], "<i4").tobytes() for k in (0, 1))
 
 
 class Model:
@@ -109,6 +123,7 @@ class Model:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
         # the characters that stand next to each other in some piece
         self.joints = {a + b for p in self.ids for a, b in zip(p, p[1:])}
+        self._pair_table()
         # runs that no merge leaves: spaces in front, then neither space nor line break
         closed = all(not (b == SPACE and a != SPACE) and "\n" not in (a, b) for a, b in self.joints)
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if closed else r"(?s).+")
@@ -173,21 +188,81 @@ class Model:
         return np.concatenate([np.zeros(len(SPACE.encode()) * self.prefix, np.int64), body, [len(raw)]])
 
     # -- merging ------------------------------------------------------------
+    def _pair_table(self) -> None:
+        """Every pair of symbols that makes a piece. Symbols are the pieces and
+        the characters in them; ``rank`` orders pieces by falling score, equal
+        scores alike."""
+        pieces = list(self.ids)
+        symbol = {p: i for i, p in enumerate(dict.fromkeys(chain(pieces, *pieces)))}
+        values = sorted(set(self.scores.values()), reverse=True)
+        place = dict(zip(values, range(len(values))))
+        pairs = sorted((symbol[l] * len(symbol) + symbol[r], symbol[p])
+                       for p in pieces for k in range(1, len(p))
+                       if (l := p[:k]) in symbol and (r := p[k:]) in symbol)
+        self.pairs, self.joined = (np.array(c, np.int64) for c in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+        self.rank = np.array([place[self.scores[p]] if p in self.scores else len(values) for p in symbol], np.int64)
+        self.symbol_ids = np.array([self.ids.get(p, -1) for p in symbol], "<i4")
+        self.symbol_bytes = np.array([len(p.encode()) for p in symbol], "<i4")
+        # characters that are pieces, so that nothing made of them needs byte pieces
+        self.known = {p for p in pieces if len(p) == 1}
+        self.of_character = np.zeros(1 + max(map(ord, self.known), default=0), np.int64)
+        for p in self.known:
+            self.of_character[ord(p)] = symbol[p]
+
+    def merge_all(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge many chunks of known characters side by side: in each round
+        every chunk joins its leftmost pair of the best score. Returns ids,
+        sizes in bytes and where each chunk ends."""
+        symbols = self.of_character[np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")]
+        owner = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
+        done, width, never = [], len(self.symbol_ids), len(self.rank) + 1
+
+        def look(left, right, same):
+            """(rank, symbol made) of pairs; ``never`` if they make none."""
+            code = left * width + right
+            at = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+            made = np.where(same & (self.pairs[at] == code), self.joined[at], -1)
+            return np.where(made >= 0, self.rank[made], never), made
+
+        if len(symbols) and len(self.pairs):
+            # pair i is that of symbols i and i + 1; the last has no partner
+            rank, made = look(symbols, np.r_[symbols[1:], 0], np.r_[owner[1:] == owner[:-1], False])
+        while len(symbols) and len(self.pairs):
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            sizes = np.diff(np.r_[starts, len(owner)])
+            best = np.minimum.reduceat(rank, starts)
+            live = np.repeat(best < never, sizes)
+            if not live.all():  # chunks with nothing to join are set aside
+                done.append((owner[~live], symbols[~live]))
+                symbols, owner, rank, made = symbols[live], owner[live], rank[live], made[live]
+                sizes, best = sizes[best < never], best[best < never]
+                if not len(symbols):
+                    break
+            hits = np.flatnonzero(rank == np.repeat(best, sizes))
+            hits = hits[np.r_[True, owner[hits][1:] != owner[hits][:-1]]]
+            symbols[hits] = made[hits]
+            stay = np.ones(len(symbols), bool)
+            stay[hits + 1] = False
+            symbols, owner, rank, made = symbols[stay], owner[stay], rank[stay], made[stay]
+            hits -= np.arange(len(hits))  # one symbol went behind each hit
+            # only the pairs on either side of a joined symbol have changed
+            touched = np.concatenate([hits, hits[hits > 0] - 1])
+            after = np.minimum(touched + 1, len(symbols) - 1)
+            rank[touched], made[touched] = look(
+                symbols[touched], symbols[after], (owner[touched] == owner[after]) & (after > touched))
+        done.append((owner, symbols))
+        owner, symbols = (np.concatenate(c) for c in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        symbols = symbols[order]
+        ends = np.cumsum(np.bincount(owner, minlength=len(chunks)))
+        return self.symbol_ids[symbols], self.symbol_bytes[symbols], ends
+
     def merge(self, chunk: str) -> list[str]:
         """Pieces of a chunk: the adjacent pair with the best score is joined
         until none is a piece; leftmost first among equal scores."""
         score = self.scores
         parts: list[str | None] = list(chunk)
         n = len(parts)
-        if n <= 24:  # looking at every pair is quicker than keeping a heap
-            while True:
-                best, at = None, 0
-                for i, (a, b) in enumerate(zip(parts, parts[1:])):
-                    if (found := score.get(a + b)) is not None and (best is None or found > best):
-                        best, at = found, i
-                if best is None:
-                    return parts
-                parts[at: at + 2] = [parts[at] + parts[at + 1]]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(-score[p], i, p, i + 1) for i in range(n - 1) if (p := chunk[i: i + 2]) in score]
         heapq.heapify(heap)
@@ -222,17 +297,26 @@ class Model:
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, first byte and end byte of each piece in the original text. A
         character's byte pieces all span the whole character."""
-        normal, source = self.normalise(text)
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        parts = list(map(self.cache.__getitem__, self.chunks.findall(normal)))
-        if not parts:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """:meth:`encode` of several texts, whose chunks are merged together."""
+        normal = [self.normalise(t) for t in texts]
+        chunks = [self.chunks.findall(n) for n, _ in normal]
+        self.cache.learn(set().union(*chunks))
+        return [self._projected(t, n, source, c) for t, (n, source), c in zip(texts, normal, chunks)]
+
+    def _projected(self, text: str, normal: str, source: np.ndarray | None, chunks: list[str]):
+        if not chunks:
             return (np.zeros(0, np.int32),) * 3
-        ids, sizes = (np.array(list(chain.from_iterable(map(itemgetter(k), parts))), np.int32) for k in (0, 1))
+        parts = list(map(self.cache.__getitem__, chunks))
+        ids, sizes = (np.frombuffer(b"".join(map(itemgetter(k), parts)), "<i4") for k in (0, 1))
         if source is None:
             source = self._plain(text, normal)
         ends = np.cumsum(sizes)
         starts = ends - sizes
+        if sizes.all():
+            return ids, source[starts], source[ends]
         # bytes of one character: all but the last have size 0 and end early
         last = np.flatnonzero(sizes)
         of = np.searchsorted(last, np.arange(len(sizes)))
@@ -263,7 +347,7 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                out = [m.encode(t or "") for t in part.column(1).to_pylist()]
+                out = m.encode_all([t or "" for t in part.column(1).to_pylist()])
                 offsets = pa.array(np.cumsum([0, *(len(o[0]) for o in out)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0),
