@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ WINDOW = 2048
 END_ID = 1
 CACHE_WORDS = 800_000
 PLAIN = re.compile(rb"[!-&(-;=-~]+")
+#: Runs of letters in one call of the tokenizer.
+TOGETHER = 1000
 RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
@@ -45,7 +48,11 @@ class WordIds(dict):
     the tokenizer once. A plain ASCII word is looked up by its runs of letters,
     single digits and runs of signs, at which the rules cut, in lower case,
     which they make of it; words with an apostrophe (contractions) or the mark
-    that opens special tokens are not plain."""
+    that opens special tokens are not plain.
+
+    A call of the tokenizer costs more than a short run does, so runs of letters
+    go there many at a time with a single digit between them: the rules cut at
+    every digit, and no run of letters has a digit's id."""
 
     def __init__(self, path: str):
         import os
@@ -53,14 +60,30 @@ class WordIds(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        (self.digit,) = self._ids("0")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn_letters(self, runs: list[bytes]) -> None:
+        """Take up runs of letters."""
+        for at in range(0, len(runs), TOGETHER):
+            part = runs[at: at + TOGETHER]
+            ids = np.array(self._ids((b"0".join(part) + b"0").decode()), "<u4")
+            ends = np.flatnonzero(ids == self.digit)
+            raw, low = ids.tobytes(), 0
+            for run, end in zip(part, (4 * ends).tolist(), strict=True):
+                self[run] = raw[low:end]
+                low = end + 4
 
     def learn(self, words: set[bytes]) -> None:
-        import numpy as np
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = words.difference(self)
+        new = [w for w in words if w not in self]
         parts = {w: RUNS.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in new}
-        once = list(set().union(*parts.values()).difference(self))
+        once = set().union(*parts.values()).difference(self)
+        self._learn_letters([p for p in once if p.isalpha()])
+        once = list(once.difference(self))
         for part, e in zip(once, self.tokenizer.encode_batch_fast([p.decode() for p in once], add_special_tokens=False)):
             self[part] = np.array(e.ids, "<u4").tobytes()
         for word, runs in parts.items():
