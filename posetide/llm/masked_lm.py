@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, HASHES, text_bytes
+from .common import U64, mix, text_bytes
 
 BUCKETS = 1 << 16
 CLASSES = 128
@@ -32,13 +32,54 @@ PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
+#: Logits under this bound in size need no shift before they are raised.
+SAFE = 40.0
 #: Weights travel as multiples of this.
 UNIT = 1.0 / (1 << 24)
 SEED = 7
+#: Bytes of text that are hashed together (a longer word is taken whole).
+BLOCK = 1 << 18
+FACTOR = U64(0x9E3779B97F4A7C15)
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def text_buckets(raw: bytes) -> np.ndarray:
+    """Bucket of each word of a text, in turn: a polynomial of its bytes,
+    mixed. Texts are cut between words into blocks, which bounds the memory."""
+    out, data, at = [np.zeros(0, np.int64)], np.frombuffer(raw, np.uint8), 0
+    while at < len(data):
+        end = min(at + BLOCK, len(data))
+        while end < len(data) and not BLANK[data[end]]:
+            # to the next blank, looking ever further ahead
+            ahead = np.flatnonzero(BLANK[data[end: end + BLOCK]])
+            end = end + int(ahead[0]) if len(ahead) else min(end + BLOCK, len(data))
+        out.append(_hashed(data[at:end]))
+        at = end
+    return np.concatenate(out)
 
 
 def buckets(words: list[bytes]) -> np.ndarray:
-    return (HASHES.of(words) >> U64(64 - 16)).astype(np.int64)
+    return text_buckets(b"\n".join(words))
+
+
+def _hashed(data: np.ndarray) -> np.ndarray:
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~BLANK[data]
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = turns[::2], turns[1::2] - turns[::2]
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    letters = data[inside[1:-1].view(bool)].astype(np.uint64) + U64(1)
+    first = ends - sizes
+    place = np.arange(ends[-1]) - np.repeat(first, sizes)
+    powers = np.cumprod(np.full(int(sizes.max()), FACTOR, np.uint64))
+    values = np.add.reduceat(letters * powers[place], first)
+    return (mix(values) >> U64(64 - 16)).astype(np.int64)
+
+
+ONES = np.ones(CLASSES, np.float32)
 
 
 class Network:
@@ -55,41 +96,48 @@ class Network:
         ends = np.cumsum([0, *self.sizes])
         self.table, self.bias, self.out, self.base = (
             self.flat[a:b].reshape(s) for a, b, s in zip(ends, ends[1:], shapes))
+        self.last = self.flat[ends[2]:].reshape(HIDDEN + 1, CLASSES)  # out, and base below it
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
+        """Hidden layer, and a last column of ones for the base."""
+        wide = np.ones((len(context), HIDDEN + 1), np.float32)
         total = self.bias + self.table[0][context[:, 0]]
         for k in range(1, len(PLACES)):
             total += self.table[k][context[:, k]]
-        return np.tanh(total, out=total)
+        np.tanh(total, out=wide[:, :HIDDEN])
+        return wide
 
     def odds(self, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(unscaled probabilities of the classes, their sums)."""
-        odds = hidden @ self.out
-        odds += self.base
-        odds -= odds.max(axis=1, keepdims=True)
+        odds = hidden @ self.last
+        # hidden values lie within -1 and 1, which bounds the logits
+        if float(np.abs(self.last).sum(axis=0).max()) > SAFE:
+            odds -= odds.max(axis=1, keepdims=True)
         np.exp(odds, out=odds)
-        return odds, odds.sum(axis=1)
+        return odds, odds @ ONES
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         odds, total = self.odds(self.hidden(context))
-        return np.log(odds[np.arange(len(target)), target]) - np.log(total)
+        return np.log(np.maximum(odds[np.arange(len(target)), target], np.finfo(np.float32).tiny) / total)
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Gradient of the mean loss."""
+        """Gradient of the mean loss. The division by the sums of the odds and
+        by the number of tokens is done on the hidden layer's side, which is
+        much narrower than the classes."""
         n = len(target)
         hidden = self.hidden(context)
         d, total = self.odds(hidden)
-        d /= total[:, None]
-        d[np.arange(n), target] -= 1
-        d /= n
-        d_total = (d @ self.out.T) * (1 - hidden * hidden)
+        d[np.arange(n), target] -= total
+        scale = (1 / (total * n))[:, None]
+        inner = hidden[:, :HIDDEN]
+        d_total = (d @ self.out.T) * ((1 - inner * inner) * scale)
         tables = np.zeros_like(self.table)
         for k in range(len(PLACES)):
             order = np.argsort(context[:, k], kind="stable")
             ranked = context[order, k]
             starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
             tables[k, ranked[starts]] = np.add.reduceat(d_total[order], starts, axis=0)
-        return np.concatenate([tables.ravel(), d_total.sum(0), (hidden.T @ d).ravel(), d.sum(0)])
+        return np.concatenate([tables.ravel(), d_total.sum(0), ((hidden * scale).T @ d).ravel()])
 
 
 def contexts(classes: np.ndarray) -> np.ndarray:
@@ -125,10 +173,7 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _counted(batches):
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for text in text_bytes(batch.column(0)):
-            words = text.split()
-            if words:
-                counts += np.bincount(buckets(words), minlength=BUCKETS)
+        counts += np.bincount(text_buckets(b"\n".join(text_bytes(batch.column(0)))), minlength=BUCKETS)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen], pa.int64())], names=["bucket", "n"])
 
@@ -181,8 +226,7 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarra
         def local(batches, start=start):
             weights, classes = start.value
             net = Network(weights)
-            words = (t.split() for b in batches for t in text_bytes(b.column(0)))
-            seen = train_part(net, (classes[buckets(w)] for w in words if w))
+            seen = train_part(net, (classes[text_buckets(t)] for b in batches for t in text_bytes(b.column(0))))
             if seen:
                 moved = np.rint(net.flat.astype(np.float64) / UNIT).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -202,8 +246,12 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarra
 
 def log_likelihood(net: Network, classes: np.ndarray, share: np.ndarray, words: list[bytes]) -> float:
     """Sum over a text's words of their log-probability given both sides."""
+    return likelihood(net, classes, share, buckets(words))
+
+
+def likelihood(net: Network, classes: np.ndarray, share: np.ndarray, b: np.ndarray) -> float:
+    """The same, of the words' buckets."""
     total = 0.0
-    b = buckets(words)
     c = classes[b]
     context = contexts(c)
     for at in range(0, len(c), BATCH):
@@ -228,10 +276,10 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         weights, classes, share = model.value
         net = Network(weights)
         for batch in batches:
-            words = [t.split() for t in text_bytes(batch.column(1))]
-            sums = [log_likelihood(net, classes, share, w) if w else 0.0 for w in words]
+            words = [text_buckets(t).astype(np.uint16) for t in text_bytes(batch.column(1))]
+            sums = [likelihood(net, classes, share, w) for w in words]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array(sums, pa.float64()),
-                 pa.array([s / len(w) if w else None for s, w in zip(sums, words)], pa.float64())],
+                 pa.array([s / len(w) if len(w) else None for s, w in zip(sums, words)], pa.float64())],
                 names=["doc_id", "n_tokens", "log_likelihood", "score"])
     return chosen.mapInArrow(run, f"doc_id {kind}, n_tokens long, log_likelihood double, score double")
