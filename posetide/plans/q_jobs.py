@@ -98,16 +98,23 @@ def q_media_names(spark, d):
 def q_image_preprocess(spark, d):
     """Per fetched picture: network input (resize 192 x 256,
     normalise, CHW), rotations, grey promotion, crop, pad, composite and an
-    affine warp — summarised as one row of statistics per URL."""
+    affine warp — summarised as one row of statistics per URL of any image
+    column. A URL that gives no picture keeps its row, with the error."""
     import pandas as pd
     from posetide.operators.score import spread
-    w = spread(fx.fx_wide_images(spark, d).select(F.col("image_3").alias("url")).dropDuplicates())
+    wide = fx.fx_wide_images(spark, d)
+    urls = F.explode(F.array(*[c for c in wide.columns if c.startswith("image_")]))
+    w = spread(wide.select(urls.alias("url")).where("url IS NOT NULL AND url <> ''").dropDuplicates())
 
     def run(it):
         for pdf in it:
             rows = []
             for u in pdf["url"]:
-                img = decode_any(synthetic_fetch(u))
+                try:
+                    img = decode_any(synthetic_fetch(u))
+                except (OSError, ValueError) as e:
+                    rows.append((u, *[None] * 7, str(e)))
+                    continue
                 net = D.to_network_input(img)
                 r90 = D.rotate(img, 90)
                 g = D.grey_to_rgb(img[..., 0])
@@ -116,8 +123,8 @@ def q_image_preprocess(spark, d):
                 comp = D.composite_on_white(img, np.where(img.min(axis=2) < 240, 255, 0))
                 warp = D.warp_affine(img, np.array([[0.5, 0.0, 10.0], [0.0, 0.5, 5.0]]), 64, 48)
                 rows.append((u, float(net.mean()), r90.shape[0], r90.shape[1], int(g.sum() % 1000003),
-                             pad.shape[1], int(comp.sum() % 1000003), int(warp.sum() % 1000003)))
+                             pad.shape[1], int(comp.sum() % 1000003), int(warp.sum() % 1000003), None))
             yield pd.DataFrame(rows, columns=["url", "net_mean", "rot_h", "rot_w", "grey_sum", "pad_w",
-                                              "comp_sum", "warp_sum"])
+                                              "comp_sum", "warp_sum", "error"])
     return w.mapInPandas(run, "url string, net_mean double, rot_h int, rot_w int, grey_sum long, pad_w int, "
-                              "comp_sum long, warp_sum long")
+                              "comp_sum long, warp_sum long, error string")
