@@ -12,8 +12,9 @@ probability under 1e-8. So
 * a document of which nearly the whole sketch lies in longer lists belongs to a
   large group of near copies. It is held against a few members (centres) of the
   shortest of its long lists, and what that links is one component. The
-  documents that meet in such lists are a cluster; those outside its largest
-  component are held, in blocks, against all of the cluster on their full
+  documents that meet in such lists are a cluster (of each one's lists as many,
+  shortest first, that two which share the least number meet in one of them:
+  the prefix-filter bound); those outside its largest component are held, in blocks, against all of the cluster on their full
   sets, and only links come out. So the linked part of a large group costs a
   few links a member, not all pairs.
 
@@ -42,9 +43,6 @@ LEAST_SHARED = 15
 LEAST_ESTIMATE = 0.58
 LONG = 100
 CENTRES = 8
-#: Long lists by which a node finds its cluster: all eight are missed by a
-#: partner with a probability under 3e-7.
-KEYS = 8
 #: Sets on either side of a block.
 BLOCK = 500
 
@@ -242,10 +240,13 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = stored(shared.where(F.col("overlap") >= least - F.col("hidden")).select("a", "b", "overlap"), "pairs")
 
     # nodes that only long lists may link, by the shortest of their long lists:
-    # those of a group are shorter than those of a passage that many groups share
-    whole = F.least(F.lit(LEAST_SHARED), F.ceil(F.col("n") * 0.4))
+    # those of a group are shorter than those of a passage that many groups share.
+    # Two that share ``whole`` long lists meet, in one order of all lists, before
+    # either has fewer than that left: no other list is needed to find a partner
+    whole = F.least(F.lit(LEAST_SHARED), F.ceil(F.col("n") * 0.4)).cast("int")
     members = (long.join(hidden, "node").where(F.col("hidden") >= whole)
-               .groupBy("node", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("held", "v"))), 1, KEYS).alias("_keys")))
+               .groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("held", "v"))).alias("_keys"))
+               .withColumn("_keys", F.slice("_keys", F.lit(1), F.size("_keys") - whole + 1)))
     members = stored(members, "members")
     first = members.select("node", "n", F.col("_keys")[0]["v"].alias("v"))
     # the same few members of a list for everyone in it, drawn by hash

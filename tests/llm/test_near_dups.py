@@ -84,6 +84,28 @@ def test_planted_groups(spark, monkeypatch, long):
         check(spark.createDataFrame(planted(seed), "doc_id long, text string, a string"))
 
 
+def contained(copies):
+    """Two families of near copies, the second with a passage more, of whose
+    least hashes at least eight are the passage's own."""
+    words = [f"w{i}" for i in range(5000)]
+    for seed in range(1000):
+        r = random.Random(seed)
+        a = r.choices(words, k=300)
+        b = a + r.choices(words, k=45)
+        least = lambda t: near_dups.shingle_set(" ".join(t).encode())[:near_dups.LISTED].tolist()
+        if len(set(least(b)) - set(least(a))) >= 9:
+            break
+    docs = [(i * copies + k, " ".join([*x, f"own{i}x{k}"])) for i, x in enumerate((a, b)) for k in range(copies)]
+    return [(i, t, "x") for i, t in docs]
+
+
+@pytest.mark.parametrize("long, copies", [(100, 110), (5, 12)])
+def test_contained_families(spark, monkeypatch, long, copies):
+    monkeypatch.setattr(near_dups, "LONG", long)
+    got = check(spark.createDataFrame(contained(copies), "doc_id long, text string, a string"))
+    assert {g[2] for g in got} == {0}
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 480)]
