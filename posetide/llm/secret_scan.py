@@ -27,9 +27,12 @@ BASE = {
     "access": (re.compile(r"AKIA[A-Z0-9]{16,}"), 0, 20),
     "hex": (re.compile(r"[0-9a-f]{24,}"), 0, 24),
 }
+#: The keyword may stand anywhere in a name (``DB_PWD``, ``dbPassword``,
+#: ``aws_secret_access_key``, ``auth_token_v2``); short ones not behind a
+#: letter (compass), and none before one (secretary).
 CONTEXT = re.compile(
-    r"""(?ai)\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|auth|credential|(?:api|access|private|secret)[_-]?key)s?"""
-    r"""["']?\x20{0,4}(?::=|=>|[:=])\x20{0,4}(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>]+))""")
+    r"""(?ai)(?:pass(?:word|wd|phrase|code)|pwd|secret|token|(?<![a-z])(?:pass|auth|credential|(?:api|access|private|secret)[_-]?key))s?"""
+    r"""(?![a-z])[\w.-]{0,255}["']?[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>]+))""")
 #: A value is a secret from this many guesses (as a power of ten) on, if it
 #: has this many characters of at least two classes.
 LEAST_COST = 8.0

@@ -326,6 +326,21 @@ def test_guess_adds_spans_and_leaves_prose():
     assert [(t[a:b], k) for a, b, k in secret_scan.scan(t)] == [("x9$Kq2!vLm", "guess")]
 
 
+@pytest.mark.parametrize("text, value", [
+    ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG", None), ('DB_PWD="x9$Kq!2vLm"', "x9$Kq!2vLm"), ("MYSQL_PWD=zR7!kd92QpL", "zR7!kd92QpL"),
+    ('db_password="$x9#Kq!2vLm"', "$x9#Kq!2vLm"), ("db_password: aB!9x$kQ2zzP", "aB!9x$kQ2zzP"), ('pwd\t=\t"x9$Kq!2vLm"', "x9$Kq!2vLm"),
+    ("auth.token.v2 => x9$Kq!2vLm.", "x9$Kq!2vLm"), ("AUTH_TOKEN_2=" + " " * 9 + "x9$Kq!2vLm", "x9$Kq!2vLm"), ("dbPassword: x9$Kq!2vLm", "x9$Kq!2vLm")])
+def test_guess_in_longer_names(text, value):
+    value = value or text.rsplit(" ", 1)[1]
+    at = text.index(value)
+    assert (at, at + len(value), "guess") in secret_scan.scan(text)
+
+
+def test_guess_not_inside_words():
+    for t in ("author: x9$Kq!2vLm", "compass=x9$Kq!2vLm", "secretary = x9$Kq!2vLm", "passage: x9$Kq!2vLm"):
+        assert not secret_scan.scan(t)
+
+
 def test_masked(spark, hard):
     got = {g["doc_id"]: g for g in rows(secret_scan.masked(hard))}
     assert "abcdef123" not in got[13]["text"] and "AKIA" not in got[13]["text"] and got[13]["text"].count("[secret]") == 4
