@@ -6,9 +6,9 @@ host. A line above its host's limit is boilerplate and is removed; a document
 that loses most of its words that way is depleted and rejected.
 
 Copies of one document are not distinct documents: they are counted by a
-fingerprint of the whole text (the least hash of its three-word windows), so
-a page that was crawled many times does not turn its own lines into
-boilerplate. Removing copies is the near-duplicate operator's work.
+hash of the whole text, so a page that was crawled many times does not turn
+its own lines into boilerplate. Texts that differ anywhere are distinct, as
+the pages of one template are.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from .common import U64, HASHES, mix, stored, text_bytes, windows
+from .common import U64, HASHES, stored, text_bytes, windows
 
 #: Base rules.
 MIN_WORDS = 50
@@ -77,12 +78,9 @@ def profile(text: bytes):
             for k in range(3):
                 cover[k: k + len(runs)] |= hit
             again = int(cover.sum())
-        print_ = int(runs.min() >> U64(1))
-    else:
-        print_ = int(mix(h).min() >> U64(1))
     # signed hashes, as Spark's long has no unsigned form
     keys = np.array([HASHES[k] for k in lines], U64).view(np.int64).tolist()
-    return n, chars, symbols, repeated, again, print_, list(zip(keys, lines.values()))
+    return n, chars, symbols, repeated, again, xxh3_64_intdigest(text) >> 1, list(zip(keys, lines.values()))
 
 
 def _profiles(batches):

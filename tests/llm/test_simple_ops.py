@@ -69,6 +69,18 @@ def test_quality_boilerplate(spark):
     assert list(cleaned[0]) == df.columns
 
 
+def test_quality_counts_pages_of_one_template(spark):
+    r = random.Random(8)
+    line = lambda n: " ".join("".join(r.choices("abcdefghijklmnop", k=7)) for _ in range(n))
+    pages = []
+    for h in range(20):  # 190 words of template, ten of the page's own
+        template = [line(19) for _ in range(10)]
+        pages += [(h * 40 + i, "\n".join([*template, line(10)]), "en", f"h{h}", 0) for i in range(40)]
+    df = spark.createDataFrame(pages, "doc_id long, text string, lang string, source string, n_chars long")
+    got = rows(quality_lines.quality(df))
+    assert len(got) == 800 and all(g["n_removed_words"] == 190 and not g["kept"] for g in got)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_quality_clean_keeps_texts_without_boilerplate(tables, case):
     verdict = rows(quality_lines.quality(tables[case]))
