@@ -26,9 +26,11 @@ MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50  # per cent of the words
 SYMBOLS = b"#*$%&|<>"
 #: A line is boilerplate in at least this many distinct documents of its host
-#: and at least this share of the host's distinct documents.
+#: and at least this share of the host's distinct documents, and in any host
+#: from ``ENOUGH`` distinct documents on.
 MIN_DOCUMENTS = 5
 MIN_SHARE = 0.05
+ENOUGH = 1000
 #: A document that keeps less than this share of its words is depleted.
 MIN_LEFT = 0.3
 
@@ -110,13 +112,14 @@ def line_profiles(docs: DataFrame, keep: list[str], text: str, host: str) -> Dat
     return stored(chosen.mapInArrow(_profiles, f"{ids}, _host string, _row long, {PROFILE}"), "line-profiles")
 
 
-def boilerplate(profiles: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE) -> DataFrame:
+def boilerplate(profiles: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE,
+                enough: int = ENOUGH) -> DataFrame:
     """(_host, line) of the lines above their host's limit."""
     hosts = profiles.where("n_words > 0").groupBy("_host").agg(F.count_distinct("_print").alias("documents"))
     lines = (profiles.select("_host", "_print", F.explode("_lines.line").alias("line"))
              .groupBy("_host", "line").agg(F.count_distinct("_print").alias("holders"))
              .where(F.col("holders") >= min_documents))
-    return (lines.join(hosts, "_host").where(F.col("holders") >= F.col("documents") * min_share)
+    return (lines.join(hosts, "_host").where(F.col("holders") >= F.least(F.col("documents") * min_share, F.lit(enough)))
             .select("_host", "line"))
 
 

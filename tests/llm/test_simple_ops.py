@@ -81,6 +81,15 @@ def test_quality_counts_pages_of_one_template(spark):
     assert len(got) == 800 and all(g["n_removed_words"] == 190 and not g["kept"] for g in got)
 
 
+def test_quality_absolute_limit_in_large_hosts(spark):
+    profiles = spark.range(3000).selectExpr(
+        "id as _row", "'h' as _host", "id as _print", "1L as n_words",
+        "filter(array(if(id < 40, 1L, null), if(id < 39, 2L, null), id + 10), x -> x is not null) as v")
+    profiles = profiles.selectExpr("*", "transform(v, x -> named_struct('line', x, 'words', 1)) as _lines")
+    gone = lambda n: {g["line"] for g in rows(quality_lines.boilerplate(profiles, enough=n))}
+    assert gone(40) == {1} and gone(39) == {1, 2} and gone(1000) == set()
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_quality_clean_keeps_texts_without_boilerplate(tables, case):
     verdict = rows(quality_lines.quality(tables[case]))
