@@ -284,16 +284,9 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return components(links)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Groups of documents whose sets of three-word shingles have a Jaccard
-    likeness of at least 0.85, directly or over other documents.
-
-    Returns doc_id, n_shingles, component_id (the smallest doc_id of the group)
-    and kept (doc_id is component_id). Words are runs without ASCII white
-    space, A-Z lower-cased; fewer than three are one shingle. Null, empty and
-    blank texts have none and are linked with nothing. Repeated rows are one
-    group; rows without doc_id are kept if their whole group has none. No
-    documents give no rows; other columns are ignored."""
+def _grouped(docs: DataFrame, doc_id: str, text: str):
+    """(rows, sets): a row a document (doc_id, _row, _text_key, n_shingles,
+    _set) and of each set its component (_set, _comp, component_id)."""
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text_key"),
                          F.monotonically_increasing_id().alias("_row"))
     kind = dict(chosen.dtypes)["doc_id"]
@@ -305,16 +298,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     comp = _links(nodes, chosen.select("_text_key", "_text"))
     placed = sets.join(comp, "node", "left").select("_set", "_least", F.coalesce("comp", "node").alias("_comp"))
     least = placed.groupBy("_comp").agg(F.min("_least").alias("component_id"))
-    of_set = placed.join(least, "_comp").select("_set", "component_id")
-    out = rows.select("doc_id", "n_shingles", "_set").join(of_set, "_set", "left")
+    return rows, placed.join(least, "_comp").select("_set", "_comp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Groups of documents whose sets of three-word shingles have a Jaccard
+    likeness of at least 0.85, directly or over other documents.
+
+    Returns doc_id, n_shingles, component_id (the smallest doc_id of the group)
+    and kept (doc_id is component_id). Words are runs without ASCII white
+    space, A-Z lower-cased; fewer than three are one shingle. Null, empty and
+    blank texts have none and are linked with nothing. Repeated rows are one
+    group; rows without doc_id are kept if their whole group has none. No
+    documents give no rows; other columns are ignored."""
+    rows, of_set = _grouped(docs, doc_id, text)
+    out = rows.select("doc_id", "n_shingles", "_set").join(of_set.select("_set", "component_id"), "_set", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (out.withColumn("component_id", own)
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents of which near_duplicates says ``kept``, one row a group;
-    same columns."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group of near_duplicates, of those it calls
+    ``kept``; same columns. Documents are told apart by id and text together,
+    so a null or repeated doc_id drops no text of another group; without words,
+    one of each (id, text) stays."""
+    rows, of_set = _grouped(docs, "doc_id", "text")
+    key = lambda text: F.sha2(F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text), 256)
+    mine = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    led = (rows.join(of_set, "_set").where(mine).groupBy("_comp")
+           .agg(F.min(key(F.col("_text_key"))).alias("_key")).select("_key"))
+    kept = led.unionByName(rows.where("n_shingles = 0").select(key(F.col("_text_key")).alias("_key")).distinct())
+    keyed = docs.withColumn("_key", key(F.md5(F.coalesce(F.col("text"), F.lit("")))))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

@@ -126,3 +126,14 @@ def test_one_row_of_each_group_stays(hard):
     got = near_dups.without_near_duplicates(hard).collect()
     kept = {g.doc_id for g in near_dups.near_duplicates(hard).where("kept").collect()}
     assert Counter(g.doc_id for g in got) == Counter(kept) and got[0].asDict().keys() == set(hard.columns)
+
+
+def test_null_and_repeated_ids_drop_no_other_text(spark):
+    r = random.Random(6)
+    own = [" ".join(f"w{r.randrange(9000)}" for _ in range(60)) for _ in range(8)]
+    a, b, c, d, e, f, g, h = own
+    rows = [(None, a), (None, a), (None, b), (None, c + " tail"), (1, c),  # null ids: own texts, and a copy of id 1
+            (7, d), (7, e), (7, e), (7, f), (2, f + " tail"), (3, g), (9, g), (9, h), (4, None), (4, ""), (None, None)]
+    got = near_dups.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = Counter((x.doc_id, x.text) for x in got if x.text)
+    assert texts == Counter([(None, a), (None, b), (1, c), (7, d), (7, e), (2, f + " tail"), (3, g), (9, h)])
