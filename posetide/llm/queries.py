@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kd_shards as shards
-from . import (masked_lm, near_dups, piece_encoding, quality_lines, quartile_digest, repeated_passages, secret_scan, slack_packing, url_rules)
+from . import (language_filters, masked_lm, near_dups, piece_encoding, quality_lines, quartile_digest, repeated_passages, secret_scan,
+               slack_packing, token_alignment, url_rules, word_runs)
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +104,52 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_masked_lm")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.scores(documents(spark, sf_dir))
+
+
+@query("op11_language_filters")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_filters.identified(documents(spark, sf_dir))
+
+
+@query("op12_diagonal_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.alignments(documents(spark, sf_dir).select("doc_id", "text"),
+                                         tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    out = token_alignment.link_counts(aligned.select("doc_id", "n_a", "n_b", digest.alias("groups_sha256"), "links"))
+    return out.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; each tenth text (by the checksum of its id) repeats a
+    stretch of its words up to its end. A null id counts as none of these."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def plant(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for i, code in enumerate(batch.column(2).to_pylist()):
+                words = (texts[i] or "").encode().split() if code is not None and code % 10 == 0 else []
+                if words:
+                    g = code // 10
+                    a = g % len(words)
+                    p = 1 + (len(words) - a) // (3 + g % 8)
+                    words[a:] = [words[a + k % p] for k in range(len(words) - a)]
+                    texts[i] = b" ".join(words).decode()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return docs.select("doc_id", "text", h.alias("_code")).mapInArrow(plant, f"doc_id {dict(docs.dtypes)['doc_id']}, text string")
+
+
+@query("op13_word_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    # runs come by start and period, so the first of equal exponents is the one asked for
+    best = F.reduce("runs", F.expr("cast(null as struct<start: bigint, length: bigint, period: bigint>)"),
+                    lambda old, new: F.when(old.isNull() | (new["length"] * old["period"] > old["length"] * new["period"]), new).otherwise(old))
+    written = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.expr("1000 * best.length div best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(written, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
