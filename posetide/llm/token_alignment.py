@@ -3,9 +3,9 @@
 Both token sequences are turned into arrays of byte ends. Where both are cut at
 the same byte, a group ends. Most groups are one token to one, so the arrays
 mostly agree at a fixed shift of their indices (a diagonal): from an agreement
-on, windows of 1, 2, 4 ... ends are compared at that shift until one differs,
-which is narrowed by halves, and the whole stretch is jumped. Where the ends
-differ, the smaller one is advanced until they meet; that irregular group
+on, windows of 4, 8, 16 ... ends are compared at that shift until one differs,
+whose first difference is found at once, and the whole stretch is jumped. Where
+the ends differ, the smaller one is advanced until they meet; that irregular group
 changes the shift.
 
 The last tokens of a group end together and are linked. How often an id pair is
@@ -22,6 +22,7 @@ import os
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,8 +32,14 @@ from .common import stored
 
 #: Characters given to a tokenizer at a time; longer texts are cut between words.
 AT_ONCE = 1 << 18
+#: Ends compared by the first probe of a stretch; each further one doubles.
+FIRST_STEP = 4
 #: Links of a block, which is handled in one piece.
 BLOCK_LINKS = 2_000_000
+#: Characters whose classes (letter, number, space) all versions of Unicode agree on.
+OTHER = re.compile("[^\x00-\u024f]")
+#: A run without a break from which on merging pairs needs a heap.
+LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
 #: A blank between two letters begins a token of a byte-level tokenizer.
 BETWEEN = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 SPACE = "▁"
@@ -75,12 +82,31 @@ class ByteTokens:
         for token in parsed["added_tokens"]:
             self.bytes[token["id"]] = token["content"].encode()
         self.sizes = np.array(list(map(len, self.bytes)))
+        self.lossless = not parsed["normalizer"] and {bytes([b]) for b in range(256)} <= set(self.bytes)
+        self.quick = self._quick(parsed)
+
+    def _quick(self, parsed):
+        """A faster encoder with the file's ranks, if the file is plain: every
+        merge makes the next id, no normaliser, the usual splitting."""
+        model, split = parsed["model"], parsed["pre_tokenizer"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        if (parsed["normalizer"] or model.get("dropout") or split["type"] != "ByteLevel" or split["add_prefix_space"]
+                or [model["vocab"].get(m) for m in merged] != list(range(256, 256 + len(merged)))):
+            return None
+        import tiktoken
+        ranks = {self.bytes[i]: i for i in range(256 + len(merged))}
+        # fixed value: how byte-level tokenizers split a text
+        pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        return tiktoken.Encoding("ranks of the file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of the texts, a bounded amount of text at a time."""
-        out: list[list[int]] = [[] for _ in texts]
+        out: list = [[] for _ in texts]
         waiting, where, size = [], [], 0
         for i, text in enumerate(texts):
+            if self.quick and not OTHER.search(text) and (len(text) < 4000 or not LONG_RUN.search(text)):
+                out[i] = self.quick.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+                continue
             for part in cut_text(text):
                 waiting.append(part)
                 where.append(i)
@@ -89,7 +115,7 @@ class ByteTokens:
                     self._flush(waiting, where, out)
                     size = 0
         self._flush(waiting, where, out)
-        return out
+        return [x if isinstance(x, np.ndarray) else np.array(x, np.int64) for x in out]
 
     def _flush(self, waiting, where, out):
         for i, e in zip(where, self.tokenizer.encode_batch_fast(waiting, add_special_tokens=False)):
@@ -113,41 +139,48 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1) if texts else []
 
 
-def diagonal_cuts(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Numbers of tokens up to each common end, for two increasing lists of ends
+def diagonal_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of tokens up to each common end, for two increasing arrays of ends
     with the same last one."""
+    flat_a, flat_b = ends_a.astype("<u8").tobytes(), ends_b.astype("<u8").tobytes()
+    a, b = memoryview(flat_a).cast("Q"), memoryview(flat_b).cast("Q")
     i = j = 0
     n = len(a)
-    cuts_a: list[int] = []
-    cuts_b: list[int] = []
+    found: list[int] = []   # first common end of a stretch on both sides, and how many follow one to one
     while i < n:
-        if a[i] == b[j]:
-            k = step = 1
-            while (ahead := a[i + k:i + k + step]) and ahead == b[j + k:j + k + step]:
-                k += len(ahead)
-                step *= 2
-            while step > 1:
-                step //= 2
-                if (ahead := a[i + k:i + k + step]) and ahead == b[j + k:j + k + step]:
-                    k += len(ahead)
-            cuts_a.extend(range(i + 1, i + k + 1))
-            cuts_b.extend(range(j + 1, j + k + 1))
-            i += k
-            j += k
-        else:
-            x, y = a[i], b[j]
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = a[i]
-                else:
-                    j += 1
-                    y = b[j]
-            i += 1
-            j += 1
-            cuts_a.append(i)
-            cuts_b.append(j)
-    return cuts_a, cuts_b
+        x, y = a[i], b[j]
+        while x != y:
+            if x < y:
+                i += 1
+                x = a[i]
+            else:
+                j += 1
+                y = b[j]
+        k, step = 1, FIRST_STEP
+        while True:
+            x, y = flat_a[8 * (i + k):8 * (i + k + step)], flat_b[8 * (j + k):8 * (j + k + step)]
+            if x != y or not x:
+                break
+            k += len(x) // 8
+            step *= 2
+        if x and y:  # the ends of the window that still agree
+            differ = int.from_bytes(x, "little") ^ int.from_bytes(y, "little")
+            k += ((differ & -differ).bit_length() - 1) // 64 if len(x) == len(y) else _agreeing(x, y)
+        found += (i, j, k)
+        i += k
+        j += k
+    first_a, first_b, sizes = np.array(found, np.int64).reshape(-1, 3).T
+    inside = np.arange(1, int(sizes.sum()) + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(first_a, sizes) + inside, np.repeat(first_b, sizes) + inside
+
+
+def _agreeing(x: bytes, y: bytes) -> int:
+    """Leading 8-byte values that two windows of unequal size share."""
+    size = min(len(x), len(y))
+    if x[:size] == y[:size]:
+        return size // 8
+    differ = int.from_bytes(x[:size], "little") ^ int.from_bytes(y[:size], "little")
+    return ((differ & -differ).bit_length() - 1) // 64
 
 
 class Aligner:
@@ -170,11 +203,14 @@ class Aligner:
     def align(self, raw: bytes, ids_a: list[int], ids_b: list[int]):
         """(ids of A, of B, tokens up to each cut on both sides); None if a
         side's bytes are not ``raw``."""
-        if b"".join(map(self.a.bytes.__getitem__, ids_a)) != raw or b"".join(map(self.b.bytes.__getitem__, ids_b)) != raw:
+        a, b = np.asarray(ids_a), np.array(ids_b)
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        # a byte-level side with all 256 bytes gives back any text
+        if ends_a[-1] != len(raw) or ends_b[-1] != len(raw) or b"".join(map(self.b.bytes.__getitem__, ids_b)) != raw:
+            return None
+        if not self.a.lossless and b"".join(map(self.a.bytes.__getitem__, a.tolist())) != raw:
             return None
-        a, b = np.array(ids_a), np.array(ids_b)
-        cuts = diagonal_cuts(np.cumsum(self.a.sizes[a]).tolist(), np.cumsum(self.b.sizes[b]).tolist())
-        return a, b, np.array(cuts[0]), np.array(cuts[1])
+        return a, b, *diagonal_cuts(ends_a, ends_b)
 
     def written(self, a, b, cuts_a, cuts_b) -> str:
         """``a1,a2|b1;a3|b2,b3``: the groups' ids on both sides."""
@@ -265,10 +301,12 @@ def _blocked(width: int, names: list[str]):
             rows = len(batch)
             links = batch.column(width)
             sizes = np.diff(links.offsets.to_numpy())
-            pairs, at = np.unique(links.flatten().to_numpy(), return_inverse=True)
+            at, pairs = pd.factorize(links.flatten().to_numpy())
             owner = np.repeat(np.arange(rows, dtype=np.int64), sizes)
-            keys, times = np.unique(owner * max(1, len(pairs)) + at, return_counts=True)
-            ends = np.searchsorted(keys, np.arange(rows + 1) * max(1, len(pairs)))
+            # different (row, pair) in order of appearance, so by row
+            which, keys = pd.factorize(owner * max(1, len(pairs)) + at)
+            times = np.bincount(which, minlength=len(keys))
+            ends = np.searchsorted(keys // max(1, len(pairs)), np.arange(rows + 1))
             places = (keys % max(1, len(pairs))).astype(np.int32)
             block = pa.array(np.full(rows + 1, (part << 32) + number), pa.int64())
             ends = pa.array([*ends, ends[-1]], pa.int32())

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
 from posetide.llm import queries
@@ -92,7 +93,20 @@ def test_diagonals():
         a = [x for x in range(1, n) if r.random() < share] + [n]
         b = [x for x in range(1, n) if r.random() < r.choice([.1, share])] + [n]
         both = sorted(set(a) & set(b))
-        assert ta.diagonal_cuts(a, b) == ([a.index(x) + 1 for x in both], [b.index(x) + 1 for x in both])
+        got = ta.diagonal_cuts(np.array(a), np.array(b))
+        assert [x.tolist() for x in got] == [[a.index(x) + 1 for x in both], [b.index(x) + 1 for x in both]]
+
+
+def test_quick_ids_are_the_tokenizers_own():
+    side = ta.ByteTokens(A)
+    assert side.quick and side.lossless
+    r = random.Random(5)
+    signs = [*map(chr, range(0x250)), *" '  \n\t", "'s", "'ll", " the", "ing", "<|endoftext|>", "don't", "\u00a0", "\x85"]
+    texts = ["".join(r.choices(signs, k=r.randrange(0, 60))) for _ in range(3000)]
+    texts += ["".join(r.choices("abc de'", k=500)) for _ in range(50)] + ["ab" * 6000, "\u4e2d\u6587 \u2581 \U0001F600"]
+    quick = side.encode(texts)
+    side.quick = None
+    assert all((x == y).all() if len(x) == len(y) else False for x, y in zip(quick, side.encode(texts)))
 
 
 def test_dealt_blocks(monkeypatch):
