@@ -116,7 +116,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = token_alignment.alignments(documents(spark, sf_dir).select("doc_id", "text"),
                                          tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
-    out = token_alignment.link_counts(aligned.select("doc_id", "n_a", "n_b", digest.alias("groups_sha256"), "links"))
+    out = token_alignment.link_counts(aligned.select("doc_id", "n_a", "n_b", digest.alias("groups_sha256"), "links", "times"))
     return out.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256")
 
 

@@ -226,15 +226,17 @@ class Aligner:
         return "".join(map(self.shown.__getitem__, out.tolist()))[:-1]
 
     def batch(self, texts: list[str | None]):
-        """n_a, n_b, groups and linked id pairs of each text."""
+        """n_a, n_b, groups, different linked id pairs and how often, of each text."""
         present = [i for i, t in enumerate(texts) if t]
         given = [texts[i] for i in present]
-        rows: list[tuple[int, int, str, np.ndarray]] = [(0, 0, "", np.zeros(0, np.int64))] * len(texts)
+        none = np.zeros(0, np.int64)
+        rows: list[tuple[int, int, str, np.ndarray, np.ndarray]] = [(0, 0, "", none, none)] * len(texts)
         for i, text, ids_a, ids_b in zip(present, given, self.a.encode([" " + t for t in given]), self.b.encode(given)):
             got = self.align((" " + text).encode(), ids_a, ids_b)
             if got:
                 a, b, cuts_a, cuts_b = got
-                rows[i] = len(a), len(b), self.written(*got), a[cuts_a - 1] << 32 | b[cuts_b - 1]
+                pairs, times = np.unique(a[cuts_a - 1] << 32 | b[cuts_b - 1], return_counts=True)
+                rows[i] = len(a), len(b), self.written(*got), pairs, times
         return rows
 
 
@@ -252,7 +254,8 @@ def _slices(texts: list[str | None]):
 
 def alignments(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with n_a, n_b, ``groups`` (``a1,a2|b1;a3|b2,b3``, ids in
-    order) and ``links`` (array of A id * 2**32 + B id, one a group).
+    order), ``links`` (different linked pairs, as A id * 2**32 + B id) and ``times``
+    (how often each; they add up to the number of groups).
 
     ``a`` is a byte-level tokenizer file, given a blank and the text, ``b`` a
     sentencepiece file that adds the blank. Strings of special tokens inside a
@@ -260,7 +263,7 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame
     side's bytes has no tokens: zeros, an empty string, no links. Texts are
     aligned whole; equal texts have equal results; no rows give none. The added
     columns take the place of columns of their names."""
-    added = ("n_a", "n_b", "groups", "links")
+    added = ("n_a", "n_b", "groups", "links", "times")
     keep = [(c, t) for c, t in docs.dtypes if c != text and c not in added]
 
     def run(batches):
@@ -269,15 +272,16 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame
             texts = batch.column(len(keep)).to_pylist()
             for begin, end in _slices(texts):
                 rows = aligner.batch(texts[begin:end])
-                n_a, n_b, groups, links = zip(*rows)
-                ends = np.cumsum([0, *map(len, links)])
+                n_a, n_b, groups, links, times = zip(*rows)
+                ends = pa.array(np.cumsum([0, *map(len, links)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(begin, end - begin) for i in range(len(keep))),
                      pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(groups, pa.string()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(links)))],
+                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(links))),
+                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times), pa.int32()))],
                     names=[*(c for c, _ in keep), *added])
 
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in keep), "n_a long, n_b long, groups string, links array<bigint>"])
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in keep), "n_a long, n_b long, groups string, links array<bigint>, times array<int>"])
     return docs.select(*(f"`{c}`" for c, _ in keep), f"`{text}`").mapInArrow(run, schema)
 
 
@@ -294,46 +298,44 @@ def _dealt(batches, width: int):
 
 def _blocked(width: int, names: list[str]):
     """Deal rows into blocks: a row keeps the places of its links among the
-    block's different pairs; one more row a block holds these and their counts."""
+    block's different pairs; one more row a block holds these and their counts.
+    The last two columns given are links and times."""
     def run(batches):
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(_dealt(batches, width)):
             rows = len(batch)
             links = batch.column(width)
             sizes = np.diff(links.offsets.to_numpy())
-            at, pairs = pd.factorize(links.flatten().to_numpy())
-            owner = np.repeat(np.arange(rows, dtype=np.int64), sizes)
-            # different (row, pair) in order of appearance, so by row
-            which, keys = pd.factorize(owner * max(1, len(pairs)) + at)
-            times = np.bincount(which, minlength=len(keys))
-            ends = np.searchsorted(keys // max(1, len(pairs)), np.arange(rows + 1))
-            places = (keys % max(1, len(pairs))).astype(np.int32)
+            times = batch.column(width + 1).flatten()
+            places, pairs = pd.factorize(links.flatten().to_numpy())
+            counts = np.bincount(places, weights=times.to_numpy(), minlength=len(pairs)).astype(np.int64)
+            ends = np.cumsum([0, *sizes])
             block = pa.array(np.full(rows + 1, (part << 32) + number), pa.int64())
             ends = pa.array([*ends, ends[-1]], pa.int32())
             whole = pa.array([0] * (rows + 1) + [len(pairs)], pa.int32())
             columns = [pa.concat_arrays([batch.column(i), pa.nulls(1, batch.column(i).type)]) for i in range(width)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, block, pa.array([False] * rows + [True]),
-                 pa.ListArray.from_arrays(ends, pa.array(places)),
-                 pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                 pa.ListArray.from_arrays(ends, pa.array(places, pa.int32())),
+                 pa.ListArray.from_arrays(ends, times),
                  pa.ListArray.from_arrays(whole, pa.array(pairs)),
-                 pa.ListArray.from_arrays(whole, pa.array(np.bincount(at, minlength=len(pairs)).astype(np.int64)))],
+                 pa.ListArray.from_arrays(whole, pa.array(counts))],
                 names=[*names, "_block", "_pairs_row", "_places", "_times", "_pairs", "_counts"])
     return run
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
-    """``aligned`` without ``links``, with n_links, n_best (links whose pair's count
+    """``aligned`` without ``links`` and ``times``, with n_links, n_best (links whose pair's count
     is the highest of their B id, ties included) and count_sum (of the links'
     counts). Names that begin with an underscore and end the list of the block
     columns must not be in ``aligned``.
 
     Pairs are counted over all rows. Rows without links have zeros."""
     added = ("n_links", "n_best", "count_sum")
-    keep = [(c, t) for c, t in aligned.dtypes if c != "links" and c not in added]
+    keep = [(c, t) for c, t in aligned.dtypes if c not in ("links", "times", *added)]
     names = [c for c, _ in keep]
     kept = ", ".join(f"`{c}` {t}" for c, t in keep)
-    blocks = stored(aligned.select(*(f"`{c}`" for c in names), "links").mapInArrow(
+    blocks = stored(aligned.select(*(f"`{c}`" for c in names), "links", "times").mapInArrow(
         _blocked(len(keep), names),
         f"{kept}, _block long, _pairs_row boolean, _places array<int>, _times array<int>, _pairs array<bigint>, _counts array<bigint>"),
         "alignment-blocks")
@@ -361,10 +363,10 @@ def link_counts(aligned: DataFrame) -> DataFrame:
             best_[at] = flat.field("_best").to_numpy(zero_copy_only=False)
         places = rows.column("_places").combine_chunks()
         sizes = np.diff(places.offsets.to_numpy())
-        at, times = places.flatten().to_numpy(), rows.column("_times").combine_chunks().flatten().to_numpy()
+        at, times_ = places.flatten().to_numpy(), rows.column("_times").combine_chunks().flatten().to_numpy()
         owner = np.repeat(np.arange(n), sizes)
         sums = []
-        for value in (times.astype(np.int64), times * best_[at], times * count[at]):
+        for value in (times_.astype(np.int64), times_ * best_[at], times_ * count[at]):
             total = np.zeros(n, np.int64)
             np.add.at(total, owner, value)
             sums.append(pa.array(total))
