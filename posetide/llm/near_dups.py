@@ -11,12 +11,15 @@ probability under 1e-8. So
   least number, after what longer lists could hide, is dropped;
 * a document of which nearly the whole sketch lies in longer lists belongs to a
   large group of near copies. It is held against a few members (centres) of the
-  shortest of its long lists, and what that links is one component. The
-  documents that meet in such lists are a cluster (of each one's lists as many,
-  shortest first, that two which share the least number meet in one of them:
-  the prefix-filter bound); those outside its largest component are held, in blocks, against all of the cluster on their full
-  sets, and only links come out. So the linked part of a large group costs a
-  few links a member, not all pairs.
+  shortest of its long lists, and what that links is one component. Only the
+  members of long lists that still join different components go on (of each
+  one's lists as many, shortest first, that two which share the least number
+  meet in one of them: the prefix-filter bound). They are joined on the rarest
+  shingles of their full sets, again as many as the likeness asks for. Pages of
+  one template with words of their own have these in front, so they meet nobody.
+* what is left are sets that are nearly all common shingles. They are held
+  against each other in blocks, by clusters of components that share a list;
+  only links come out, and the linked part of a large group takes no part.
 
 Candidates pass an estimate from the sketch of the union and are confirmed on
 the full sets. Documents with equal sets are one node from the start. Links
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -45,6 +48,9 @@ LONG = 100
 CENTRES = 8
 #: Sets on either side of a block.
 BLOCK = 500
+#: Up to so many rows (edges, pairs) are dealt to a task a core; beyond, Spark's
+#: own exchanges deal them and split what is hot.
+FEW_ROWS = 2_000_000
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -85,13 +91,24 @@ def _confirmed(batches):
     """Pairs whose full sets reach the likeness."""
     for batch in batches:
         keep = []
-        for a, b in zip(batch.column("_full_a").to_pylist(), batch.column("_full_b").to_pylist()):
+        for a, b in zip(batch.column("full_a").to_pylist(), batch.column("full_b").to_pylist()):
             a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(100 * both >= LIKENESS * (len(a) + len(b) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _few(df: DataFrame, rows: int) -> int | None:
+    """Tasks for a small table, None to leave it to Spark."""
+    spark = df.sparkSession
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-rows // 20_000)))
+    return tasks if rows <= FEW_ROWS and tasks < int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _dealt(df: DataFrame, tasks: int | None, key: str) -> DataFrame:
+    return df.repartition(tasks, key) if tasks else df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the least node that each node of ``edges`` (a, b) reaches.
 
@@ -107,15 +124,16 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = state(edges)
     while seen[0]:
-        near = both_ways(edges)
+        tasks = _few(edges, seen[0])
+        near = _dealt(both_ways(edges), tasks, "a")
         least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = near.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # every edge now points from the larger to the smaller node
-        large = large.where("a <> b").distinct()
+        large = _dealt(large.where("a <> b"), tasks, "a").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        moved = stored(small, "edges")
+            least.select("a", F.col("m").alias("b"))).where("a <> b")
+        moved = stored(_dealt(small, tasks, "a").distinct(), "edges")
         now = state(moved)
         dropped(edges)
         edges = moved
@@ -126,21 +144,25 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()))
 
 
-def _near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _both(pairs: DataFrame, table: DataFrame, column: str, tasks: int | None) -> DataFrame:
+    """Pairs (a, b, ...) with the ``column`` of both nodes, as ``column``_a and _b."""
+    for side in ("a", "b"):
+        mine = _dealt(table.select(F.col("node").alias(side), F.col(column).alias(f"{column}_{side}")), tasks, side)
+        pairs = _dealt(pairs, tasks, side).join(mine, side)
+    return pairs
+
+
+def _near_enough(pairs: DataFrame, sketches: DataFrame, tasks: int | None = None) -> DataFrame:
     """Pairs (a, b, ...) whose union sketch estimates enough likeness."""
     a, b = F.col("_sketch_a"), F.col("_sketch_b")
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
     estimate = F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
-    return (pairs.join(sketches.select(F.col("node").alias("a"), F.col("_sketch").alias("_sketch_a")), "a")
-            .join(sketches.select(F.col("node").alias("b"), F.col("_sketch").alias("_sketch_b")), "b")
-            .where(estimate >= LEAST_ESTIMATE).drop("_sketch_a", "_sketch_b"))
+    return _both(pairs, sketches, "_sketch", tasks).where(estimate >= LEAST_ESTIMATE).drop("_sketch_a", "_sketch_b")
 
 
-def _confirm(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    return (pairs.select("a", "b").distinct()
-            .join(full.select(F.col("node").alias("a"), F.col("full").alias("_full_a")), "a")
-            .join(full.select(F.col("node").alias("b"), F.col("full").alias("_full_b")), "b")
-            .mapInArrow(_confirmed, "a long, b long"))
+def _confirm(pairs: DataFrame, full: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Pairs (a, b), each given once, whose full sets are alike."""
+    return _both(pairs.select("a", "b"), full, "full", tasks).mapInArrow(_confirmed, "a long, b long")
 
 
 def _comparable(x: str, y: str):
@@ -148,22 +170,78 @@ def _comparable(x: str, y: str):
     return (F.col(x) * 100 >= F.col(y) * LIKENESS) & (F.col(y) * 100 >= F.col(x) * LIKENESS)
 
 
+def _shingles(batches):
+    """(node, _c, n, v, k) of every shingle of a set; one that more than ``LONG``
+    sets of a batch hold is common, and only counted (node null)."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("full").to_pylist()]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        kinds, which, held = np.unique(values, return_inverse=True, return_counts=True)
+        own = held[which] <= LONG
+        common = held > LONG
+        node, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "_c"))
+        at = owner[own]
+        more = pa.nulls(int(common.sum()), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(x[at], pa.int64()), more]) for x in (node, comp, sizes)]
+            + [pa.array(np.r_[values[own], kinds[common]]), pa.array(np.r_[np.ones(len(at), np.int64), held[common]])],
+            names=["node", "_c", "n", "v", "k"])
+
+
+def _by_rare_shingles(open_: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, mostly): pairs (a, b) of sets (node, _c) of different components
+    that share one of their rarest shingles, and the sets that are mostly common
+    shingles (node, _c, _full_common), which alone can be alike without that.
+
+    In one order of all shingles by how many sets hold them, two sets that share
+    ``t`` meet in the first ``size - t + 1`` of each. A set's prefix that has only
+    rare shingles (``LONG`` holders at most) needs no others."""
+    tokens = stored(open_.join(full, "node").mapInArrow(_shingles, "node long, _c long, n long, v long, k long"), "shingles")
+    held = stored(tokens.groupBy("v").agg(F.sum("k").alias("held"), F.min("node").alias("one")), "shingle-counts")
+    alone = held.where("held = 1").groupBy(F.col("one").alias("node")).agg(F.count("*").alias("alone"))
+    rare = tokens.where("node is not null").join(held.where(F.col("held").between(2, LONG)).select("v", "held"), "v")
+    prefix = F.col("n") - F.ceil(F.col("n") * LIKENESS / 100) + 1
+    place = F.row_number().over(Window.partitionBy("node").orderBy("held", "v"))
+    some = F.count("*").over(Window.partitionBy("node"))
+    rare = (rare.withColumn("_at", place).withColumn("rare", some).join(alone, "node", "left")
+            .withColumn("alone", F.coalesce("alone", F.lit(0))))
+    first = rare.where(F.col("_at") <= prefix - F.col("alone")).select("node", "_c", "n", "v")
+    x, y = first.alias("x"), first.alias("y")
+    pairs = (x.join(y, F.col("x.v") == F.col("y.v"))
+             .where((F.col("x.node") < F.col("y.node")) & (F.col("x._c") != F.col("y._c")) & _comparable("x.n", "y.n"))
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    sizes = open_.join(full.select("node", (F.octet_length("full") / 8).cast("long").alias("n")), "node")
+    counted = (sizes.join(alone, "node", "left")
+               .join(rare.groupBy("node").agg(F.first("rare").alias("rare")), "node", "left")
+               .withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0)) - F.coalesce("rare", F.lit(0))))
+    # sets that share only common shingles: both hold 85 % of their own, the smaller one 2 * 85 / 185
+    mostly = (counted.where(F.col("common") * 100 >= F.col("n") * LIKENESS)
+              .select("node", "_c", (F.col("common") * (100 + LIKENESS) >= F.col("n") * 2 * LIKENESS).alias("_full_common")))
+    return pairs, mostly
+
+
 def _compared(batches):
     """Sets sorted by cluster, block of queries, block of all -> links between a
-    query and any other set: of those that a block finds, as many as join
-    components that no link before joined."""
+    query and any other set, one of the two full of common shingles: of those
+    that a block finds, as many as join components that no link before joined."""
+    def index(rows):
+        sets = [np.frombuffer(r[3], np.int64) for r in rows]
+        sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        return values[order], owner[order], sizes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+
     def links_of(rows):
         queries = [r for r in rows if r[0] == 0]
         others = [r for r in rows if r[0] == 1]
         if not queries or not others:
             return []
-        sets = [np.frombuffer(r[3], np.int64) for r in others]
-        sizes = np.array([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        values = np.concatenate(sets)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        names, comps = np.array([r[1] for r in others]), np.array([r[2] for r in others])
+        every = index(others)
+        full_common = [r for r in others if r[4]]
+        some = index(full_common) if full_common else None
         out, root = [], {}
 
         def find(c):
@@ -171,12 +249,15 @@ def _compared(batches):
                 root[c] = c = root[up]
             return c
 
-        for _, node, comp, full in queries:
+        for _, node, comp, full, common in queries:
+            if (against := every if common else some) is None:
+                continue
+            values, owner, sizes, names, comps = against
             own = np.frombuffer(full, np.int64)
             low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
             n = high - low
             at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-            both = np.bincount(owner[at], minlength=len(sets))
+            both = np.bincount(owner[at], minlength=len(sizes))
             hit = (100 * both >= LIKENESS * (len(own) + sizes - both)) & (comps != comp)
             for x, other in zip(names[hit].tolist(), comps[hit].tolist()):
                 if (mine := find(comp)) != (its := find(other)):
@@ -190,7 +271,7 @@ def _compared(batches):
 
     here, group = None, []
     for batch in batches:
-        for c, i, j, *row in zip(*(batch.column(k).to_pylist() for k in ("_cluster", "_i", "_j", "_side", "node", "_c", "full"))):
+        for c, i, j, *row in zip(*(batch.column(k).to_pylist() for k in ("_cluster", "_i", "_j", "_side", "node", "_c", "full", "_full_common"))):
             if (c, i, j) != here:
                 yield batch_of(links_of(group))
                 here, group = (c, i, j), []
@@ -198,25 +279,27 @@ def _compared(batches):
     yield batch_of(links_of(group))
 
 
-def _blocks(inside: DataFrame, full: DataFrame) -> DataFrame:
-    """Links (a, b) in clusters (node, _c, _cluster) that no component holds
-    yet: each node outside its cluster's largest component against all nodes of
-    the cluster, ``BLOCK`` against ``BLOCK`` sets a time."""
-    sizes = inside.groupBy("_cluster", "_c").agg(F.count("*").alias("k"))
-    sizes = (sizes.groupBy("_cluster").agg(F.max_by("_c", F.struct("k", "_c")).alias("_main"), F.sum("k").alias("_all"), F.max("k").alias("_most"))
-             .where("_all > _most")
+def _blocks(inside: DataFrame, full: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Links (a, b) in clusters (node, _c, _full_common, _cluster) that no
+    component holds yet: each node outside its cluster's largest component
+    against the nodes of the cluster, ``BLOCK`` against ``BLOCK`` sets a time."""
+    inside = _dealt(inside, tasks, "_cluster")
+    sizes = inside.groupBy("_cluster", "_c").agg(F.count("*").alias("k"), F.max("_full_common").alias("f"))
+    sizes = (sizes.groupBy("_cluster").agg(F.max_by("_c", F.struct("k", "_c")).alias("_main"), F.sum("k").alias("_all"),
+                                           F.max("k").alias("_most"), F.max("f").alias("_any"))
+             .where("_all > _most and _any")
              .select("_cluster", "_main", F.ceil((F.col("_all") - F.col("_most")) / BLOCK).cast("int").alias("_is"),
                      F.ceil(F.col("_all") / BLOCK).cast("int").alias("_js")))
-    sets = inside.join(sizes, "_cluster").join(full, "node")
+    sets = _dealt(inside.join(sizes, "_cluster"), tasks, "node").join(_dealt(full, tasks, "node"), "node")
     i, j = F.pmod(F.xxhash64("node"), F.col("_is")).cast("int"), F.pmod(F.xxhash64("node"), F.col("_js")).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["_cluster", "_i", "_j", "_side", "node", "_c", "full"]
+    columns = ["_cluster", "_i", "_j", "_side", "node", "_c", "full", "_full_common"]
     queries = sets.where("_c <> _main").withColumn("_i", i).withColumn("_j", each("_js")).withColumn("_side", F.lit(0))
     others = sets.withColumn("_j", j).withColumn("_i", each("_is")).withColumn("_side", F.lit(1))
-    parts = int(inside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = tasks or int(inside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (queries.select(*columns).unionByName(others.select(*columns))
             .repartition(parts, "_cluster", "_i", "_j").sortWithinPartitions("_cluster", "_i", "_j")
-            .mapInArrow(_compared, "a long, b long").distinct())
+            .mapInArrow(_compared, "a long, b long"))
 
 
 def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -264,8 +347,9 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     # first the likeliest partner of each node, so that groups become components
     likely = (pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "overlap"))
               .groupBy("b").agg(F.max_by("a", F.struct("overlap", -F.col("a"))).alias("a")).select("a", "b"))
-    tried = _near_enough(likely.unionByName(stars), nodes)
-    links = stored(_confirm(tried, full), "links")
+    first_tried = stored(likely.unionByName(stars).distinct(), "candidates")
+    tasks = _few(first_tried, first_tried.count())
+    links = stored(_confirm(_near_enough(first_tried, nodes, tasks), full, tasks), "links")
     comp = stored(components(links), "components")
 
     # then every candidate that is not inside a component yet
@@ -274,12 +358,20 @@ def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return df.join(c, node, "left").withColumn(name, F.coalesce(name, node))
 
     rest = placed(placed(pairs.select("a", "b"), "a", "_ca"), "b", "_cb").where("_ca <> _cb").select("a", "b")
-    more = _confirm(_near_enough(rest, nodes), full)
-    ties = members.select("node", F.explode("_keys.v").alias("v"))
-    cluster = components(ties.select(F.col("node").alias("a"), (-1 - F.col("v")).alias("b")))
-    inside = placed(members.select("node", "n"), "node", "_c").join(
-        cluster.select("node", F.col("comp").alias("_cluster")), "node")
-    more = more.unionByName(_blocks(stored(inside, "clusters"), full))
+    ties = stored(placed(members.select("node", F.explode("_keys.v").alias("v")), "node", "_c"), "ties")
+    # a list whose holders are one component by now joins nothing
+    joins = ties.groupBy("v").agg(F.min("_c").alias("lo"), F.max("_c").alias("hi")).where("lo < hi").select("v")
+    ties = stored(ties.join(joins, "v"), "ties")
+    alike, mostly = _by_rare_shingles(ties.select("node", "_c").distinct(), full)
+    mostly = stored(mostly, "common-sets")
+    rest = stored(rest.unionByName(alike).distinct(), "candidates")
+    tasks = _few(rest, rest.count())
+    more = _confirm(_near_enough(rest, nodes, tasks), full, tasks)
+    cluster = components(ties.join(mostly.select("node"), "node", "left_semi")
+                         .select(F.col("_c").alias("a"), (-1 - F.col("v")).alias("b")).distinct())
+    inside = mostly.join(cluster.select(F.col("node").alias("_c"), F.col("comp").alias("_cluster")), "_c")
+    inside = stored(inside, "clusters")
+    more = more.unionByName(_blocks(inside, full, _few(inside, BLOCK * inside.count())))
     links = stored(links.unionByName(more), "links")
     return components(links)
 

@@ -137,3 +137,30 @@ def test_null_and_repeated_ids_drop_no_other_text(spark):
     got = near_dups.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     texts = Counter((x.doc_id, x.text) for x in got if x.text)
     assert texts == Counter([(None, a), (None, b), (1, c), (7, d), (7, e), (2, f + " tail"), (3, g), (9, h)])
+
+
+@pytest.mark.parametrize("own", [130, 30])
+def test_pages_of_one_template_are_not_compared_pair_by_pair(spark, monkeypatch, own):
+    """Pages that share a template and are not alike (0.43 and 0.77): what is
+    compared grows with the pages, not with their square."""
+    compared = {}
+    for n in (130, 390):
+        r = random.Random(own)
+        template = [f"t{i}" for i in range(200)]
+        rows = [(i, " ".join(template + [f"w{r.randrange(10**6)}" for _ in range(own)])) for i in range(n)]
+        rows += [(n, rows[0][1] + " tail"), (n + 1, rows[1][1] + " end")]
+        sizes = Counter()
+
+        def counted(df, name, old=near_dups.stored):
+            out = old(df, name)
+            if name in ("candidates", "clusters"):
+                sizes[name] += out.count()
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(near_dups, "stored", counted)
+            got = {g.doc_id: g.component_id for g in near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {i: i for i in range(n)} | {n: 0, n + 1: 1}
+        assert sizes["clusters"] <= n + 2
+        compared[n] = sizes["candidates"]
+    assert compared[390] <= 4 * compared[130] and compared[390] <= 16 * 392
