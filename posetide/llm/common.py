@@ -12,8 +12,9 @@ from xxhash import xxh3_64_intdigest
 from posetide.session import ensure_checkpoint_dir
 
 U64 = np.uint64
-#: Words held by one worker's cache before it is emptied (bounds its memory).
-CACHE_WORDS = 300_000
+#: Bytes of words (and what a table of them takes besides) that one worker's
+#: cache holds before it is emptied, and the longest word that is kept.
+CACHE_BYTES, WORD_COST, LONGEST_KEPT = 48_000_000, 150, 200
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -60,14 +61,24 @@ def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str,
 
 
 class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, filled on demand."""
+    """word (bytes) -> 64-bit hash, filled on demand; long words and lines are
+    hashed without being kept."""
+
+    size = 0
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxh3_64_intdigest(word)
+        value = xxh3_64_intdigest(word)
+        if len(word) <= LONGEST_KEPT:
+            self[word] = value
+            self.size += len(word) + WORD_COST
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.size = 0
+
     def bound(self) -> None:
-        if len(self) > CACHE_WORDS:
+        if self.size > CACHE_BYTES:
             self.clear()
 
     def of(self, words: list[bytes]) -> np.ndarray:

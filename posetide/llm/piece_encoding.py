@@ -5,7 +5,8 @@ walks the text and at each place takes the longest prefix that the compiled
 character map (a double-array trie over UTF-8 bytes) knows, noting for every
 byte it writes which source bytes it came from. The normalised text is cut
 where no piece could reach across, each distinct chunk is merged once (best
-score first, leftmost among equals; short chunks many at a time), and every piece is projected through the
+score first, leftmost among equals; short chunks many at a time, plain
+ones by a pair merger that is given the pieces' order), and every piece is projected through the
 alignment to a span of the original bytes. Characters that no piece has
 become byte pieces.
 """
@@ -26,6 +27,8 @@ SPACE = "▁"
 CACHE_CHUNKS = 400_000
 #: Characters of a chunk that is merged with others, and how many at once.
 SHORT, TOGETHER = 64, 20_000
+#: Stands between chunks that are merged in one call; no piece has it.
+MARK = "\x00"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -67,6 +70,12 @@ class CharMap:
         return unit >> 10 << ((unit & 0x200) >> 6)
 
 
+def is_plain(chunk: str) -> bool:
+    """ASCII characters and single spaces; pieces of several spaces have equal
+    scores, which ranks cannot say."""
+    return SPACE * 2 not in chunk and chunk.replace(SPACE, " ").isascii()
+
+
 class Chunks(dict):
     """Chunk of normalised text -> its ids, and the bytes that each covers, as
     32-bit numbers."""
@@ -83,13 +92,16 @@ class Chunks(dict):
         new = [c for c in chunks if c not in self]
         known = self.model.known
         short = [c for c in new if len(c) <= SHORT and known.issuperset(c)]
-        for at in range(0, len(short), TOGETHER):
-            part = short[at: at + TOGETHER]
-            ids, sizes, ends = self.model.merge_all(part)
-            ids, sizes, low = ids.tobytes(), sizes.tobytes(), 0
-            for chunk, end in zip(part, (4 * ends).tolist()):
-                self[chunk] = ids[low:end], sizes[low:end]
-                low = end
+        plain = [c for c in short if is_plain(c)] if self.model.quick else []
+        others = [c for c in short if not is_plain(c)] if self.model.quick else short
+        for merge, some in ((self.model.merge_plain, plain), (self.model.merge_all, others)):
+            for at in range(0, len(some), TOGETHER):
+                part = some[at: at + TOGETHER]
+                ids, sizes, ends = merge(part)
+                ids, sizes, low = ids.tobytes(), sizes.tobytes(), 0
+                for chunk, end in zip(part, (4 * ends).tolist()):
+                    self[chunk] = ids[low:end], sizes[low:end]
+                    low = end
         for chunk in new:
             if chunk not in self:
                 # no merge crosses a place whose two characters no piece has side by side
@@ -124,6 +136,7 @@ class Model:
         # the characters that stand next to each other in some piece
         self.joints = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self._pair_table()
+        self.quick = self._plain_merger()
         # runs that no merge leaves: spaces in front, then neither space nor line break
         closed = all(not (b == SPACE and a != SPACE) and "\n" not in (a, b) for a, b in self.joints)
         self.chunks = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if closed else r"(?s).+")
@@ -209,6 +222,31 @@ class Model:
         for p in self.known:
             self.of_character[ord(p)] = symbol[p]
 
+    def _plain_merger(self):
+        """A pair merger for plain chunks (:func:`is_plain`), with the place of a
+        piece by falling score as its rank; None if pieces that merges make have
+        equal scores or the mark between chunks is a piece's character."""
+        plain = {p: s for p, s in self.scores.items() if is_plain(p)}
+        merged = [s for p, s in plain.items() if len(p) > 1]
+        if len(set(merged)) < len(merged) or any(MARK in p or " " in p for p in plain) or not plain:
+            return None
+        import tiktoken
+        order = sorted(plain, key=lambda p: -plain[p])
+        ranks = {p.replace(SPACE, " ").encode(): i for i, p in enumerate(order)} | {MARK.encode(): len(order)}
+        self.plain_ids = np.array([self.ids[p] for p in order] + [-1], "<i4")
+        self.plain_bytes = np.array([len(p.encode()) for p in order] + [0], "<i4")
+        return tiktoken.Encoding("pieces by score", pat_str=f"[^{MARK}]+|{MARK}", mergeable_ranks=ranks, special_tokens={})
+
+    def merge_plain(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`merge_all` for known ASCII characters and spaces: the pair that
+        makes the best piece is joined first, the leftmost of equal ones."""
+        joined = (MARK.join(chunks) + MARK).replace(SPACE, " ")
+        places = self.quick.encode_to_numpy(joined, disallowed_special=())
+        marks = places == len(self.plain_ids) - 1
+        ends = np.flatnonzero(marks) - np.arange(len(chunks))
+        places = places[~marks]
+        return self.plain_ids[places], self.plain_bytes[places], ends
+
     def merge_all(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Merge many chunks of known characters side by side: in each round
         every chunk joins its leftmost pair of the best score. Returns ids,

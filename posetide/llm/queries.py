@@ -76,7 +76,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = piece_encoding.encoded(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                      F.sha2(F.concat_ws("|", F.array_join("starts", ","), F.array_join("ends", ",")).cast("binary"), 256).alias("spans_sha256"))
 
 
 @query("op7_kd_shards")

@@ -16,8 +16,9 @@ shard, no automaton has to see all documents and none is sent to all
 executors, which could not hold with a growing reference.
 
 Equal segments are one string with a count. An anchor with more than
-``SEGMENTS`` different segments (a passage in very many documents) would make
-an automaton without bound; there, single windows are counted by their hashes.
+``SEGMENTS`` different segments, or ``SHARD_WORDS`` words in them (a passage in very
+many documents), would make an automaton without bound; there, single windows
+are counted by their hashes.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ WINDOW = 35
 GRAM = 8
 #: Different segments of an anchor that one automaton takes.
 SEGMENTS = 4000
-#: Words in an automaton from which on the next one is begun.
+#: Words of an automaton. An anchor whose segments have more is not given to one.
 SHARD_WORDS = 60_000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -204,10 +205,10 @@ def _matched(window: int):
     def run(batches):
         group, held, before, seen = [], 0, None, set()
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("anchor", "content", "times", "_row", "first", "_words")]
-            for anchor, content, times, row, first, words in zip(*cols):
+            cols = [batch.column(c).to_pylist() for c in ("anchor", "content", "times", "_row", "first", "_words", "_total")]
+            for anchor, content, times, row, first, words, total in zip(*cols):
                 if anchor != before:
-                    if held >= SHARD_WORDS:
+                    if held + total > SHARD_WORDS:
                         yield batch_of(spans_of(group))
                         group, held = [], 0
                     before, seen = anchor, set()
@@ -262,23 +263,24 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, se
     places = stored(every.join(again, "anchor"), "places")
     strings = (places.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("_row", "first", "size")).alias("_one")))
     strings = stored(strings.select("anchor", "content", "times", "_one.*"), "strings")
-    kinds = strings.groupBy("anchor").agg(F.count("*").alias("_kinds"))
+    kinds = strings.groupBy("anchor").agg(F.count("*").alias("_kinds"), F.sum("size").alias("_total"))
 
     # a string that is there twice is covered from end to end
     whole = places.join(strings.where("times > 1").select("anchor", "content"), ["anchor", "content"]).select("_row", "first", "size")
 
     # the others need their words
-    asked = strings.join(kinds.where("_kinds > 1"), "anchor")
+    asked = strings.join(kinds.where("_kinds > 1").select("anchor"), "anchor")
     of_row = asked.groupBy("_row").agg(F.collect_list(F.struct("anchor", "content", "times", "first", "size")).alias("_asked"))
     texts = keyed.select("_text_key", "_text")
     cut = (texts.join(of_row.join(keys, "_row"), "_text_key")
            .mapInArrow(_cut_out, "anchor long, content long, times long, _row long, first int, _words binary"))
     cut = stored(cut, "reference").join(kinds, "anchor")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    matched = (cut.where(F.col("_kinds") <= segments_max).drop("_kinds")
+    bounded = (F.col("_kinds") <= segments_max) & (F.col("_total") <= SHARD_WORDS)
+    matched = (cut.where(bounded).drop("_kinds")
                .repartition(parts, "anchor").sortWithinPartitions("anchor")
                .mapInArrow(_matched(window), "_row long, first int, size int"))
-    single = (cut.where(F.col("_kinds") > segments_max).dropDuplicates(["anchor", "content"])
+    single = (cut.where(~bounded).dropDuplicates(["anchor", "content"])
               .mapInArrow(_single_windows(window), "_row long, first int, times long, _window long"))
     single = stored(single, "windows")
     twice = single.groupBy("_window").agg(F.sum("times").alias("_n")).where("_n > 1").select("_window")

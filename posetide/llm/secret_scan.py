@@ -62,8 +62,17 @@ def _class_size(c: str) -> int:
     return 100
 
 
-@lru_cache(100_000)
 def guess_cost(value: str) -> float:
+    """:func:`cheapest` of a value; short values are remembered."""
+    return _remembered(value) if len(value) <= 64 else cheapest(value)
+
+
+@lru_cache(20_000)
+def _remembered(value: str) -> float:
+    return cheapest(value)
+
+
+def cheapest(value: str) -> float:
     """Power of ten of the guesses that the cheapest segmentation needs.
 
     A segment costs the logarithm of its choices: a word its rank (twice for

@@ -19,19 +19,24 @@ that fit no full window are cut a second time, and nothing is padded.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless_rank, stored, text_bytes
+from .common import HASHES, gapless_rank, stored, text_bytes
 
 WINDOW = 2048
 END_ID = 1
-CACHE_WORDS = 800_000
+#: Words held by one worker's table before it is emptied.
+CACHE_WORDS = 200_000
+#: Letters of a run from which on merging pairs needs a heap.
+LONG_RUN = 1000
 PLAIN = re.compile(rb"[!-&(-;=-~]+")
 #: Runs of letters in one call of the tokenizer.
 TOGETHER = 1000
@@ -51,8 +56,11 @@ class WordIds(dict):
     that opens special tokens are not plain.
 
     A call of the tokenizer costs more than a short run does, so runs of letters
-    go there many at a time with a single digit between them: the rules cut at
-    every digit, and no run of letters has a digit's id."""
+    go to a plain pair merger with the file's own ranks, many at a time with a
+    mark behind each. The mark takes part as the end of a word does: joined to
+    the last letter before anything else is joined. If the file's merges cannot
+    be put so, runs go to the tokenizer many at a time with a single digit between
+    them: the rules cut at every digit, and no run of letters has a digit's id."""
 
     def __init__(self, path: str):
         import os
@@ -61,12 +69,49 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         (self.digit,) = self._ids("0")
+        self.merger = self._merger(path)
+
+    def _merger(self, path: str):
+        """(pair merger, whether an id ends a word, the mark's id), or None unless
+        each merge of the file makes the next id, behind letters and ends."""
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocabulary, end = model["vocab"], model.get("end_of_word_suffix")
+        made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        ids = [vocabulary.get(m) for m in made]
+        letters = [c for a in ascii_lowercase for c in (a, a + end)] if end else []
+        if (model["type"] != "BPE" or model.get("dropout") or not all(c in vocabulary for c in letters) or not ids
+                or ids != list(range(ids[0], ids[0] + len(ids))) or max(vocabulary[c] for c in letters) >= ids[0]
+                or not {vocabulary[a] for a in ascii_lowercase}.isdisjoint(vocabulary[a + end] for a in ascii_lowercase)):
+            return None
+        import tiktoken
+        mark = max(vocabulary.values()) + 1
+        plain = re.compile(f"[a-z]+(?:{re.escape(end)})?")
+        ranks = {t.replace(end, "~").encode(): vocabulary[t] for t in (*letters, *made) if plain.fullmatch(t)}
+        ends = np.zeros(mark + 1, bool)
+        ends[[i for t, i in ranks.items() if t.endswith(b"~")]] = True
+        encoding = tiktoken.Encoding("ranks of the file", pat_str="[a-z]+~", mergeable_ranks=ranks | {b"~": mark}, special_tokens={})
+        return encoding, ends
+
+    def _merge_letters(self, runs: list[bytes]) -> None:
+        encoding, is_end = self.merger
+        for at in range(0, len(runs), TOGETHER):
+            part = runs[at: at + TOGETHER]
+            ids = encoding.encode_to_numpy((b"~".join(part) + b"~").decode(), disallowed_special=())
+            ends = np.flatnonzero(is_end[ids]) + 1
+            raw, low = ids.astype("<u4").tobytes(), 0
+            for run, end in zip(part, (4 * ends).tolist(), strict=True):
+                self[run] = raw[low:end]
+                low = end
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn_letters(self, runs: list[bytes]) -> None:
         """Take up runs of letters."""
+        if self.merger:
+            self._merge_letters([r for r in runs if len(r) <= LONG_RUN])
+            runs = [r for r in runs if len(r) > LONG_RUN]
         for at in range(0, len(runs), TOGETHER):
             part = runs[at: at + TOGETHER]
             ids = np.array(self._ids((b"0".join(part) + b"0").decode()), "<u4")
@@ -99,6 +144,7 @@ def _cut(path: str, window: int):
     def run(batches):
         table = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordIds(path))
         end = END_ID.to_bytes(4, "little")
+        HASHES.clear()  # what earlier stages left in this worker
         for batch in batches:
             # few rows at a time, as the words of a batch are held together
             for at in range(0, batch.num_rows, 1000):

@@ -40,3 +40,38 @@ def test_merging_alone_and_together_agree():
     ids, sizes, ends = m.merge_all(chunks)
     for chunk, low, end in zip(chunks, [0, *ends[:-1]], ends, strict=True):
         assert (ids[low:end].tolist(), sizes[low:end].tolist()) == m.chunk_ids(chunk)
+
+
+def test_plain_chunks_by_rank_agree():
+    m = pe.Model(tokenizer_path("piece_bpe_32k.model"))
+    assert m.quick
+    r = random.Random(6)
+    chunks = [pe.SPACE * r.randint(0, 1) + "".join(r.choices("etaoinshrET.,:-0129(){}", k=r.randint(1, 40))) for _ in range(3000)]
+    chunks += [p for p in m.ids if pe.is_plain(p)]
+    for (ids, sizes, ends), (ids2, sizes2, ends2) in [(m.merge_plain(chunks), m.merge_all(chunks))]:
+        assert (ids == ids2).all() and (sizes == sizes2).all() and (ends == ends2).all()
+
+
+def test_spans_cover_the_pieces(docs):
+    m = pe.Model(tokenizer_path("piece_bpe_32k.model"))
+    for row in docs.limit(40).collect():
+        raw = row.text.encode()
+        ids, starts, ends = m.encode(row.text)
+        for i, a, b in zip(ids.tolist(), starts.tolist(), ends.tolist()):
+            piece = m.processor.id_to_piece(i)
+            if not m.processor.is_byte(i):
+                assert raw[a:b].decode().replace(" ", pe.SPACE) == (piece[1:] if a == 0 and piece[:1] == pe.SPACE else piece)
+
+
+def test_runs_of_letters_by_rank_agree():
+    from posetide.llm.slack_packing import WordIds
+    table, other = WordIds(tokenizer_path("word_bpe_49k.json")), WordIds(tokenizer_path("word_bpe_49k.json"))
+    assert table.merger
+    other.merger = None
+    r = random.Random(7)
+    runs = list({"".join(r.choices(a, k=r.randint(1, 40))).encode() for a in ("abcdefghijklmnopqrstuvwxyz", "aeist", "a") for _ in range(3000)})
+    runs += [t[:-4].encode() for t in table.tokenizer.get_vocab() if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha() and t.islower()]
+    runs += [b"ab" * 2000]
+    table._learn_letters(runs)
+    other._learn_letters(runs)
+    assert dict(table) == dict(other)
