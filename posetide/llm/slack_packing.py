@@ -22,7 +22,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +29,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import HASHES, gapless_rank, stored, text_bytes
+from .token_alignment import byte_alphabet
 
 WINDOW = 2048
 END_ID = 1
 #: Words held by one worker's table before it is emptied.
 CACHE_WORDS = 200_000
-#: Letters of a run from which on merging pairs needs a heap.
+#: Characters of a run from which on merging pairs needs a heap.
 LONG_RUN = 1000
+#: Lower-case letters and signs whose runs the rules cut like any
+#: other's; apostrophes (contractions), the sign that opens special tokens and
+#: the mark put behind runs are not among them.
+LETTERS = "a-zß-öø-ÿ"
+SIGNS = r"!-&(-/:;=-@\[-`{-}"
+BLANKS = r" \t-\r"
+RUN = re.compile(f"[{LETTERS}]+|[0-9]|[{SIGNS}]+")
+#: Any other character, and words with one.
+ODD = re.compile(f"[^{LETTERS}A-ZÀ-ÖØ-Þ0-9{SIGNS}{BLANKS}]")
+SPECIAL = re.compile(f"[^{BLANKS}]*[^{LETTERS}A-ZÀ-ÖØ-Þ0-9{SIGNS}{BLANKS}][^{BLANKS}]*")
+MARK, STAND_IN = "~", "\x02"
+UNBROKEN = re.compile(f"[^{MARK}]{{{LONG_RUN}}}")
 PLAIN = re.compile(rb"[!-&(-;=-~]+")
 #: Runs of letters in one call of the tokenizer.
 TOGETHER = 1000
@@ -55,12 +67,14 @@ class WordIds(dict):
     which they make of it; words with an apostrophe (contractions) or the mark
     that opens special tokens are not plain.
 
-    A call of the tokenizer costs more than a short run does, so runs of letters
-    go to a plain pair merger with the file's own ranks, many at a time with a
-    mark behind each. The mark takes part as the end of a word does: joined to
-    the last letter before anything else is joined. If the file's merges cannot
-    be put so, runs go to the tokenizer many at a time with a single digit between
-    them: the rules cut at every digit, and no run of letters has a digit's id."""
+    A call of the tokenizer costs more than a short run does, so texts go to a
+    plain pair merger with the file's own ranks, if its merges can be put so: a
+    mark is written behind each run of letters, digit and run of signs, and
+    takes part as the end of a word does, joined to the last byte before
+    anything else is joined. Only words with other characters are looked up
+    here, a stand-in keeps their places. Without a merger, runs of letters go
+    to the tokenizer many at a time with a single digit between them: the rules
+    cut at every digit, and no run of letters has a digit's id."""
 
     def __init__(self, path: str):
         import os
@@ -72,46 +86,64 @@ class WordIds(dict):
         self.merger = self._merger(path)
 
     def _merger(self, path: str):
-        """(pair merger, whether an id ends a word, the mark's id), or None unless
-        each merge of the file makes the next id, behind letters and ends."""
+        """A pair merger and the stand-in's id, or None unless each merge of the
+        file makes the next id, behind those of all bytes and ends."""
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocabulary, end = model["vocab"], model.get("end_of_word_suffix")
         made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
         ids = [vocabulary.get(m) for m in made]
-        letters = [c for a in ascii_lowercase for c in (a, a + end)] if end else []
-        if (model["type"] != "BPE" or model.get("dropout") or not all(c in vocabulary for c in letters) or not ids
-                or ids != list(range(ids[0], ids[0] + len(ids))) or max(vocabulary[c] for c in letters) >= ids[0]
-                or not {vocabulary[a] for a in ascii_lowercase}.isdisjoint(vocabulary[a + end] for a in ascii_lowercase)):
+        alphabet = byte_alphabet()
+        singles = [c for a in alphabet for c in (a, a + end)] if end else []
+        if (model["type"] != "BPE" or model.get("dropout") or not ids or not singles or not all(c in vocabulary for c in singles)
+                or ids != list(range(ids[0], ids[0] + len(ids))) or max(vocabulary[c] for c in singles) >= ids[0]):
             return None
         import tiktoken
+        ranks = {}
+        for token in (*singles, *made):
+            body, last = (token[:-len(end)], MARK.encode()) if token.endswith(end) else (token, b"")
+            raw = bytes(alphabet[c] for c in body)
+            if not any(c in raw for c in (MARK + STAND_IN).encode()):
+                ranks[raw + last] = vocabulary[token]
         mark = max(vocabulary.values()) + 1
-        plain = re.compile(f"[a-z]+(?:{re.escape(end)})?")
-        ranks = {t.replace(end, "~").encode(): vocabulary[t] for t in (*letters, *made) if plain.fullmatch(t)}
-        ends = np.zeros(mark + 1, bool)
-        ends[[i for t, i in ranks.items() if t.endswith(b"~")]] = True
-        encoding = tiktoken.Encoding("ranks of the file", pat_str="[a-z]+~", mergeable_ranks=ranks | {b"~": mark}, special_tokens={})
-        return encoding, ends
-
-    def _merge_letters(self, runs: list[bytes]) -> None:
-        encoding, is_end = self.merger
-        for at in range(0, len(runs), TOGETHER):
-            part = runs[at: at + TOGETHER]
-            ids = encoding.encode_to_numpy((b"~".join(part) + b"~").decode(), disallowed_special=())
-            ends = np.flatnonzero(is_end[ids]) + 1
-            raw, low = ids.astype("<u4").tobytes(), 0
-            for run, end in zip(part, (4 * ends).tolist(), strict=True):
-                self[run] = raw[low:end]
-                low = end
+        ranks |= {MARK.encode(): mark, STAND_IN.encode(): mark + 1}
+        pattern = f"[{LETTERS}]+{MARK}|[0-9]{MARK}|[{SIGNS}]+{MARK}|{STAND_IN}"
+        return tiktoken.Encoding("ranks of the file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), mark + 1
+
+    def of_texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts."""
+        if not self.merger:
+            words = [t.split() for t in texts]
+            self.learn(set().union(*words))
+            return [b"".join(map(self.__getitem__, w)) for w in words]
+        merger, stand_in = self.merger
+        texts = [t.decode() for t in texts]
+        special = [SPECIAL.findall(t) if ODD.search(t) else [] for t in texts]
+        self.learn({w.encode() for some in special for w in some})
+        out = []
+        for text, some in zip(texts, special):
+            marked = RUN.sub(rf"\g<0>{MARK}", (SPECIAL.sub(STAND_IN, text) if some else text).lower())
+            if len(marked) > 4 * LONG_RUN and UNBROKEN.search(marked):
+                words = text.encode().split()
+                self.learn(set(words))
+                out.append(b"".join(map(self.__getitem__, words)))
+                continue
+            ids = merger.encode_to_numpy(marked, disallowed_special=()).astype("<u4")
+            if some:
+                at = (4 * np.flatnonzero(ids == stand_in)).tolist()
+                raw = ids.tobytes()
+                parts = [raw[a + 4:b] for a, b in zip([-4, *at], [*at, len(raw)])]
+                ids = b"".join([parts[0], *(x for w, p in zip(some, parts[1:], strict=True) for x in (self[w.encode()], p))])
+                out.append(ids)
+            else:
+                out.append(ids.tobytes())
+        return out
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn_letters(self, runs: list[bytes]) -> None:
         """Take up runs of letters."""
-        if self.merger:
-            self._merge_letters([r for r in runs if len(r) <= LONG_RUN])
-            runs = [r for r in runs if len(r) > LONG_RUN]
         for at in range(0, len(runs), TOGETHER):
             part = runs[at: at + TOGETHER]
             ids = np.array(self._ids((b"0".join(part) + b"0").decode()), "<u4")
@@ -149,11 +181,9 @@ def _cut(path: str, window: int):
             # few rows at a time, as the words of a batch are held together
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                words = [t.split() for t in text_bytes(part.column(1))]
-                table.learn(set().union(*words))
                 rows, starts, lengths, crcs, totals, rest = [], [], [], [], [], []
-                for row, w in enumerate(words):
-                    ids = b"".join(map(table.__getitem__, w)) + end
+                for row, ids in enumerate(table.of_texts(text_bytes(part.column(1)))):
+                    ids += end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         rows.append(row)
