@@ -360,16 +360,19 @@ def soft_oks_nms_local(kx, ky, kv, area, score, ids, thr, max_dets, sigmas, vis_
             continue
         d2 = (kx[rest, :K] - kx[best, :K]) ** 2 + (ky[rest, :K] - ky[best, :K]) ** 2
         e = d2 / var / ((area[best] + area[rest])[:, None] / 2.0 + np.finfo(np.float64).eps) / 2.0
+        # joint after joint, as the column form adds them
         if vis_thr is not None:
             m = kv[rest, :K] > vis_thr
             cnt = m.sum(1)
-            o = np.where(cnt > 0, (np.exp(-e) * m).sum(1) / np.maximum(cnt, 1), 0.0)
+            o = np.where(cnt > 0, np.cumsum(np.exp(-e) * m, axis=1)[:, -1] / np.maximum(cnt, 1), 0.0)
         else:
-            o = np.exp(-e).mean(1)
+            o = np.cumsum(np.exp(-e), axis=1)[:, -1] / K
+        scored = rest[cur[rest] > -np.inf]
+        o = o[cur[rest] > -np.inf]
         if kind == "gaussian":
-            cur[rest] = cur[rest] * np.exp(-(o * o) / thr)
+            cur[scored] = cur[scored] * np.exp(-(o * o) / thr)
         else:
-            cur[rest] = np.where(o >= thr, cur[rest] * (1 - o), cur[rest])
+            cur[scored] = np.where(o >= thr, cur[scored] * (1 - o), cur[scored])
     return out
 
 
@@ -383,10 +386,13 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
     Each round is one per-key argmax (partial aggregate) plus one equi-join
     of the remaining poses with a single picked pose per key: work per round
     is linear, nothing is collected per key. Returns kept poses with
-    ``rank`` (pick order) and the ``score`` at pick time."""
+    ``rank`` (pick order) and the ``score`` at pick time. A null or NaN score
+    comes last and is given back as null; groups of any size are walked in
+    the same order."""
     sigmas = sigmas or OKS_SIGMAS
     poses = pose_score(poses, score_per_joint)
-    cols = [key, F.col(id_col).alias("id"), F.col("score").alias("cur"),
+    none = F.lit(float("-inf"))
+    cols = [key, F.col(id_col).alias("id"), greedy_score(F.col("score")).alias("cur"),
             F.col("area").cast("double").alias("area"), "kx", "ky", "kv"]
     small, big = split_by_group_size(poses.select(*cols), key, small_group)
     key_type = dict(poses.dtypes)[key]
@@ -408,8 +414,9 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
                 rows.extend((k, int(i), int(r), float(sc)) for i, r, sc in picks)
             yield pd.DataFrame(rows, columns=[key, id_col, "rank", "score"])
     out_small = packed.mapInPandas(local, f"{key} {key_type}, {id_col} {id_type}, rank int, score double")
+    shown = F.when(F.col("score") > none, F.col("score"))
     if big is None:
-        return out_small
+        return out_small.withColumn("score", shown)
     remaining = cut_lineage(big)
     picks: list[DataFrame] = []
     for rnd in range(max_dets):
@@ -426,10 +433,10 @@ def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: st
         o = oks_expr(F.col("gx"), F.col("gy"), F.col("kx"), F.col("ky"), F.col("kv"),
                      F.col("ga"), F.col("area"), sigmas, vis_thr)
         remaining = cut_lineage(rest.join(g, [key])
-                                .withColumn("cur", rescore(o, F.col("cur"), thr, kind))
+                                .withColumn("cur", F.when(F.col("cur") > none, rescore(o, F.col("cur"), thr, kind)).otherwise(none))
                                 .drop("gx", "gy", "ga"))
     out = out_small
     for p in picks:
         out = out.unionByName(p.select(key, F.col("id").alias(id_col), F.col("rank").cast("int").alias("rank"),
                                        F.col("cur").alias("score")))
-    return out
+    return out.withColumn("score", shown)

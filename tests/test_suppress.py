@@ -157,3 +157,17 @@ def test_null_and_odd_boxes_do_not_depend_on_group_size(spark):
     got = [sorted((r.image_id, r.det_id) for r in S.box_nms(df, 0.3, small_group=n).collect()) for n in (0, 14, 15, 16, 256)]
     assert all(g == got[0] for g in got)
     assert all((img, n) in got[0] for img in range(6) for n in ("n1", "n2", "n3"))
+
+
+def test_soft_nms_order_does_not_depend_on_group_size(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i, score in enumerate((float("nan"), None, 0.5, 0.9)):
+        x, y = rng.uniform(0, 60, 17), rng.uniform(0, 60, 17)
+        rows.append((1, i, [float(v) for v in x], [float(v) for v in y], [1.0] * 17, 2000.0, score))
+    rows.append((1, 4, *rows[3][2:6], 0.9))     # an exact copy
+    df = spark.createDataFrame(rows, "image_id long, pose_id long, kx array<double>, ky array<double>, kv array<double>, area double, score double")
+    walks = [[(r.rank, r.pose_id, r.score is None, round(r.score or 0, 9)) for r in
+              sorted(S.soft_oks_nms(df, 0.3, 5, small_group=n, kind="linear").collect(), key=lambda r: r.rank)] for n in (5, 4)]
+    assert walks[0] == walks[1] and [w[1] for w in walks[0]] == [3, 2, 4, 0, 1]
+    assert [w[2] for w in walks[0]] == [False, False, False, True, True]
