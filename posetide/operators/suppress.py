@@ -8,6 +8,10 @@ interact. So instead of collecting every box of an image into one task:
    only in the cell that holds the top-left corner of the two boxes'
    intersection, so each overlapping pair appears exactly once and boxes
    that do not overlap never meet. A hot image spreads over its cells.
+   Suppression uses a grid of several levels, one for each power of two of
+   width and height: boxes of very different size cannot suppress one
+   another, so a pair meets only on a level near both of its sizes. Cells
+   that hold many boxes are thinned before any pair is formed.
 2. Exact copies (same key and coordinates) are collapsed first with a
    partial aggregate: only the first copy in greedy order can survive.
 3. The greedy decision is resolved round by round on the pair graph: a box
@@ -126,6 +130,105 @@ def _collapse_copies(boxes: DataFrame, key: str, id_col: str, score_col: str):
     tagged = boxes.join(leaders, [key, *coords])
     return tagged
 
+
+
+def _axis_level(side: Column) -> Column:
+    """Level of a side: the least n >= 0 with side <= 2^n, from the bits of
+    a whole number, so that powers of two fall on the right side."""
+    below = F.greatest(F.ceil(side), F.lit(1)).cast("long") - 1
+    return F.when(below <= 0, F.lit(0)).otherwise(F.length(F.bin(below))).cast("int")
+
+
+def level_reach(thr: float) -> int:
+    """How many levels apart two boxes of IoU ``thr`` or more can be. The IoU
+    is at most the ratio of their sides along either axis, which n levels
+    apart is below 2^(1 - n)."""
+    return math.floor(1 + math.log2(1 / thr))
+
+
+def level_cells(boxes: DataFrame, reach: int, pad: float) -> DataFrame:
+    """The cells a box touches on its own level of width and height and on the
+    ``reach`` levels above: columns lx, ly (own levels), mx, my (the cell's
+    levels), cx, cy. On each level a box touches at most two cells along an
+    axis, because no cell is smaller than the box."""
+    out = (boxes.withColumn("lx", _axis_level(F.col("x2") - F.col("x1") + pad))
+           .withColumn("ly", _axis_level(F.col("y2") - F.col("y1") + pad)))
+    for axis, lo, hi in (("x", "x1", "x2"), ("y", "y1", "y2")):
+        out = out.withColumn(f"m{axis}", F.explode(F.sequence(F.col(f"l{axis}"), F.col(f"l{axis}") + reach)))
+        size = F.pow(F.lit(2.0), F.col(f"m{axis}"))
+        first = F.floor(F.col(lo) / size)
+        out = out.withColumn(f"c{axis}", F.explode(F.sequence(first, F.greatest(first, F.floor((F.col(hi) + pad) / size)))))
+    return out
+
+
+def _suppressing_pairs(cand: DataFrame, reach: int, pad: float, hit) -> DataFrame:
+    """Every pair that ``hit`` accepts, once, from the level grid. cand: k, id,
+    score, x1, y1, x2, y2. A pair meets on the greater of its levels along
+    each axis, in the cell of its intersection's corner. Returns k, src, dst
+    in greedy order."""
+    cells = level_cells(cand, reach, pad)
+    a = cells.select(*[F.col(c).alias(f"a_{c}") for c in cells.columns])
+    b = cells.select(*[F.col(c).alias(f"b_{c}") for c in cells.columns])
+    j = a.join(b, [F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("k", "mx", "my", "cx", "cy")]
+               + [_before(F.col("a_score"), F.col("a_id"), F.col("b_score"), F.col("b_id"))])
+    here = F.lit(True)
+    for axis, lo in (("x", "x1"), ("y", "y1")):
+        level = F.greatest(f"a_l{axis}", f"b_l{axis}")
+        corner = F.floor(F.greatest(f"a_{lo}", f"b_{lo}") / F.pow(F.lit(2.0), level))
+        here = here & (F.col(f"a_m{axis}") == level) & (F.col(f"a_c{axis}") == corner)
+    A = {c: F.col(f"a_{c}") for c in ("x1", "y1", "x2", "y2")}
+    B = {c: F.col(f"b_{c}") for c in ("x1", "y1", "x2", "y2")}
+    return (j.where(here & hit(A, B))
+            .select(F.col("a_k").alias("k"), F.col("a_id").alias("src"), F.col("b_id").alias("dst")))
+
+
+def _thin_dense_cells(cand: DataFrame, reach: int, pad: float, hit, limit: int):
+    """Settle boxes until no cell of the level grid holds more than ``limit``.
+
+    A box that comes first in every cell it touches has no open box before it
+    that could suppress it: it is kept, and what it suppresses goes. Only kept
+    boxes meet others here, so the cost of a round follows the boxes and not
+    their pairs. Boxes of one cell that do not suppress one another are
+    bounded by geometry (like sizes in one place), and the first open box of a
+    key always qualifies, so the rounds end. Exact: kept and dropped are what
+    the greedy walk keeps and drops. Returns (kept ids, open boxes)."""
+    spot = ["k", "mx", "my", "cx", "cy"]
+    kept = []
+    while True:
+        cells = level_cells(cand, reach, pad)
+        order = F.struct((-F.col("score")).alias("ns"), "id")
+        tops = cut_lineage(cells.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("top")))
+        crowded = tops.where(F.col("n") > limit)
+        if crowded.isEmpty():
+            return kept, cand
+        # first in all of its cells: as many cells name it as it touches
+        touched = (_axis_cells("x", "x1", "x2", reach, pad) * _axis_cells("y", "y1", "y2", reach, pad))
+        named = tops.groupBy("k", F.col("top.id").alias("id")).agg(F.count(F.lit(1)).alias("named"))
+        sure = cut_lineage(cand.withColumn("touched", touched).join(named, ["k", "id"])
+                           .where(F.col("named") == F.col("touched")).drop("named", "touched"))
+        kept.append(sure.select("k", "id"))
+        a = level_cells(sure, reach, pad)
+        a = a.select(*spot, *[F.col(c).alias(f"a_{c}") for c in ("id", "x1", "y1", "x2", "y2")])
+        A = {c: F.col(f"a_{c}") for c in ("x1", "y1", "x2", "y2")}
+        B = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
+        gone = (cells.join(a, spot).where(hit(A, B) | (F.col("id") == F.col("a_id")))
+                .select("k", "id").distinct())
+        cand = cut_lineage(cand.join(gone, ["k", "id"], "left_anti"))
+
+
+def _axis_cells(axis: str, lo: str, hi: str, reach: int, pad: float) -> Column:
+    """How many cells along one axis a box touches on all its levels."""
+    level, total = _axis_level(F.col(hi) - F.col(lo) + pad), F.lit(0).cast("long")
+    for up in range(reach + 1):
+        size = F.pow(F.lit(2.0), level + up)
+        first = F.floor(F.col(lo) / size)
+        total = total + F.greatest(first, F.floor((F.col(hi) + pad) / size)) - first + 1
+    return total
+
+
+DENSE_CELL = 512  # cells with more boxes are thinned before pairs are formed
+MIN_LEVEL_THR = 1 / 64  # below, too many levels could hold a pair
+
 SMALL_GROUP = 256  # keys with at most this many candidates fold in one pass
 
 
@@ -156,14 +259,17 @@ def _fold_greedy(small: DataFrame, key: str, id_col: str, score_col: str, fields
 
 def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "image_id",
             id_col: str = "det_id", score_col: str = "score", plus_one: bool = True,
-            cell: float = 64.0, collapse_copies: bool = True, small_group: int = SMALL_GROUP) -> DataFrame:
+            cell: float = 64.0, collapse_copies: bool = True, small_group: int = SMALL_GROUP,
+            dense_cell: int = DENSE_CELL) -> DataFrame:
     """Greedy box NMS per ``key``; returns the kept rows of ``dets``.
 
     tie="keep"     suppress when overlap > thr (G1 numpy and G3 GPU form)
     tie="suppress" suppress when overlap >= thr (G2 Cython form)
     Areas use the inclusive +1 pixel convention of the reference. Null and NaN
     scores come last; a box without four numbers or without extent overlaps
-    nothing and is kept. Both rules hold before any split by group size."""
+    nothing and is kept. Both rules hold before any split by group size.
+    Cells of the grid with more than ``dense_cell`` boxes are thinned round by
+    round before pairs are formed; results do not depend on it."""
     if tie not in ("keep", "suppress"):
         raise ValueError("tie must be 'keep' or 'suppress'")
     if thr < 0 or (tie == "suppress" and thr <= 0):
@@ -181,32 +287,48 @@ def box_nms(dets: DataFrame, thr: float = 0.3, tie: str = "keep", key: str = "im
         kept = kept_small
     else:
         kept = kept_small.unionByName(_box_nms_graph(big, thr, tie, key, id_col, score_col, plus_one, cell,
-                                                     collapse_copies))
+                                                     collapse_copies, dense_cell))
     kept = kept.unionByName(every.where("not _regular").select(key, F.col(id_col).alias("id")))
     return dets.join(kept.withColumnRenamed("id", id_col), [key, id_col], "left_semi")
 
 
 def _box_nms_graph(base: DataFrame, thr: float, tie: str, key: str, id_col: str, score_col: str,
-                   plus_one: bool, cell: float, collapse_copies: bool) -> DataFrame:
-    """Large groups: collapse exact copies, grid-join overlapping pairs,
-    resolve the greedy order round by round. Returns (key, id) kept."""
+                   plus_one: bool, cell: float, collapse_copies: bool, dense_cell: int) -> DataFrame:
+    """Large groups: collapse exact copies, thin dense cells, pair what is left
+    on the level grid, resolve the greedy order round by round. Returns (key, id) kept."""
     copies_drop = thr < 1.0 if tie == "keep" else thr <= 1.0
     if collapse_copies and copies_drop:
         tagged = _collapse_copies(base, key, id_col, score_col)
         cand = tagged.where(F.col(id_col) == F.col("leader_id")).drop("leader_id")
     else:
         cand = base
-    cand = cut_lineage(cand)
-    pairs = overlap_pairs(cand, key, id_col, plus_one=plus_one, cell=cell)
-    hit = (F.col("iou") > thr) if tie == "keep" else (F.col("iou") >= thr)
-    sc = cand.select(key, F.col(id_col).alias("sid"), F.col(score_col).alias("ss"))
-    p = (pairs.where(hit)
-         .join(sc.withColumnRenamed("sid", "id_a").withColumnRenamed("ss", "sa"), [key, "id_a"])
-         .join(sc.withColumnRenamed("sid", "id_b").withColumnRenamed("ss", "sb"), [key, "id_b"]))
-    a_first = _before(F.col("sa"), F.col("id_a"), F.col("sb"), F.col("id_b"))
-    edges = p.select(key, F.when(a_first, F.col("id_a")).otherwise(F.col("id_b")).alias("src"),
-                     F.when(a_first, F.col("id_b")).otherwise(F.col("id_a")).alias("dst"))
-    return resolve_greedy(cand.select(key, F.col(id_col).alias("id")), edges, key)
+    pad = 1.0 if plus_one else 0.0
+    cand = cut_lineage(cand.select(F.col(key).alias("k"), F.col(id_col).alias("id"), F.col(score_col).alias("score"),
+                                   *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]))
+
+    def hit(A, B):
+        w = F.least(A["x2"], B["x2"]) - F.greatest(A["x1"], B["x1"]) + pad
+        h = F.least(A["y2"], B["y2"]) - F.greatest(A["y1"], B["y1"]) + pad
+        o = iou(A, B, plus_one)
+        return (w > 0) & (h > 0) & ((o > thr) if tie == "keep" else (o >= thr))
+    if thr >= MIN_LEVEL_THR:
+        reach = level_reach(thr)
+        kept, cand = _thin_dense_cells(cand, reach, pad, hit, dense_cell)
+        edges = _suppressing_pairs(cand, reach, pad, hit)
+    else:  # boxes of any two sizes may suppress one another
+        kept = []
+        pairs = overlap_pairs(cand, "k", "id", plus_one=plus_one, cell=cell)
+        over = (F.col("iou") > thr) if tie == "keep" else (F.col("iou") >= thr)
+        sc = cand.select("k", "id", "score")
+        p = (pairs.where(over).join(sc.withColumnsRenamed({"id": "id_a", "score": "sa"}), ["k", "id_a"])
+             .join(sc.withColumnsRenamed({"id": "id_b", "score": "sb"}), ["k", "id_b"]))
+        a_first = _before(F.col("sa"), F.col("id_a"), F.col("sb"), F.col("id_b"))
+        edges = p.select("k", F.when(a_first, F.col("id_a")).otherwise(F.col("id_b")).alias("src"),
+                         F.when(a_first, F.col("id_b")).otherwise(F.col("id_a")).alias("dst"))
+    out = resolve_greedy(cand.select("k", "id"), edges, "k")
+    for part in kept:
+        out = out.unionByName(part)
+    return out.select(F.col("k").alias(key), "id")
 
 
 # ---------------------------------------------------------------------------

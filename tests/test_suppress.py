@@ -171,3 +171,44 @@ def test_soft_nms_order_does_not_depend_on_group_size(spark):
               sorted(S.soft_oks_nms(df, 0.3, 5, small_group=n, kind="linear").collect(), key=lambda r: r.rank)] for n in (5, 4)]
     assert walks[0] == walks[1] and [w[1] for w in walks[0]] == [3, 2, 4, 0, 1]
     assert [w[2] for w in walks[0]] == [False, False, False, True, True]
+
+
+BOX_SCHEMA = "image_id long, det_id long, x1 double, y1 double, x2 double, y2 double, score double"
+
+
+@pytest.mark.parametrize("tie,thr,dense_cell", [("keep", 0.3, 20), ("suppress", 0.5, 8), ("keep", 0.3, 512), ("keep", 0.01, 512)])
+def test_level_grid_nms_of_sizes_from_specks_to_posters(spark, dense_cell, tie, thr):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(220):
+        side = 2.0 ** rng.uniform(-1, 9, 2)
+        x, y = rng.uniform(-300, 300, 2)
+        if i % 3 == 0:  # whole numbers and powers of two, where cells meet
+            x, y, side = float(int(x) // 32 * 32), float(int(y) // 32 * 32), np.array([63.0, 31.0])
+        rows.append((i % 2, i, float(x), float(y), float(x + side[0]), float(y + side[1]), float(rng.integers(0, 9))))
+    df = spark.createDataFrame(rows, BOX_SCHEMA)
+    got = {(r.image_id, r.det_id) for r in
+           S.box_nms(df, thr=thr, tie=tie, small_group=0, dense_cell=dense_cell).collect()}
+    want = set()
+    for img in (0, 1):
+        want |= {(img, i) for i in seq_nms([(r[2], r[3], r[4], r[5], r[6], r[1]) for r in rows if r[0] == img], thr, tie)}
+    assert got == want
+
+
+def test_a_pile_of_a_hundred_thousand_boxes(spark):
+    """No two alike and nearly all overlapping: 5 * 10^9 pairs, never formed."""
+    n = 100_000
+    i = F.col("id")
+    df = spark.range(n).select(
+        F.lit(1).cast("long").alias("image_id"), i.alias("det_id"), (i % 317 / 100).alias("x1"),
+        (F.floor(i / 317) / 100).alias("y1"), (i % 317 / 100 + 100).alias("x2"),
+        (F.floor(i / 317) / 100 + 80 + i % 7).alias("y2"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("score"))
+    best = df.orderBy(F.col("score").desc(), "det_id").first().det_id
+    assert [r.det_id for r in S.box_nms(df, thr=0.3).collect()] == [best]
+
+
+def test_levels_of_sides_and_reach(spark):
+    sides = [0.5, 1.0, 1.5, 2.0, 2.1, 4.0, 8.0, 8.001, 64.0, 65.0]
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in sides], "s double").select(S._axis_level(F.col("s"))).collect()]
+    assert got == [0, 0, 1, 1, 2, 2, 3, 4, 6, 7]
+    assert [S.level_reach(t) for t in (1.0, 0.5, 0.3)] == [1, 2, 2]
