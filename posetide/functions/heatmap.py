@@ -132,6 +132,72 @@ def local_peaks(hm, h, w) -> Column:
     return F.filter(cells, lambda s: s["val"] == s["mx"])
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: as a lambda's argument it
+    is not written out again at each use."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def sliding_max(hm, h, w, size: int, along: str) -> Column:
+    """Maximum over windows of ``size`` (odd) cells around each cell along the
+    rows (``x``) or columns (``y``); cells outside the map count as absent.
+
+    Windows are built by doubling: a maximum over 2p cells is the greater of
+    two over p, and any window is covered by two of the greatest power of two
+    that fits it. That takes about log2(size) passes instead of size; only cells
+    nearer to the map's edge than half a window look at their window's cells
+    one by one."""
+    hm, h, w = _c(hm), _c(h), _c(w)
+    step, length, place = (F.lit(1), w, lambda i: i % w) if along == "x" else (w, h, lambda i: F.floor(i / w))
+    cells = F.sequence(F.lit(0), F.size(hm) - 1)
+
+    def ahead(m, n):  # the greater of each cell and the one n steps on
+        return F.transform(cells, lambda i: F.greatest(
+            at(m, i), F.when(place(i) + n < length, at(m, (i + step * n).cast("int")))))
+
+    def grow(m, have):  # m: maxima over ``have`` cells from each on
+        if have * 2 <= size:
+            return _bind(ahead(m, have), lambda n: grow(n, have * 2))
+        tail = size - have
+        whole = ahead(m, tail) if tail else m
+        half = size // 2
+
+        # the window of a cell near the start begins at the map's edge, and
+        # ends where it would: two windows of ``have`` cells cover it as well
+        def around(full):
+            def pick(i):
+                start = place(i) - half
+                inner = at(full, (i - step * F.least(F.lit(half), place(i))).cast("int"))
+                return F.when(start >= 0, inner).otherwise(edge(i))
+            return F.transform(cells, pick)
+
+        def edge(i):  # fewer than ``size`` cells: from the edge to place + half
+            best = at(hm, i)
+            for n in range(1, half + 1):
+                best = F.greatest(best, F.when(place(i) - n >= 0, at(hm, (i - step * n).cast("int"))),
+                                  F.when(place(i) + n < length, at(hm, (i + step * n).cast("int"))))
+            return best
+        return _bind(whole, around)
+    if size == 1:
+        return hm
+    return _bind(hm, lambda m: grow(m, 1))
+
+
+def local_peaks_window(hm, h, w, size: int = 3) -> Column:
+    """F12 with any odd window: cells equal to the maximum of the ``size`` x
+    ``size`` cells around them, as array<struct<cell, val>>. The maximum is
+    separable: along the rows first, then along the columns."""
+    if size < 1 or size % 2 == 0:
+        raise ValueError("size must be odd and positive")
+    hm, h, w = _c(hm), _c(h), _c(w)
+    rows = sliding_max(hm, h, w, size, "x")
+    both = _bind(rows, lambda m: sliding_max(m, h, w, size, "y"))
+    cells = _bind(both, lambda m: F.transform(F.sequence(F.lit(0), F.size(hm) - 1), lambda i: F.struct(
+        i.alias("cell"), at(hm, i).alias("val"), at(m, i).alias("mx"))))
+    return F.transform(F.filter(cells, lambda s: s["val"] == s["mx"]),
+                       lambda s: F.struct(s["cell"].alias("cell"), s["val"].alias("val")))
+
+
 def adjust(hm, px, py, h, w) -> dict[str, Column]:
     """bottom-up quarter adjust: +-0.25 toward the larger clamped
     neighbour (ties go negative), then +0.5 on both axes."""

@@ -2,18 +2,22 @@
 
 Targets are produced in long form — one row per heatmap cell inside the
 3-sigma window — with ``explode(sequence)``, so a sample never becomes a
-dense array unless a consumer asks for it (``dense_targets``).
+dense array unless a consumer asks for it (``dense_targets``). A sample can
+also carry its targets itself (``target_structs``): the Gaussian is a product
+of a row and a column, so a joint needs 6 sigma + 1 numbers an axis.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posetide.functions import keypoints as K
-from posetide.schema import HEATMAP_WH, POSE_INPUT_WH
+from posetide.schema import HEATMAP_WH, JOINT_WEIGHTS, POSE_INPUT_WH
 
 
 def _mu(x, stride):
@@ -71,7 +75,6 @@ def target_mass(df: DataFrame, key="sample_id", joint="joint", x="x", y="y", vis
     x1 = F.least(F.col("mx") + tmp + 1, F.lit(heatmap_wh[0]).cast("long")) - 1
     y0 = F.greatest(F.lit(0).cast("long"), F.col("my") - tmp)
     y1 = F.least(F.col("my") + tmp + 1, F.lit(heatmap_wh[1]).cast("long")) - 1
-    import math
     # offsets o in [-3 sigma, 3 sigma] carry constant weights; the map bounds
     # clip the window to [max(-t, -mu), min(t, size - 1 - mu)], so each axis
     # sum is a difference of two prefix sums (two array reads, tiny code)
@@ -105,6 +108,64 @@ def dense_targets(cells: DataFrame, key="sample_id", joint="joint", heatmap_wh=H
     return cells.groupBy(key, joint).applyInPandas(build, schema)
 
 
+def target_structs(jx, jy, jv, sigma: float = 3.0, image_wh=POSE_INPUT_WH, heatmap_wh=HEATMAP_WH,
+                   joint_weights: list[float] | None = JOINT_WEIGHTS) -> Column:
+    """I5 in the sample: one struct a joint (joint, weight, x0, y0, wx, wy).
+
+    The target of cell (x0 + a, y0 + b) is wx[a] * wy[b]; both are empty for a
+    joint that is not visible or whose window misses the map. ``weight`` is
+    the visibility (0 when the window misses the map) times the joint's own
+    weight (None: no such weights). Null joints count as not visible. Row-local:
+    the factors are slices of one constant array, cut where the map ends."""
+    jx, jy, jv = (F.col(c) if isinstance(c, str) else c for c in (jx, jy, jv))
+    t = int(sigma * 3)
+    bell = F.array(*[F.lit(math.exp(-(o * o) / (2.0 * sigma * sigma))) for o in range(-t, t + 1)])
+    own = None if joint_weights is None else F.array(*[F.lit(float(w)) for w in joint_weights])
+
+    def axis(v, image, cells):
+        mu = (v / (image / cells) + 0.5).cast("long")
+        first = F.greatest(F.lit(0).cast("long"), mu - t)
+        last = F.least(mu + t, F.lit(cells - 1).cast("long"))
+        start = F.least(first - mu + t + 1, F.lit(2 * t + 2))
+        return first, last >= first, F.slice(bell, start.cast("int"), F.greatest(last - first + 1, F.lit(0)).cast("int"))
+
+    def one(z, j):
+        seen = z["v"].cast("double")
+        inside = F.coalesce(_window_meets_map(z["x"], z["y"], sigma, image_wh, heatmap_wh), F.lit(False))
+        weight = F.when(inside, F.coalesce(seen, F.lit(0.0))).otherwise(F.lit(0.0))
+        none = F.array().cast("array<double>")
+        x0, some_x, wx = axis(z["x"], image_wh[0], heatmap_wh[0])
+        y0, some_y, wy = axis(z["y"], image_wh[1], heatmap_wh[1])
+        holds = F.coalesce(inside & (seen > 0.5) & some_x & some_y, F.lit(False))
+        if own is not None:
+            weight = weight * F.element_at(own, j + 1)
+        return F.struct(j.cast("int").alias("joint"), weight.alias("weight"),
+                        F.when(holds, x0).cast("int").alias("x0"), F.when(holds, y0).cast("int").alias("y0"),
+                        F.when(holds, wx).otherwise(none).alias("wx"), F.when(holds, wy).otherwise(none).alias("wy"))
+    return F.transform(F.arrays_zip(jx.alias("x"), jy.alias("y"), jv.alias("v")), one)
+
+
+def target_cells(samples: DataFrame, *keys: str, targets: str = "targets") -> DataFrame:
+    """The cells (joint, hx, hy, val) that ``target_structs`` stands for."""
+    j = samples.select(*keys, F.explode(targets).alias("t")).select(*keys, "t.*")
+    c = j.select(*keys, "joint", "x0", "y0", "wy", F.posexplode("wx").alias("a", "vx"))
+    c = c.select(*keys, "joint", (F.col("x0") + F.col("a")).alias("hx"), "vx", "y0", F.posexplode("wy").alias("b", "vy"))
+    return c.select(*keys, "joint", "hx", (F.col("y0") + F.col("b")).alias("hy"), (F.col("vx") * F.col("vy")).alias("val"))
+
+
+def target_moments(target: Column) -> dict[str, Column]:
+    """Summary of one joint's target over all of its cells: their number, the
+    sums of the values, and of the values times the cell's x and y. Sums of a
+    product of factors are products of sums, so no cell is written."""
+    def total(w, first=None):
+        term = w if first is None else F.transform(w, lambda v, i: v * (first + i))
+        return F.aggregate(term, F.lit(0.0), lambda acc, v: acc + v)
+    wx, wy = target["wx"], target["wy"]
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return {"n_cells": (F.size(wx) * F.size(wy)).cast("long"), "mass": total(wx) * total(wy),
+            "mass_x": zero(total(wx, target["x0"]) * total(wy)), "mass_y": zero(total(wx) * total(wy, target["y0"]))}
+
+
 def split_and_shard(df: DataFrame, key: str, n_shards: int = 16, valid_share: float = 0.2, seed: int = 0) -> DataFrame:
     """train/valid split and shard id from integer arithmetic on the key
     (stable across runs and partitionings)."""
@@ -120,7 +181,8 @@ def assemble_samples(prep: DataFrame, epoch: int = 0, train: bool = True, seed:
     prep: image_id, ann_id, width, height, jx, jy, jv (25 joints),
     center_x, center_y, scale_x, scale_y. Applies half body (C9), scale,
     rotation and flip draws (I9), the flip (I3) and the affine warp of the
-    visible joints (I6/I7); adds target weights' count. Pixels are warped
+    visible joints (I6/I7); adds the targets (``target_structs``) and the number
+    of joints with a weight. Pixels are warped
     separately by the image job on the same matrix."""
     nv = F.aggregate("jv", F.lit(0).cast("long"), lambda a, v: a + v)
     p = prep.withColumn("n_vis", nv).withColumn("epoch", F.lit(epoch))
@@ -159,4 +221,5 @@ def assemble_samples(prep: DataFrame, epoch: int = 0, train: bool = True, seed:
         (z["jv"] > 0) & _window_meets_map(z["jx"], z["jy"]), 1).otherwise(0))
     p = p.withColumn("n_weighted", F.aggregate(inside, F.lit(0).cast("long"), lambda a, v: a + v))
     return p.select("image_id", "ann_id", "epoch", "center_x", "center_y", "scale_x", "scale_y", "rotation",
-                    "flipped", "jx", "jy", "jv", *list(m), "n_weighted")
+                    "flipped", "jx", "jy", "jv", *list(m), "n_weighted",
+                    target_structs("jx", "jy", "jv", image_wh=image_wh).alias("targets"))

@@ -167,6 +167,23 @@ def q_heatmap_local_peaks(spark, d):
 TOP_M = 2
 
 
+_WINDOWS = (3, 5, 7)
+
+
+@query("heatmap_peaks_window", fx.with_fixtures(f"""
+select person_id, joint, cast(k as integer) size, cast(i as integer) cell, hm[i + 1] val
+from fx_heatmaps, (values {", ".join(f"({k})" for k in _WINDOWS)}) s(k), range(64) c(i)
+where hm[i + 1] = list_max(list_transform(list_filter(range(64),
+    lambda q: abs(q % 8 - i % 8) <= k // 2 and abs(q // 8 - i // 8) <= k // 2), lambda q: hm[q + 1]))""", "fx_heatmaps"))
+def q_heatmap_peaks_window(spark, d):
+    """local maxima of windows of 3, 5 and 7 cells a side."""
+    h = fx.fx_heatmaps(spark, d)
+    sizes = F.array(*[F.struct(F.lit(k).alias("size"), H.local_peaks_window("hm", "h", "w", k).alias("peaks"))
+                      for k in _WINDOWS])
+    z = h.select("person_id", "joint", F.explode(sizes).alias("s")).select("person_id", "joint", "s.size", F.explode("s.peaks").alias("c"))
+    return z.select("person_id", "joint", "size", F.col("c.cell").alias("cell"), F.col("c.val").alias("val"))
+
+
 @query("heatmap_peaks_topk", fx.with_fixtures(f"""
 select image_id, joint, peak_id, x, y, val, tag, rk from (
   select *, row_number() over (partition by image_id, joint order by val desc, peak_id) rk from fx_peaks) t

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from posetide import fixtures as fx
-from posetide.functions.numeric import rnd
+from posetide.functions.numeric import rnd, rnd_sql
 from posetide.operators import images as D
 from posetide.plans import jobs as J
 from posetide.plans.registry import query
@@ -64,7 +64,10 @@ def q_video_pose_job(spark, d):
                     rnd("score", 4).alias("score"))
 
 
-@query("pose_json")
+@query("pose_json", fx.with_fixtures("""
+select sample_id // 100 video_id, cast(sample_id % 100 as integer) frame_idx,
+  '{"0":[' || string_agg('[' || pred_y || ',' || pred_x || ',' || score || ']', ',' order by joint) || ']}' keypoints
+from fx_pose_pairs group by sample_id""", "fx_pose_pairs"))
 def q_pose_json(spark, d):
     """Per-frame pose documents {"person": [[y, x, s], ...]} (B13
     order) for 100-frame clips of the pose table."""
@@ -74,12 +77,20 @@ def q_pose_json(spark, d):
     return A.pose_frames_json(p)
 
 
-@query("coco_results")
+@query("coco_results", fx.with_fixtures(f"""
+select sample_id image_id, cast(1 as integer) category_id,
+  flatten(list([pred_x, pred_y, score] order by joint)) keypoints, {rnd_sql("avg(score)")} score,
+  [max(norm_x) * 2, max(norm_y) * 2] center, [max(norm_x) / 200, max(norm_y) / 200] scale
+from fx_pose_pairs group by sample_id""", "fx_pose_pairs"))
 def q_coco_results(spark, d):
-    """Keypoint results rows (flat [x, y, s] x 25, mean score)."""
-    p = fx.fx_pose_pairs(spark, d).select(F.col("sample_id").alias("image_id"), F.lit(0).alias("person_id"), "joint",
-                                          F.col("pred_x").alias("x"), F.col("pred_y").alias("y"), "score")
-    return A.coco_keypoint_results(p)
+    """Keypoint results rows (flat [x, y, s] x 25, mean score, centre and
+    scale of the person)."""
+    p = fx.fx_pose_pairs(spark, d).select(
+        F.col("sample_id").alias("image_id"), F.lit(0).alias("person_id"), "joint", F.col("pred_x").alias("x"),
+        F.col("pred_y").alias("y"), "score", F.array(F.col("norm_x") * 2, F.col("norm_y") * 2).alias("center"),
+        F.array(F.col("norm_x") / 200, F.col("norm_y") / 200).alias("scale"))
+    r = A.coco_keypoint_results(p, center="center", scale="scale")
+    return r.withColumn("score", rnd("score"))
 
 
 @query("media_names", fx.with_fixtures(r"""

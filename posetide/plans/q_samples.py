@@ -11,7 +11,7 @@ from posetide.functions.numeric import rnd, rnd_sql
 from posetide.operators import samples as S
 from posetide.plans.q_boxes import _VALID_SQL, valid_annotations
 from posetide.plans.registry import query
-from posetide.schema import ANNOTATION_SLOTS
+from posetide.schema import ANNOTATION_SLOTS, JOINT_WEIGHTS
 
 _SLOTS = ", ".join(f"({src}, {slot})" for src, slot in enumerate(ANNOTATION_SLOTS))
 
@@ -238,6 +238,37 @@ def q_sample_assembly(spark, d):
         "flipped", "n_weighted")
 
 
+_WEIGHTS = ", ".join(f"({j}, {w})" for j, w in enumerate(JOINT_WEIGHTS))
+
+
+@query("sample_targets", _sql(_cs_sql() + f"""
+, m as (select image_id, ann_id, cx, cy, 192.0 / (sx * 200.0) k from cs),
+t as (select j.image_id, j.ann_id, j.joint, j.vis,
+    case when j.vis > 0 then k * j.x + k * 0.0 * j.y + (192.0 * 0.5 - (k * cx + k * 0.0 * cy)) else j.x end x,
+    case when j.vis > 0 then -k * 0.0 * j.x + k * j.y + (256.0 * 0.5 - (-k * 0.0 * cx + k * cy)) else j.y end y
+  from m join j25 j on j.image_id = m.image_id and j.ann_id = m.ann_id),
+mu as (select *, cast(trunc(x / 4.0 + 0.5) as bigint) mx, cast(trunc(y / 4.0 + 0.5) as bigint) my from t),
+w as (select *, case when mx - 9 >= 48 or my - 9 >= 64 or mx + 10 < 0 or my + 10 < 0 then 0 else vis end wt from mu),
+c as (select w.image_id, w.ann_id, w.joint, hx, hy, exp(-(((hx - mx) * (hx - mx) + (hy - my) * (hy - my)) / 18.0)) val
+  from w, range(greatest(0, w.mx - 9), least(w.mx + 10, 48)) cx(hx), range(greatest(0, w.my - 9), least(w.my + 10, 64)) cy(hy)
+  where w.wt > 0.5),
+s as (select image_id, ann_id, joint, count(*) n, sum(val) v, sum(val * hx) vx, sum(val * hy) vy from c group by all),
+jw as (select * from (values {_WEIGHTS}) t(joint, own))
+select w.image_id, w.ann_id, cast(w.joint as integer) joint, cast(w.wt * jw.own as double) weight,
+  coalesce(n, 0) n_cells, {rnd_sql("coalesce(v, 0.0)", 3)} mass, {rnd_sql("coalesce(vx, 0.0)", 3)} mass_x,
+  {rnd_sql("coalesce(vy, 0.0)", 3)} mass_y
+from w join jw on jw.joint = w.joint
+left join s on s.image_id = w.image_id and s.ann_id = w.ann_id and s.joint = w.joint"""))
+def q_sample_targets(spark, d):
+    """I5 + I10: targets and weights that an assembled sample carries (no
+    augmentation), one row a joint; moments over all cells of its target."""
+    s = S.assemble_samples(prepared(spark, d), train=False)
+    j = s.select("image_id", "ann_id", F.explode("targets").alias("t"))
+    m = S.target_moments(F.col("t"))
+    return j.select("image_id", "ann_id", F.col("t.joint").alias("joint"), F.col("t.weight").alias("weight"),
+                    m["n_cells"].alias("n_cells"), *[rnd(m[k], 3).alias(k) for k in ("mass", "mass_x", "mass_y")])
+
+
 _FLIP25 = ", ".join(f"({j}, {f})" for j, f in enumerate(__import__("posetide.schema", fromlist=["x"]).flip_permutation(25)))
 
 

@@ -38,6 +38,12 @@ SKELETON = [
 FLIP_PAIRS = [(1, 2), (3, 4), (6, 7), (8, 9), (10, 11), (12, 13),
               (15, 16), (17, 18), (19, 22), (20, 23), (21, 24)]
 
+# Weight of each joint in the training loss, joints 0 to 24.
+JOINT_WEIGHTS = [
+    1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.2, 1.2, 1.5, 1.5, 1.0, 1.0, 1.0,
+    1.2, 1.2, 1.5, 1.5, 1.5, 1.5, 1.5, 1.5, 1.5, 1.5,
+]
+
 # Joints used for the half-body draw.
 UPPER_BODY_IDS = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
 LOWER_BODY_IDS = [11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22]
