@@ -263,10 +263,12 @@ def q_sample_targets(spark, d):
     """I5 + I10: targets and weights that an assembled sample carries (no
     augmentation), one row a joint; moments over all cells of its target."""
     s = S.assemble_samples(prepared(spark, d), train=False)
-    j = s.select("image_id", "ann_id", F.explode("targets").alias("t"))
-    m = S.target_moments(F.col("t"))
-    return j.select("image_id", "ann_id", F.col("t.joint").alias("joint"), F.col("t.weight").alias("weight"),
-                    m["n_cells"].alias("n_cells"), *[rnd(m[k], 3).alias(k) for k in ("mass", "mass_x", "mass_y")])
+
+    def row(t):
+        m = S.target_moments(t)
+        return F.struct(t["joint"].alias("joint"), t["weight"].alias("weight"), m["n_cells"].alias("n_cells"),
+                        *[rnd(m[k], 3).alias(k) for k in ("mass", "mass_x", "mass_y")])
+    return s.select("image_id", "ann_id", F.inline(F.transform("targets", row)))
 
 
 _FLIP25 = ", ".join(f"({j}, {f})" for j, f in enumerate(__import__("posetide.schema", fromlist=["x"]).flip_permutation(25)))

@@ -1,10 +1,9 @@
 """Annotation and external-detection sources.
 
 The annotation file is the usual keypoint JSON: ``images`` and
-``annotations`` arrays in one document. A single JSON document cannot be
-split, so Spark reads each file in one task; large sets should ship as
-several files or as JSON lines (one annotation per line), which
-``read_annotation_lines`` reads in parallel.
+``annotations`` arrays in one document. Spark reads such a file in one task
+(``read_coco``); ``read_coco_blocks`` cuts it into blocks of bytes that many
+tasks read, and ``read_annotation_lines`` reads the one-per-line form.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from posetide.sources.json_blocks import BLOCK_BYTES, read_json_array
+
 ANN_STRUCT = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("image_id", T.LongType()),
     T.StructField("category_id", T.IntegerType()), T.StructField("iscrowd", T.IntegerType()),
@@ -39,6 +40,17 @@ def read_coco(spark: SparkSession, path: str, non_crowd: bool = True) -> tuple[D
     return images, anns
 
 
+def read_coco_blocks(spark: SparkSession, path: str, non_crowd: bool = True,
+                     block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``read_coco``, each file read by as many tasks as it has
+    blocks."""
+    images = read_json_array(spark, path, "images", IMG_STRUCT, block_bytes).withColumnRenamed("id", "image_id")
+    anns = read_json_array(spark, path, "annotations", ANN_STRUCT, block_bytes).withColumnRenamed("id", "ann_id")
+    if non_crowd:
+        anns = anns.where(F.coalesce(F.col("iscrowd"), F.lit(0)) == 0)
+    return images, anns
+
+
 def read_annotation_lines(spark: SparkSession, path: str) -> DataFrame:
     """A6 at scale: one annotation object per line (splittable)."""
     return spark.read.schema(ANN_STRUCT).json(path).withColumnRenamed("id", "ann_id")
