@@ -5,10 +5,11 @@ and how many leaves it is to become. It is split along the metadata dimension
 in which its documents spread widest, at the weighted median: the place where
 the bytes on either side are in the ratio of the leaves on either side. All
 nodes of a level are split by the same few jobs, and a job returns one row a
-node: the driver holds the tree, never documents.
+node: the driver holds one level of the tree, never documents. Rows carry
+the node they are in; a level's splits are a table that is joined to them.
 
 The weighted median is exact. Each dimension has a 64-bit code: the value
-(24 bits), a hash of the text (16 bits), so that equal texts stay together
+(24 bits, scaled between the least and the greatest of all rows), a hash of the text (16 bits), so that equal texts stay together
 where they can, and a hash of the row (24 bits), so that a group of equal rows
 of any size can still be cut. Four jobs a level narrow the median down by 16
 bits each, from sums of bytes a node and bucket (65,536 buckets at most).
@@ -21,88 +22,129 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import gapless_rank, stored
+from .common import dropped, gapless_rank, stored
 
-#: Bits of a dimension's value; larger numbers count as the largest.
+#: Bits of a dimension's value.
 VALUE_BITS = 24
 STEP_BITS = 16
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
 
 
 @dataclass
-class Node:
-    leaves: int
-    first: int  # number of its first leaf
-    dim: int | None = None
-    at: int | None = None  # codes up to this one go left
-    left: Node | None = None
-    right: Node | None = None
-
+class Split:
+    """A node of the level at hand and where it is cut: codes of dimension
+    ``dim`` up to ``at`` go left. ``first`` is the number of its first leaf."""
 
-def _value(df: DataFrame, name: str):
-    """24-bit order code of a metadata column: numbers by value (null and
-    negative: 0), anything else by a hash of its text (null: 0)."""
-    kind = dict(df.dtypes)[name]
+    first: int
+    leaves: int
+    dim: int = 0
+    at: int = 0
+    goal: float = 0.0
+    before: int = 0
+
+    @property
+    def half(self) -> int:
+        return self.leaves // 2
+
+
+def _number(kind: str, name: str):
+    """A metadata column as a double whose order is its own, or None where it
+    has no distances (text and nested values). NaN counts as null."""
+    col = F.col(name)
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if kind in NUMBERS or kind.startswith("decimal"):
+        v = col.cast("double")
+        return F.when(~F.isnan(v), v)
+    return None
+
+
+def _values(docs: DataFrame, dims: list[str]):
+    """24-bit order codes of the metadata columns, null first. Numbers, dates
+    and times are scaled between the least and greatest finite value of all
+    rows (infinities: at the ends); other kinds by a hash of their text."""
+    kinds = dict(docs.dtypes)
     top = (1 << VALUE_BITS) - 1
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.least(F.greatest(F.coalesce(F.col(name).cast("long"), F.lit(0)), F.lit(0)), F.lit(top)).cast("long")
-    return F.coalesce(F.shiftright(F.crc32(F.col(name).cast("string").cast("binary")), 32 - VALUE_BITS), F.lit(0)).cast("long")
-
-
-def _leaf(node: Node):
-    """Number of the leaf or open node that a row falls in, as a column."""
-    if node.left is None:
-        return F.lit(node.first)
-    return F.when(F.col(f"_c{node.dim}") <= F.lit(node.at), _leaf(node.left)).otherwise(_leaf(node.right))
-
-
-def _split_level(rows: DataFrame, root: Node, open_nodes: list[Node], dims: int) -> None:
-    """Choose dimension and median of each open node."""
-    placed = rows.withColumn("_node", _leaf(root)).where(F.col("_node").isin([n.first for n in open_nodes]))
+    numbers = {i: n for i, d in enumerate(dims) if (n := _number(kinds[d], d)) is not None}
+    ends = None
+    if numbers:  # one row; halves, so that no difference overflows
+        finite = {i: F.when(F.abs(n) < float("inf"), n / 2) for i, n in numbers.items()}
+        ends = docs.agg(*(f(v).alias(f"{g}{i}") for i, v in finite.items() for g, f in (("lo", F.min), ("hi", F.max)))).first()
+    out = []
+    for i, d in enumerate(dims):
+        if i in numbers:
+            lo, hi = ends[f"lo{i}"], ends[f"hi{i}"]
+            if lo is None or hi <= lo:
+                code = F.when(numbers[i] == float("inf"), F.lit(top)).otherwise(F.lit(0))
+            else:
+                part = F.least(F.greatest((numbers[i] / 2 - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))
+                code = F.when(numbers[i].isNotNull(), F.floor(part * (top - 1)) + 1)
+        else:
+            code = F.shiftright(F.crc32(F.col(d).cast("string").cast("binary")), 32 - VALUE_BITS)
+        out.append(F.coalesce(code, F.lit(0)).cast("long"))
+    return out
+
+
+def _of_dim(dims: int):
+    """The code of the dimension that a row's node is cut along."""
+    return F.element_at(F.array(*(F.col(f"_c{d}") for d in range(dims))), F.col("_dim") + 1)
+
+
+def _split_level(rows: DataFrame, level: list[Split], widths: list[int]) -> list[Split]:
+    """Choose dimension and median of each node that is to be cut; nodes
+    without rows are left out."""
+    spark, dims = rows.sparkSession, len(widths)
     shift = 64 - 1 - VALUE_BITS  # codes are 63 bits, never negative
-    spread = placed.groupBy("_node").agg(
+    asked = spark.createDataFrame([(n.first,) for n in level], "_node long")
+    spread = rows.join(asked, "_node").groupBy("_node").agg(
         F.sum("size").alias("total"),
         *(f(F.shiftright(f"_c{d}", shift)).alias(f"{g}{d}") for d in range(dims) for g, f in (("lo", F.min), ("hi", F.max))))
-    whole = rows.agg(*((F.max(F.shiftright(f"_c{d}", shift)) - F.min(F.shiftright(f"_c{d}", shift))).alias(f"w{d}")
-                       for d in range(dims))).first()
-    by_first = {n.first: n for n in open_nodes}
-    want, before, prefix = {}, {}, {}
+    by_first = {n.first: n for n in level}
+    found = []
     for r in spread.collect():  # one row a node
         n = by_first[r["_node"]]
-        n.dim = max(range(dims), key=lambda d: ((r[f"hi{d}"] - r[f"lo{d}"]) / max(1, whole[f"w{d}"] or 0), -d))
-        want[n.first] = r["total"] * (n.leaves // 2) / n.leaves
-        before[n.first], prefix[n.first] = 0, 0
-    found = [n for n in open_nodes if n.dim is not None]
+        n.dim = max(range(dims), key=lambda d: ((r[f"hi{d}"] - r[f"lo{d}"]) / max(1, widths[d]), -d))
+        n.goal = r["total"] * n.half / n.leaves
+        found.append(n)
     if not found:
-        return
-    code = F.coalesce(*(F.when(F.col("_node") == n.first, F.col(f"_c{n.dim}")) for n in found))
-    coded = placed.select("_node", "size", code.alias("_code"))
+        return []
     for low in (48, 32, 16, 0):
-        inside = F.coalesce(*(F.when(F.col("_node") == n.first, F.lit(prefix[n.first])) for n in found))
-        start = F.coalesce(*(F.when(F.col("_node") == n.first, F.lit(before[n.first])) for n in found))
-        goal = F.coalesce(*(F.when(F.col("_node") == n.first, F.lit(float(want[n.first]))) for n in found))
-        sums = (coded.where(F.shiftright("_code", low + STEP_BITS) == inside if low < 48 else F.lit(True))
-                .groupBy("_node", F.shiftright("_code", low).alias("_bucket")).agg(F.sum("size").alias("bytes")))
+        state = spark.createDataFrame([(n.first, n.dim, n.at, n.before, float(n.goal)) for n in found],
+                                      "_node long, _dim int, _at long, _before long, _goal double")
+        code = _of_dim(dims)
+        sums = (rows.join(state, "_node").where(F.shiftright(code, low + STEP_BITS) == F.col("_at") if low < 48 else F.lit(True))
+                .groupBy("_node", "_before", "_goal", F.shiftright(code, low).alias("_bucket")).agg(F.sum("size").alias("bytes")))
         run = Window.partitionBy("_node").orderBy("_bucket")  # 65,536 buckets a node at most
-        upto = sums.withColumn("upto", F.sum("bytes").over(run) + start)
+        upto = sums.withColumn("upto", F.sum("bytes").over(run) + F.col("_before"))
         # the bucket in which the running sum reaches the goal, else the last
         hit = (upto.groupBy("_node").agg(
-            F.min(F.when(F.col("upto") >= goal, F.struct("_bucket", "upto", "bytes"))).alias("hit"),
+            F.min(F.when(F.col("upto") >= F.col("_goal"), F.struct("_bucket", "upto", "bytes"))).alias("hit"),
             F.max(F.struct("_bucket", "upto", "bytes")).alias("last"))
             .select("_node", F.coalesce("hit", "last").alias("b")).select("_node", "b.*"))
         for r in hit.collect():  # one row a node
-            prefix[r["_node"]] = r["_bucket"]
-            before[r["_node"]] = r["upto"] - r["bytes"]
-            last = r["bytes"]
-            if low == 0:
-                # the row at the median goes to the side that leaves the smaller error
-                over = before[r["_node"]] + last - want[r["_node"]]
-                under = want[r["_node"]] - before[r["_node"]]
-                if under < over:
-                    prefix[r["_node"]] -= 1
-    for n in found:
-        n.at = prefix[n.first]
-        half = n.leaves // 2
-        n.left, n.right = Node(half, n.first), Node(n.leaves - half, n.first + half)
+            n = by_first[r["_node"]]
+            n.at, n.before = r["_bucket"], r["upto"] - r["bytes"]
+            # the row at the median goes to the side that leaves the smaller error
+            if low == 0 and n.goal - n.before < r["upto"] - n.goal:
+                n.at -= 1
+    return found
+
+
+def _coded(docs: DataFrame, dims: list[str], doc_id: str, text: str) -> DataFrame:
+    """doc_id, size, text_crc32, a row number and one code a dimension."""
+    body = F.col(text)
+    base = docs.select(F.col(doc_id).alias("doc_id"),
+                       (F.coalesce(F.octet_length(body), F.lit(0)) + 16).cast("long").alias("size"),
+                       F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
+                       F.monotonically_increasing_id().alias("_row"),
+                       *(v.alias(f"_v{i}") for i, v in enumerate(_values(docs, dims))))
+    twin = F.pmod(F.xxhash64("text_crc32", "size"), F.lit(1 << 16))
+    own = F.pmod(F.xxhash64("doc_id", "_row"), F.lit(1 << 23))
+    return base.select("doc_id", "size", "text_crc32", "_row", *(
+        F.shiftleft(F.col(f"_v{i}"), 39).bitwiseOR(F.shiftleft(twin, 23)).bitwiseOR(own).alias(f"_c{i}")
+        for i in range(len(dims))))
 
 
 def kd_shards(docs: DataFrame, dims: list[str], shards: int | None = None, target_bytes: int | None = None,
@@ -114,27 +156,27 @@ def kd_shards(docs: DataFrame, dims: list[str], shards: int | None = None, targe
     text_crc32 (null as empty), shard (from 0) and slot (gapless from 0 within
     the shard). Rows are returned as often as given; equal rows may share
     every code, so only they can stand between a shard and its target. Null
-    metadata counts as the least value, no rows give none, and other columns
+    and NaN metadata count as the least value, no rows give none, and other columns
     are ignored, so no name can clash."""
-    body = F.col(text)
-    base = docs.select(F.col(doc_id).alias("doc_id"),
-                       (F.coalesce(F.octet_length(body), F.lit(0)) + 16).cast("long").alias("size"),
-                       F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
-                       F.monotonically_increasing_id().alias("_row"),
-                       *(_value(docs, d).alias(f"_v{i}") for i, d in enumerate(dims)))
-    twin = F.pmod(F.xxhash64("text_crc32", "size"), F.lit(1 << 16))
-    own = F.pmod(F.xxhash64("doc_id", "_row"), F.lit(1 << 23))
     # codes are written once: the levels below only compare them
-    rows = stored(base.select("doc_id", "size", "text_crc32", "_row", *(
-        F.shiftleft(F.col(f"_v{i}"), 39).bitwiseOR(F.shiftleft(twin, 23)).bitwiseOR(own).alias(f"_c{i}")
-        for i in range(len(dims)))), "kd-rows")
+    rows = stored(_coded(docs, dims, doc_id, text).withColumn("_node", F.lit(0).cast("long")), "kd-rows")
+    shift = 64 - 1 - VALUE_BITS
+    whole = rows.agg(F.sum("size").alias("size"), *((F.max(F.shiftright(f"_c{d}", shift)) - F.min(F.shiftright(f"_c{d}", shift))).alias(f"w{d}")
+                                                    for d in range(len(dims)))).first()
+    widths = [whole[f"w{d}"] or 0 for d in range(len(dims))]
     if shards is None:
-        total = rows.agg(F.sum("size")).first()[0] or 0
-        shards = max(1, round(total / target_bytes))
-    root = Node(shards, 0)
-    level = [root]
-    while level := [n for n in level if n.leaves > 1]:
-        _split_level(rows, root, level, len(dims))
-        level = [m for n in level if n.left for m in (n.left, n.right)]
-    placed = stored(rows.select("doc_id", "size", "text_crc32", "_row", _leaf(root).cast("int").alias("shard")), "kd-shards")
+        shards = max(1, round((whole["size"] or 0) / target_bytes))
+    level = [Split(0, shards)] if shards > 1 else []
+    while level:
+        found = _split_level(rows, level, widths)
+        if not found:
+            break
+        cuts = docs.sparkSession.createDataFrame(
+            [(n.first, n.dim, n.at, n.first + n.half) for n in found], "_node long, _dim int, _at long, _right long")
+        goes = F.when(_of_dim(len(dims)) > F.col("_at"), F.col("_right")).otherwise(F.col("_node"))
+        before, rows = rows, stored(rows.join(cuts, "_node", "left").withColumn("_node", goes)
+                                    .drop("_dim", "_at", "_right"), "kd-rows")
+        dropped(before)
+        level = [m for n in found for m in (Split(n.first, n.half), Split(n.first + n.half, n.leaves - n.half)) if m.leaves > 1]
+    placed = rows.select("doc_id", "size", "text_crc32", "_row", F.col("_node").cast("int").alias("shard"))
     return gapless_rank(placed, ["shard"], ["doc_id", "_row"], "slot").drop("_row")

@@ -305,6 +305,61 @@ def test_shards_split_a_group_of_copies(spark):
     assert len(got) == 10 and max(got.values()) - min(got.values()) <= 4
 
 
+def plain_tree(coded, widths, first, leaves):
+    """The k-d tree one node at a time: (size, codes, key) rows to leaves."""
+    if leaves == 1 or not coded:
+        return {key: first for _, _, key in coded}
+    spread = [(max(c[d] >> 39 for _, c, _ in coded) - min(c[d] >> 39 for _, c, _ in coded)) / max(1, w) for d, w in enumerate(widths)]
+    dim, half = spread.index(max(spread)), leaves // 2
+    goal, upto = sum(r[0] for r in coded) * half / leaves, 0
+    sizes = Counter()
+    for n, c, _ in coded:
+        sizes[c[dim]] += n
+    for at in sorted(sizes):
+        upto += sizes[at]
+        if upto >= goal:
+            break
+    if goal - (upto - sizes[at]) < upto - goal:
+        at -= 1
+    left = [r for r in coded if r[1][dim] <= at]
+    right = [r for r in coded if r[1][dim] > at]
+    return {**plain_tree(left, widths, first, half), **plain_tree(right, widths, first + half, leaves - half)}
+
+
+@pytest.mark.parametrize("case", ["given", "hard"])
+def test_shards_equal_a_tree_built_node_by_node(tables, case):
+    dims = ["source", "lang", "n_chars"]
+    coded = [(r["size"], [r["_c0"], r["_c1"], r["_c2"]], (r["doc_id"], r["text_crc32"], r["_row"]))
+             for r in rows(kd_shards._coded(tables[case], dims, "doc_id", "text"))]
+    widths = [max(c[d] >> 39 for _, c, _ in coded) - min(c[d] >> 39 for _, c, _ in coded) for d in range(3)]
+    for leaves in (7, 8):
+        want = plain_tree(coded, widths, 0, leaves)
+        got = rows(kd_shards.kd_shards(tables[case], dims, shards=leaves))
+        assert (Counter((g["doc_id"], g["text_crc32"], g["shard"]) for g in got)
+                == Counter((k[0], k[1], shard) for k, shard in want.items()))
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "timestamp", "date", "decimal(20,2)"])
+def test_shards_of_one_dimension_are_ranges(spark, kind):
+    base = spark.range(400).selectExpr("id as doc_id", "repeat('x', 50) as text", "1700000000 + (id * 7919) % 400 * 86400 as t")
+    when = {"timestamp": "timestamp_seconds(t)", "date": "date(timestamp_seconds(t))"}.get(kind, f"cast(t as {kind})")
+    df = base.selectExpr("doc_id", "text", f"{when} as t")
+    per, of = defaultdict(list), {r["doc_id"]: r["t"] for r in rows(df)}
+    for g in rows(kd_shards.kd_shards(df, ["t"], shards=8)):
+        per[g["shard"]].append(of[g["doc_id"]])
+    spans = [(min(per[s]), max(per[s])) for s in range(8)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and {len(v) for v in per.values()} == {50}
+
+
+def test_shard_values_without_order_or_end(spark):
+    vals = [None, float("nan"), float("-inf"), float("inf"), 1.5, -1e308, 1e308, 0.0]
+    df = spark.createDataFrame([(i, "t", v) for i, v in enumerate(vals)], "doc_id long, text string, v double")
+    got = {r["doc_id"]: r["_c0"] >> 39 for r in rows(kd_shards._coded(df, ["v"], "doc_id", "text"))}
+    assert got[0] == got[1] == 0 and got[2] == got[5] == 1 and got[3] == got[6] == (1 << 24) - 1
+    assert 1 < got[7] <= got[4] < got[6]
+    assert len(rows(kd_shards.kd_shards(df, ["v"], shards=4))) == 8
+
+
 # -- 8: secrets ----------------------------------------------------------------
 def brute_base(text):
     out = []
