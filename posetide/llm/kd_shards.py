@@ -27,6 +27,7 @@ from .common import dropped, gapless_rank, stored
 #: Bits of a dimension's value.
 VALUE_BITS = 24
 STEP_BITS = 16
+SENT_NODES = 200_000
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
 
 
@@ -87,6 +88,14 @@ def _values(docs: DataFrame, dims: list[str]):
     return out
 
 
+def _nodes(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of one row a node, some 60 bytes each: sent to the tasks up to
+    ``SENT_NODES`` rows. Beyond, it is joined by shuffle, where so many nodes
+    are keys enough to spread the rows."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= SENT_NODES else df
+
+
 def _of_dim(dims: int):
     """The code of the dimension that a row's node is cut along."""
     return F.element_at(F.array(*(F.col(f"_c{d}") for d in range(dims))), F.col("_dim") + 1)
@@ -97,7 +106,7 @@ def _split_level(rows: DataFrame, level: list[Split], widths: list[int]) -> list
     without rows are left out."""
     spark, dims = rows.sparkSession, len(widths)
     shift = 64 - 1 - VALUE_BITS  # codes are 63 bits, never negative
-    asked = spark.createDataFrame([(n.first,) for n in level], "_node long")
+    asked = _nodes(spark, [(n.first,) for n in level], "_node long")
     spread = rows.join(asked, "_node").groupBy("_node").agg(
         F.sum("size").alias("total"),
         *(f(F.shiftright(f"_c{d}", shift)).alias(f"{g}{d}") for d in range(dims) for g, f in (("lo", F.min), ("hi", F.max))))
@@ -111,8 +120,8 @@ def _split_level(rows: DataFrame, level: list[Split], widths: list[int]) -> list
     if not found:
         return []
     for low in (48, 32, 16, 0):
-        state = spark.createDataFrame([(n.first, n.dim, n.at, n.before, float(n.goal)) for n in found],
-                                      "_node long, _dim int, _at long, _before long, _goal double")
+        state = _nodes(spark, [(n.first, n.dim, n.at, n.before, float(n.goal)) for n in found],
+                       "_node long, _dim int, _at long, _before long, _goal double")
         code = _of_dim(dims)
         sums = (rows.join(state, "_node").where(F.shiftright(code, low + STEP_BITS) == F.col("_at") if low < 48 else F.lit(True))
                 .groupBy("_node", "_before", "_goal", F.shiftright(code, low).alias("_bucket")).agg(F.sum("size").alias("bytes")))
@@ -171,8 +180,8 @@ def kd_shards(docs: DataFrame, dims: list[str], shards: int | None = None, targe
         found = _split_level(rows, level, widths)
         if not found:
             break
-        cuts = docs.sparkSession.createDataFrame(
-            [(n.first, n.dim, n.at, n.first + n.half) for n in found], "_node long, _dim int, _at long, _right long")
+        cuts = _nodes(docs.sparkSession, [(n.first, n.dim, n.at, n.first + n.half) for n in found],
+                      "_node long, _dim int, _at long, _right long")
         goes = F.when(_of_dim(len(dims)) > F.col("_at"), F.col("_right")).otherwise(F.col("_node"))
         before, rows = rows, stored(rows.join(cuts, "_node", "left").withColumn("_node", goes)
                                     .drop("_dim", "_at", "_right"), "kd-rows")
