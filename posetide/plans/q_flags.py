@@ -129,12 +129,14 @@ join fx_pose_pairs b on b.sample_id = a.sample_id and b.joint = s.joint_b
 where a.score > 0.5 and b.score > 0.5""", "fx_pose_pairs"))
 def q_bone_segments(spark, d):
     """B11 + B15: skeleton segments whose two end joints both score > 0.5
-    (overlay geometry; rasterising is out of scope)."""
+    (overlay geometry; rasterising is out of scope). Both sides of the join
+    have a row a joint, so it is a merge join: Spark sizes an exploded table
+    by its source and would broadcast it."""
     p = fx.fx_pose_pairs(spark, d).where(F.col("score") > 0.5).select(
         "sample_id", "joint", "pred_x", "pred_y")
     a = p.select("sample_id", F.col("joint").alias("joint_a"), F.col("pred_x").alias("ax"), F.col("pred_y").alias("ay"))
     b = p.select("sample_id", F.col("joint").alias("joint_b"), F.col("pred_x").alias("bx"), F.col("pred_y").alias("by_"))
-    return (a.join(F.broadcast(bone_dim(spark)), "joint_a").join(b, ["sample_id", "joint_b"])
+    return (a.join(F.broadcast(bone_dim(spark)), "joint_a").join(b.hint("merge"), ["sample_id", "joint_b"])
             .select("sample_id", "bone", "ax", "ay", "bx", "by_"))
 
 
