@@ -166,15 +166,17 @@ def skeleton_parents(root: int = 14, num_joints: int = 25) -> list[int]:
 def bone_bias(df: DataFrame, parents: list[int], sample="sample_id", joint="joint",
               pred=("pred_x", "pred_y"), gt=("gt_x", "gt_y")) -> DataFrame:
     """Mean over bones of |mean predicted length - mean true length|.
-    The parent table is a fixed K-row dimension (broadcast)."""
+    The parent table is a fixed K-row dimension (broadcast); the pose rows
+    meet in a merge join, however small Spark thinks them."""
     spark = df.sparkSession
     par = spark.createDataFrame([(j, p) for j, p in enumerate(parents) if j != p],
                                 "joint int, parent int")
     child = df.select(_c(sample).alias("s"), _c(joint).alias("joint"),
                       _c(pred[0]).alias("px"), _c(pred[1]).alias("py"),
                       _c(gt[0]).alias("gx"), _c(gt[1]).alias("gy"))
-    parent = child.select("s", F.col("joint").alias("parent"), *[F.col(c).alias(f"p_{c}") for c in ("px", "py", "gx", "gy")])
-    bones = child.join(F.broadcast(par), "joint").join(parent, ["s", "parent"])
+    inner = sorted({p for j, p in enumerate(parents) if j != p})
+    parent = child.where(F.col("joint").isin(inner)).select("s", F.col("joint").alias("parent"), *[F.col(c).alias(f"p_{c}") for c in ("px", "py", "gx", "gy")])
+    bones = child.join(F.broadcast(par), "joint").join(parent.hint("merge"), ["s", "parent"])
     lens = bones.select("joint",
                         _norm2(F.col("px") - F.col("p_px"), F.col("py") - F.col("p_py")).alias("lo"),
                         _norm2(F.col("gx") - F.col("p_gx"), F.col("gy") - F.col("p_gy")).alias("lt"))

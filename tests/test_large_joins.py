@@ -31,3 +31,18 @@ def test_bone_segments_does_not_broadcast_poses(spark, tmp_path):
     got = {(r.sample_id, r.bone) for r in df.collect()}
     score = [[((i * 3 + 1) * 11 + j * 53) % 100 / 100 for j in range(25)] for i in range(30)]
     assert got == {(i, b) for i in range(30) for b, (x, y) in enumerate(SKELETON) if score[i][x] > 0.5 and score[i][y] > 0.5}
+
+
+def test_bone_bias_does_not_broadcast_poses(spark):
+    parents = M.skeleton_parents()
+    df = M.bone_bias(_poses(spark), parents)
+    assert _plan(df).count("BroadcastHashJoin") == 1 and "SortMergeJoin" in _plan(df)
+    rows = {(r.sample_id, r.joint): r for r in _poses(spark).collect()}
+    bias = []
+    for j, p in enumerate(parents):
+        if j != p:
+            both = [(rows[i, j], rows[i, p]) for i in range(40)]
+            lo = sum(math.hypot(a.pred_x - b.pred_x, a.pred_y - b.pred_y) for a, b in both) / 40
+            lt = sum(math.hypot(a.gt_x - b.gt_x, a.gt_y - b.gt_y) for a, b in both) / 40
+            bias.append(abs(lo - lt))
+    assert df.first().bone_bias == pytest.approx(sum(bias) / len(bias))
