@@ -46,3 +46,17 @@ def test_bone_bias_does_not_broadcast_poses(spark):
             lt = sum(math.hypot(a.gt_x - b.gt_x, a.gt_y - b.gt_y) for a, b in both) / 40
             bias.append(abs(lo - lt))
     assert df.first().bone_bias == pytest.approx(sum(bias) / len(bias))
+
+
+def test_root_aligned_error_does_not_broadcast_poses(spark):
+    p = _poses(spark).withColumn("pred_z", F.lit(1.0)).withColumn("gt_z", F.lit(1.0))
+    df = M.root_aligned_smooth_l1(p)
+    assert "BroadcastHashJoin" not in _plan(df) and "SortMergeJoin" in _plan(df)
+    rows = {(r.sample_id, r.joint): r for r in p.collect()}
+    total = 0.0
+    for (i, _), r in rows.items():
+        for a in ("x", "y"):
+            mid = {s: (rows[i, 2][f"{s}_{a}"] + rows[i, 3][f"{s}_{a}"]) / 2 for s in ("pred", "gt")}
+            d = abs((r[f"pred_{a}"] - mid["pred"]) - (r[f"gt_{a}"] - mid["gt"]))
+            total += (d * d / 2 if d < 1 else d - 0.5) / 3 if r.visible else 0.0
+    assert df.first().error == pytest.approx(total / len(rows))
