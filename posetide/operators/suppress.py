@@ -61,27 +61,27 @@ def resolve_greedy(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     """Greedy maximal independent set in a fixed order.
 
     nodes: (key, id); edges: (key, src, dst) where src precedes dst and src
-    suppresses dst if src is kept. Returns (key, id) of kept nodes."""
-    undecided = cut_lineage(nodes.select(key, "id").distinct())
-    live = cut_lineage(edges.select(key, "src", "dst").distinct())
-    kept_parts: list[DataFrame] = []
-    while not undecided.isEmpty():
-        targets = live.select(key, F.col("dst").alias("id"))
-        newly_kept = cut_lineage(undecided.join(targets, [key, "id"], "left_anti"))
-        kept_parts.append(newly_kept)
-        suppressed = (live.join(newly_kept.select(key, F.col("id").alias("src")), [key, "src"], "left_semi")
-                      .select(key, F.col("dst").alias("id")).distinct())
-        decided = newly_kept.unionByName(suppressed)
-        undecided = cut_lineage(undecided.join(decided, [key, "id"], "left_anti"))
-        live = cut_lineage(
-            live.join(suppressed.select(key, F.col("id").alias("src")), [key, "src"], "left_anti")
-                .join(decided.select(key, F.col("id").alias("dst")), [key, "dst"], "left_anti"))
-    if not kept_parts:
-        return nodes.select(key, "id").limit(0)
-    out = kept_parts[0]
-    for p in kept_parts[1:]:
+    suppresses dst if src is kept. Returns (key, id) of kept nodes.
+
+    Only the edges go through the rounds: a source that no live edge enters is
+    kept, what it points at is dropped, edges of dropped nodes go. The nodes
+    are read once, at the end, to leave out the dropped ones."""
+    live = cut_lineage(edges.select(key, "src", "dst"))
+    kept = nodes.select(key, "id").distinct()
+    dropped: list[DataFrame] = []
+    while not live.isEmpty():
+        entered = live.select(key, F.col("dst").alias("src"))
+        first = live.select(key, "src").join(entered, [key, "src"], "left_anti").distinct()
+        gone = cut_lineage(live.join(first, [key, "src"], "left_semi").select(key, F.col("dst").alias("id")).distinct())
+        dropped.append(gone)
+        live = cut_lineage(live.join(gone.withColumnRenamed("id", "src"), [key, "src"], "left_anti")
+                           .join(gone.withColumnRenamed("id", "dst"), [key, "dst"], "left_anti"))
+    if not dropped:
+        return kept
+    out = dropped[0]
+    for p in dropped[1:]:
         out = out.unionByName(p)
-    return out
+    return kept.join(out, [key, "id"], "left_anti")
 
 
 def _grid_cells(df: DataFrame, cell: float, pad: float) -> DataFrame:
@@ -387,34 +387,43 @@ def _oks_candidates(poses: DataFrame, key: str, thr: float, sigmas, cell: float)
     return pairs.select(key, lo.alias("id_a"), hi.alias("id_b")).distinct()
 
 
+PAIR_GROUP = 32  # keys with at most this many poses form their few pairs without a grid
+
+
 def oks_pairs(poses: DataFrame, thr: float, key: str = "image_id", id_col: str = "pose_id",
-              sigmas=None, vis_thr=None, cell: float = 64.0, score_col: str = "score") -> DataFrame:
+              sigmas=None, vis_thr=None, cell: float = 64.0, score_col: str = "score",
+              pair_group: int = PAIR_GROUP) -> DataFrame:
     """Directed OKS for every candidate pair whose OKS can exceed ``thr``.
 
     poses: key, id_col, score, area, kx, ky, kv (arrays of K joints).
     Output: key, src, dst (src first in greedy order), oks(src -> dst) where
-    src plays g and dst plays d (the visibility mask comes from dst)."""
+    src plays g and dst plays d (the visibility mask comes from dst).
+
+    A grid of all joints is dearer than the pairs of a small key: up to
+    ``pair_group`` poses, at most half as many pairs a pose, meet in one join on
+    the key. Poses of larger keys meet in the cells of the grid."""
     sigmas = sigmas or OKS_SIGMAS
+    fields = ["id", "score", "area", "kx", "ky", *(["kv"] if vis_thr is not None else [])]
     p = poses.select(key, F.col(id_col).alias("id"), F.col(score_col).alias("score"),
-                     F.col("area").cast("double").alias("area"), "kx", "ky", "kv")
-    cand = _oks_candidates(p, key, thr, sigmas, cell)
-    a = p.select(F.col(key), *[F.col(c).alias(f"a_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
-    b = p.select(F.col(key), *[F.col(c).alias(f"b_{c}") for c in ("id", "score", "area", "kx", "ky", "kv")])
-    j = (cand.join(a.withColumnRenamed("a_id", "id_a"), [key, "id_a"])
-             .join(b.withColumnRenamed("b_id", "id_b"), [key, "id_b"])
-             .withColumn("a_id", F.col("id_a")).withColumn("b_id", F.col("id_b")))
-    a_first = _before(F.col("a_score"), F.col("a_id"), F.col("b_score"), F.col("b_id"))
-
-    def pick(c):
-        return F.when(a_first, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}"))
+                     F.col("area").cast("double").alias("area"), "kx", "ky", "kv").select(key, *fields)
+    small, big = split_by_group_size(p, key, pair_group)
 
-    def other(c):
-        return F.when(a_first, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}"))
-    o = j.select(key, pick("id").alias("src"), other("id").alias("dst"), pick("kx").alias("gx"), pick("ky").alias("gy"),
-                 pick("area").alias("ga"), other("kx").alias("dx"), other("ky").alias("dy"), other("kv").alias("dv"),
-                 other("area").alias("da"))
-    return o.select(key, "src", "dst", oks_expr(F.col("gx"), F.col("gy"), F.col("dx"), F.col("dy"), F.col("dv"),
-                                                F.col("ga"), F.col("da"), sigmas, vis_thr).alias("oks"))
+    def sides(df):
+        return [df.select(key, *[F.col(c).alias(f"{s}_{c}") for c in fields]) for s in "ab"]
+    a, b = sides(small)
+    j = a.join(b.hint("merge"), key).where(F.col("a_id") < F.col("b_id"))
+    if big is not None:
+        a, b = sides(big)
+        j = j.unionByName(_oks_candidates(big, key, thr, sigmas, cell)
+                          .join(a.withColumn("id_a", F.col("a_id")).hint("merge"), [key, "id_a"])
+                          .join(b.withColumn("id_b", F.col("b_id")).hint("merge"), [key, "id_b"]).select(*j.columns))
+    a_first = _before(F.col("a_score"), F.col("a_id"), F.col("b_score"), F.col("b_id"))
+    # which of the two is g matters for the visibility only
+    dv = F.when(a_first, F.col("b_kv")).otherwise(F.col("a_kv")) if vis_thr is not None else None
+    oks = oks_expr(F.col("a_kx"), F.col("a_ky"), F.col("b_kx"), F.col("b_ky"), dv, F.col("a_area"), F.col("b_area"),
+                   sigmas, vis_thr)
+    return j.select(key, F.when(a_first, F.col("a_id")).otherwise(F.col("b_id")).alias("src"),
+                    F.when(a_first, F.col("b_id")).otherwise(F.col("a_id")).alias("dst"), oks.alias("oks"))
 
 
 def pose_score(df: DataFrame, score_per_joint: bool = False, score_col: str = "score",
