@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posetide.functions.boxes import iou
@@ -466,108 +466,196 @@ def rescore(overlap: Column, score: Column, thr: float, kind: str = "gaussian")
     raise ValueError("kind must be 'gaussian' or 'linear'")
 
 
-def soft_oks_nms_local(kx, ky, kv, area, score, ids, thr, max_dets, sigmas, vis_thr=None, kind="gaussian"):
-    """Soft OKS NMS of one bounded group in numpy: returns (id, rank, score)
-    of the picks. Same order rule as the distributed rounds: best current
-    score, ties to the smaller id."""
+def _walk_order(cur, np):
+    """Class of a current score in the order of picks: a number (3), none (2),
+    one that a pose without numbers has spoilt (1)."""
+    return np.where(np.isnan(cur), 1, np.where(cur == -np.inf, 2, 3))
+
+
+def soft_oks_nms_walk(kx, ky, kv, area, score, ids, thr, max_dets, sigmas, vis_thr=None, kind="gaussian",
+                      taken=None, bound=None):
+    """Soft OKS NMS of G groups of n poses side by side in numpy. kx, ky, kv:
+    [G, n, K]; area, score, ids: [G, n]. Each round picks the best current
+    score of every group, ties to the smaller id, and re-scores the rest.
+
+    Returns (pose [G, R], score [G, R]), pose -1 where a group has ended.
+    ``taken`` [G]: picks a group has had before. ``bound`` (score [G], id [G],
+    there [G]): the best pose outside the group. Scores move towards zero only,
+    so a pick stands while it comes before that pose; then the group ends. The
+    first pick always stands."""
     import numpy as np
+    G, n = score.shape
     var = (2.0 * np.asarray(sigmas)) ** 2
-    kx, ky, kv = (np.asarray(a, dtype=np.float64) for a in (kx, ky, kv))
-    area = np.asarray(area, dtype=np.float64)
-    cur = np.asarray(score, dtype=np.float64).copy()
-    ids = np.asarray(ids)
-    alive = np.ones(len(ids), dtype=bool)
-    out = []
-    K = len(sigmas)
-    for rank in range(1, max_dets + 1):
-        if not alive.any():
+    by_id = np.argsort(ids, axis=1, kind="stable")
+    ids = np.take_along_axis(ids, by_id, 1)
+    area = np.take_along_axis(area, by_id, 1)
+    cur = np.take_along_axis(score, by_id, 1)
+    joints = [[np.take_along_axis(np.ascontiguousarray(a[:, :, j]), by_id, 1) for j in range(len(sigmas))]
+              for a in ((kx, ky) if vis_thr is None else (kx, ky, kv))]
+    alive, going, g = np.ones((G, n), dtype=bool), np.ones(G, dtype=bool), np.arange(G)
+    taken = np.zeros(G, dtype=np.int64) if taken is None else taken
+    poses, scores = [], []
+    for step in range(min(n, max_dets)):
+        kinds = np.where(alive, _walk_order(cur, np), 0)
+        top = kinds.max(axis=1)
+        shown = np.where(kinds == 3, cur, 0.0)
+        best = np.where(kinds == top[:, None], shown, -np.inf).argmax(axis=1)
+        going &= (top > 0) & (taken + step < max_dets)
+        if bound is not None and step:
+            out_kind = np.where(bound[2], _walk_order(bound[0], np), 0)
+            b, o = shown[g, best], np.where(out_kind == 3, bound[0], 0.0)
+            first = np.where(o > 0, (b > o) | ((b == o) & (ids[g, best] < bound[1])), b > 0)
+            first = np.where(top == 3, first, ids[g, best] < bound[1])
+            going &= (out_kind == 0) | (top > out_kind) & ((top < 3) | (out_kind < 3)) | (top == out_kind) & first
+        if not going.any():
             break
-        cand = np.flatnonzero(alive)
-        best = cand[np.lexsort((ids[cand], -cur[cand]))[0]]
-        out.append((ids[best], rank, cur[best]))
-        alive[best] = False
-        rest = np.flatnonzero(alive)
-        if len(rest) == 0:
-            continue
-        d2 = (kx[rest, :K] - kx[best, :K]) ** 2 + (ky[rest, :K] - ky[best, :K]) ** 2
-        e = d2 / var / ((area[best] + area[rest])[:, None] / 2.0 + np.finfo(np.float64).eps) / 2.0
-        # joint after joint, as the column form adds them
-        if vis_thr is not None:
-            m = kv[rest, :K] > vis_thr
-            cnt = m.sum(1)
-            o = np.where(cnt > 0, np.cumsum(np.exp(-e) * m, axis=1)[:, -1] / np.maximum(cnt, 1), 0.0)
-        else:
-            o = np.cumsum(np.exp(-e), axis=1)[:, -1] / K
-        scored = rest[cur[rest] > -np.inf]
-        o = o[cur[rest] > -np.inf]
-        if kind == "gaussian":
-            cur[scored] = cur[scored] * np.exp(-(o * o) / thr)
-        else:
-            cur[scored] = np.where(o >= thr, cur[scored] * (1 - o), cur[scored])
-    return out
+        poses.append(np.where(going, by_id[g, best], -1))
+        scores.append(cur[g, best])
+        alive[g, best] &= ~going
+        with np.errstate(invalid="ignore"):
+            denom = (area[g, best][:, None] + area) / 2.0 + np.finfo(np.float64).eps
+            total, count = np.zeros((G, n)), np.zeros((G, n))
+            for j, v in enumerate(var):  # joint after joint, as the column form adds them
+                x, y = joints[0][j], joints[1][j]
+                ex, ey = x - x[g, best][:, None], y - y[g, best][:, None]
+                term = np.exp(-((ex * ex + ey * ey) / v / denom / 2.0))
+                if vis_thr is not None:
+                    on = joints[2][j] > vis_thr
+                    term, count = np.where(on, term, 0.0), count + on
+                total += term
+            o = total / len(var) if vis_thr is None else np.where(count > 0, total / np.maximum(count, 1), 0.0)
+            new = cur * np.exp(-(o * o) / thr) if kind == "gaussian" else np.where(o >= thr, cur * (1 - o), cur)
+            cur = np.where(alive & going[:, None] & (cur > -np.inf), new, cur)
+    if not poses:
+        return np.zeros((G, 0), dtype=np.int64), np.zeros((G, 0))
+    return np.stack(poses, axis=1), np.stack(scores, axis=1)
+
+
+def _fixed_lists(lists, size: int, np):
+    """An Arrow list column as [rows, size], NaN where a list is shorter or null."""
+    values = lists.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    start = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    length = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(start), 0)
+    at = start[:-1, None] + np.arange(size)
+    inside = np.arange(size) < length[:, None]
+    if not len(values):
+        return np.full(at.shape, np.nan)
+    return np.where(inside, values[np.minimum(at, len(values) - 1)], np.nan)
+
+
+def _walk_packed(packed: DataFrame, key: str, key_type: str, id_type: str, thr, max_dets, sigmas, vis_thr, kind,
+                 rest: bool) -> DataFrame:
+    """Picks of packed groups: (key, picks: array of (id, rank, score)).
+    packed: key, g (structs id, cur, area, kx, ky, kv) and, with ``rest``, the
+    best pose outside (out_cur, out_id) and the picks so far (taken); then
+    ``made`` has the picked poses of keys that have not ended."""
+    K = len(sigmas)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            lists = batch.column("g")
+            flat, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(sizes) - sizes
+            pid = flat.field("id")
+            least = np.iinfo(np.int64).min  # a null id comes first, as Spark sorts it
+            num = {c: flat.field(c).to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for c in ("cur", "area")}
+            num["id"] = pid.cast(pa.int64()).fill_null(least).to_numpy(zero_copy_only=False)
+            pts = {c: _fixed_lists(flat.field(c), K, np) for c in (("kx", "ky") if vis_thr is None else ("kx", "ky", "kv"))}
+            taken = batch.column("taken").to_numpy(zero_copy_only=False) if rest else np.zeros(len(sizes), dtype=np.int64)
+            if rest:
+                there = batch.column("out_cur").is_valid().to_numpy(zero_copy_only=False)
+                out_cur = batch.column("out_cur").to_numpy(zero_copy_only=False).astype(np.float64)
+                out_id = batch.column("out_id").cast(pa.int64()).fill_null(least).to_numpy(zero_copy_only=False)
+            found = []
+            for n in np.unique(sizes):
+                every = np.flatnonzero(sizes == n)
+                for rows in np.array_split(every, max(1, len(every) * int(n) // 100_000)):
+                    at = starts[rows][:, None] + np.arange(n)
+                    who, sc = soft_oks_nms_walk(pts["kx"][at], pts["ky"][at], pts["kv"][at] if vis_thr is not None else None,
+                                                num["area"][at], num["cur"][at], num["id"][at], thr, max_dets, sigmas, vis_thr,
+                                                kind, taken[rows], (out_cur[rows], out_id[rows], there[rows]) if rest else None)
+                    r, c = np.nonzero(who >= 0)
+                    found.append((rows[r], c, at[r, who[r, c]], taken[rows[r]] + c + 1, sc[r, c]))
+            row, step, place, rank, sc = (np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(5))
+            order = np.lexsort((step, row))
+            count = np.bincount(row.astype(np.int64), minlength=len(sizes))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            place = pa.array(place[order].astype(np.int64))
+            picks = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
+                [pid.take(place), pa.array(rank[order]).cast(pa.int32()), pa.array(sc[order]).cast(pa.float64())],
+                names=["id", "rank", "score"]))
+            out = {key: batch.column(key), "picks": picks}
+            if rest:  # what the other poses are re-scored by, unless the key has ended
+                open_ = (taken + count < max_dets) & (there | (count < sizes))
+                mine = np.repeat(open_, count)
+                made = flat.take(pa.array(np.asarray(place)[mine]))
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.where(open_, count, 0))]).astype(np.int32))
+                out["made"] = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(
+                    [made.field(c) for c in ("id", "area", "kx", "ky")], names=["id", "area", "kx", "ky"]))
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+    schema = f"{key} {key_type}, picks array<struct<id: {id_type}, rank: int, score: double>>"
+    if rest:
+        schema += f", made array<struct<id: {id_type}, area: double, kx: array<double>, ky: array<double>>>"
+    return packed.mapInArrow(run, schema)
+
+
+PICK_LIST = 32  # poses of a key that one round looks at together
 
 
 def soft_oks_nms(poses: DataFrame, thr: float = 0.3, max_dets: int = 20, key: str = "image_id",
                  id_col: str = "pose_id", sigmas=None, vis_thr=None, score_per_joint: bool = False,
-                 kind: str = "gaussian", small_group: int = SMALL_GROUP) -> DataFrame:
+                 kind: str = "gaussian", small_group: int = SMALL_GROUP, pick_list: int = PICK_LIST) -> DataFrame:
     """Soft OKS NMS — pick the best remaining pose per key, re-score all
     remaining poses of that key by their OKS with it, repeat up to
     ``max_dets`` times (the cap is the operator's feature).
 
-    Each round is one per-key argmax (partial aggregate) plus one equi-join
-    of the remaining poses with a single picked pose per key: work per round
-    is linear, nothing is collected per key. Returns kept poses with
-    ``rank`` (pick order) and the ``score`` at pick time. A null or NaN score
-    comes last and is given back as null; groups of any size are walked in
-    the same order."""
+    A key with at most ``small_group`` poses is walked in one go. Larger keys
+    take rounds: the ``pick_list`` best poses of a key are walked together as
+    long as none outside the list can come first (re-scoring only lowers a
+    score), then an equi-join re-scores the other poses of the key with the
+    round's picks. A round makes one pick at least; work per round is linear,
+    and no more than ``pick_list`` poses of a key are collected. Returns kept
+    poses with ``rank`` (pick order) and the ``score`` at pick time. A null or
+    NaN score comes last and is given back as null; groups of any size are
+    walked in the same order."""
     sigmas = sigmas or OKS_SIGMAS
     poses = pose_score(poses, score_per_joint)
     none = F.lit(float("-inf"))
-    cols = [key, F.col(id_col).alias("id"), greedy_score(F.col("score")).alias("cur"),
-            F.col("area").cast("double").alias("area"), "kx", "ky", "kv"]
-    small, big = split_by_group_size(poses.select(*cols), key, small_group)
-    key_type = dict(poses.dtypes)[key]
-    id_type = dict(poses.dtypes)[id_col]
-
-    # bounded groups (<= small_group rows): one row per key holding its
-    # candidates, walked with numpy inside an Arrow batch
-    packed = small.groupBy(key).agg(F.collect_list(F.struct("id", "cur", "area", "kx", "ky", "kv")).alias("g"))
-
-    def local(it):
-        import pandas as pd
-        for pdf in it:
-            rows = []
-            for k, g in zip(pdf[key], pdf["g"]):
-                ids = [r["id"] for r in g]
-                picks = soft_oks_nms_local([r["kx"] for r in g], [r["ky"] for r in g], [r["kv"] for r in g],
-                                           [r["area"] for r in g], [r["cur"] for r in g], ids,
-                                           thr, max_dets, sigmas, vis_thr, kind)
-                rows.extend((k, int(i), int(r), float(sc)) for i, r, sc in picks)
-            yield pd.DataFrame(rows, columns=[key, id_col, "rank", "score"])
-    out_small = packed.mapInPandas(local, f"{key} {key_type}, {id_col} {id_type}, rank int, score double")
-    shown = F.when(F.col("score") > none, F.col("score"))
-    if big is None:
-        return out_small.withColumn("score", shown)
-    remaining = cut_lineage(big)
-    picks: list[DataFrame] = []
-    for rnd in range(max_dets):
-        if remaining.isEmpty():
+    fields = ["id", "cur", "area", "kx", "ky", *(["kv"] if vis_thr is not None else [])]
+    base = poses.select(key, F.col(id_col).alias("id"), greedy_score(F.col("score")).alias("cur"),
+                        F.col("area").cast("double").alias("area"), "kx", "ky", "kv").select(key, *fields)
+    small, big = split_by_group_size(base, key, small_group)
+    types = dict(poses.dtypes)
+    walk = (key, types[key], types[id_col], thr, max_dets, sigmas, vis_thr, kind)
+    item = F.struct(*fields)
+    out = _walk_packed(small.groupBy(key).agg(F.collect_list(item).alias("g")), *walk, rest=False).select(key, "picks")
+    remaining = big.withColumn("taken", F.lit(0)) if big is not None else None
+    order = Window.partitionBy(key).orderBy(
+        F.when(F.isnan("cur"), 1).when(F.col("cur") == none, 2).otherwise(3).desc(), F.col("cur").desc(), "id")
+    while remaining is not None:
+        top = remaining.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= pick_list + 1)
+        inside, outside = F.col("rn") <= pick_list, F.col("rn") > pick_list
+        packed = top.groupBy(key).agg(
+            F.collect_list(F.when(inside, item)).alias("g"), F.max(F.when(outside, F.col("cur"))).alias("out_cur"),
+            F.max(F.when(outside, F.col("id"))).alias("out_id"), F.max("taken").cast("long").alias("taken"))
+        picked = cut_lineage(_walk_packed(packed, *walk, rest=True))
+        out = out.unionByName(picked.select(key, "picks"))
+        made = picked.where(F.size("made") > 0).select(key, "made")
+        if made.isEmpty():
             break
-        best = (remaining.groupBy(key)
-                .agg(F.max(F.struct(F.col("cur"), (-F.col("id")).alias("neg"))).alias("m"))
-                .select(key, (-F.col("m.neg")).alias("pick_id")))
-        chosen = remaining.join(best, [key]).where(F.col("id") == F.col("pick_id"))
-        picked = cut_lineage(chosen.select(key, "id", "cur", F.lit(rnd + 1).alias("rank")))
-        picks.append(picked)
-        g = chosen.select(key, F.col("kx").alias("gx"), F.col("ky").alias("gy"), F.col("area").alias("ga"))
-        rest = remaining.join(best, [key]).where(F.col("id") != F.col("pick_id")).drop("pick_id")
-        o = oks_expr(F.col("gx"), F.col("gy"), F.col("kx"), F.col("ky"), F.col("kv"),
-                     F.col("ga"), F.col("area"), sigmas, vis_thr)
-        remaining = cut_lineage(rest.join(g, [key])
-                                .withColumn("cur", F.when(F.col("cur") > none, rescore(o, F.col("cur"), thr, kind)).otherwise(none))
-                                .drop("gx", "gy", "ga"))
-    out = out_small
-    for p in picks:
-        out = out.unionByName(p.select(key, F.col("id").alias(id_col), F.col("rank").cast("int").alias("rank"),
-                                       F.col("cur").alias("score")))
-    return out.withColumn("score", shown)
+        again = remaining.join(made, key)
+        # a pick takes one row with its id; the first in order was walked
+        copy = F.row_number().over(Window.partitionBy(key, "id").orderBy(F.col("cur").desc()))
+        again = again.withColumn("copy", copy).where(F.col("copy") > F.size(F.filter("made", lambda m: m["id"].eqNullSafe(F.col("id")))))
+
+        def lowered(cur, g):
+            o = oks_expr(g["kx"], g["ky"], F.col("kx"), F.col("ky"), F.col("kv") if vis_thr is not None else None,
+                         g["area"], F.col("area"), sigmas, vis_thr)
+            return F.when(cur > none, F.coalesce(rescore(o, cur, thr, kind), F.lit(float("nan")))).otherwise(cur)
+        remaining = cut_lineage(again.withColumn("cur", F.aggregate("made", F.col("cur"), lowered))
+                                .withColumn("taken", (F.col("taken") + F.size("made")).cast("int")).drop("made", "copy"))
+    out = out.select(key, F.explode("picks").alias("p")).select(
+        key, F.col("p.id").alias(id_col), F.col("p.rank").alias("rank"), F.col("p.score").alias("score"))
+    return out.withColumn("score", F.when(F.col("score") > none, F.col("score")))

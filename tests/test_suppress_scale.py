@@ -75,3 +75,30 @@ def test_greedy_rounds_carry_edges_only(spark, monkeypatch):
     edges = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (1, 3, 4), (1, 1, 4)], "k int, src long, dst long")
     kept = {r.id for r in S.resolve_greedy(nodes, edges, "k").collect()}
     assert kept == set(range(1000)) - {2, 4} and max(seen) <= 4
+
+
+@pytest.mark.parametrize("kind,vis_thr,low", [("gaussian", None, 0.0), ("linear", 0.3, 0.0), ("gaussian", None, -0.5)])
+def test_soft_walk_of_any_list_length(spark, kind, vis_thr, low):
+    rows = _poses([1, 3, 3, 60], 4, low)
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = _soft(rows, 0.3, 20, kind, vis_thr)
+    for small, take in ((256, 32), (0, 12)):
+        r = S.soft_oks_nms(df, 0.3, 20, kind=kind, vis_thr=vis_thr, small_group=small, pick_list=take).collect()
+        assert {(x.image_id, x.rank): (x.pose_id, round(x.score, 9)) for x in r} == want
+
+
+def test_soft_rounds_of_small_keys_end_at_once(spark, monkeypatch):
+    """Before, every pick was a round that wrote all other poses again."""
+    cuts, real = [], S.cut_lineage
+    monkeypatch.setattr(S, "cut_lineage", lambda df: cuts.append(1) or real(df))
+    rows = _poses([7] * 12, 2)
+    got = S.soft_oks_nms(spark.createDataFrame(rows, SCHEMA), 0.3, 20, small_group=0).count()
+    assert got == len(rows) and len(cuts) <= 2
+
+
+def test_soft_walk_keeps_copies(spark):
+    rows = _poses([24], 6)
+    df = spark.createDataFrame(rows + rows[:6], SCHEMA)
+    walks = [sorted((r.rank, r.pose_id, round(r.score, 9)) for r in
+             S.soft_oks_nms(df, 0.3, 30, small_group=n, pick_list=12).collect()) for n in (256, 0)]
+    assert walks[0] == walks[1] and len(walks[0]) == 30
