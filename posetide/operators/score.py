@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posetide.operators import heatmap as OH
-from posetide.operators.images import composite_on_white, pad_to, to_network_input
+from posetide.operators.images import composite_on_white, darkest, extent, pad_to, to_network_input
 from posetide.sources.images import decode_any
 
 _WORKER_CACHE: dict = {}
@@ -58,12 +58,12 @@ class DarkBlobDetector:
     def predict(self, images):
         out = []
         for img in images:
-            m = img.min(axis=2) < self.white
+            m = darkest(img) < self.white
             if m.sum() < self.min_pixels:
                 out.append(np.zeros((0, 6)))
                 continue
-            ys, xs = np.nonzero(m)
-            out.append(np.array([[xs.min(), ys.min(), xs.max() + 1, ys.max() + 1, 0.9, 0]], dtype=np.float64))
+            x0, x1, y0, y1 = extent(m)
+            out.append(np.array([[x0, y0, x1 + 1, y1 + 1, 0.9, 0]], dtype=np.float64))
         return out
 
 
@@ -81,11 +81,11 @@ class GridPoseModel:
         out = []
         yy, xx = np.mgrid[0:self.h, 0:self.w]
         for img in images:
-            m = img.min(axis=2) < 240 if img.ndim == 3 else img < 240
+            m = darkest(img) < 240 if img.ndim == 3 else img < 240
             if m.any():
-                ys, xs = np.nonzero(m)
-                x0, x1 = xs.min() / img.shape[1], (xs.max() + 1) / img.shape[1]
-                y0, y1 = ys.min() / img.shape[0], (ys.max() + 1) / img.shape[0]
+                x0, x1, y0, y1 = extent(m)
+                x0, x1 = x0 / img.shape[1], (x1 + 1) / img.shape[1]
+                y0, y1 = y0 / img.shape[0], (y1 + 1) / img.shape[0]
             else:
                 x0, x1, y0, y1 = 0.25, 0.75, 0.25, 0.75
             hms = np.zeros((self.k, self.h, self.w), dtype=np.float32)
@@ -104,7 +104,7 @@ class DarkMaskSegmenter:
         pass
 
     def predict(self, images):
-        return [np.where(img.min(axis=2) < 240, 255, 0).astype(np.uint8) for img in images]
+        return [np.where(darkest(img) < 240, 255, 0).astype(np.uint8) for img in images]
 
 
 class OnnxPredictor:
@@ -270,7 +270,7 @@ def _pose_in_box(model, img, box, udp=True, kernel=11):
     k, hh, ww = hms.shape
     px, py, mx = OH.argmax_np(hms)
     if udp:
-        px, py = OH.dark_udp(hms.copy(), px, py, kernel)
+        px, py = OH.dark_udp(hms, px, py, kernel)
         sx, sy = pw / (ww - 1.0), ph / (hh - 1.0)
     else:
         px, py = OH._shift_np(hms, px, py, False)

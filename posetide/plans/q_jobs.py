@@ -131,7 +131,7 @@ def q_image_preprocess(spark, d):
                 g = D.grey_to_rgb(img[..., 0])
                 c = D.crop(img, 4, 4, 40, 60)
                 pad = D.pad_to(c, 3, 0, 42, 56)
-                comp = D.composite_on_white(img, np.where(img.min(axis=2) < 240, 255, 0))
+                comp = D.composite_on_white(img, np.where(D.darkest(img) < 240, 255, 0))
                 warp = D.warp_affine(img, np.array([[0.5, 0.0, 10.0], [0.0, 0.5, 5.0]]), 64, 48)
                 rows.append((u, float(net.mean()), r90.shape[0], r90.shape[1], int(g.sum() % 1000003),
                              pad.shape[1], int(comp.sum() % 1000003), int(warp.sum() % 1000003), None))
