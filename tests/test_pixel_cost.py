@@ -58,3 +58,19 @@ def test_png_and_dark_box():
     assert np.array_equal(decode_png(encode_png(img)), img)
     assert np.array_equal(decode_png(encode_png(img[..., 0])), np.repeat(img[..., :1], 3, axis=2))
     assert P.DarkBlobDetector().predict([img])[0].tolist() == [[7, 5, 20, 30, 0.9, 0]]
+
+
+def test_resize_equals_the_plain_form_in_values_and_layout():
+    """Sums over a picture follow its layout, so that is part of the result. The
+    source rows are widened once: before, once for each row of the result."""
+    rng = np.random.default_rng(5)
+    for img in (rng.integers(0, 256, (30, 20, 3)).astype(np.uint8), rng.integers(0, 256, (30, 20)).astype(np.uint8)):
+        a = img.astype(np.float32).reshape(30, 20, -1)
+        ys, xs = (np.arange(50) + 0.5) * (30 / 50) - 0.5, (np.arange(33) + 0.5) * (20 / 33) - 0.5
+        y0, x0 = np.clip(np.floor(ys).astype(int), 0, 29), np.clip(np.floor(xs).astype(int), 0, 19)
+        y1, x1 = np.clip(y0 + 1, 0, 29), np.clip(x0 + 1, 0, 19)
+        wy, wx = np.clip(ys - y0, 0, 1)[:, None, None], np.clip(xs - x0, 0, 1)[None, :, None]
+        top = a[y0][:, x0] * (1 - wx) + a[y0][:, x1] * wx
+        bot = a[y1][:, x0] * (1 - wx) + a[y1][:, x1] * wx
+        want, got = (top * (1 - wy) + bot * wy).astype(np.float32), D.resize_bilinear(img, 33, 50)
+        assert np.array_equal(got, want) and got.strides[:2] == want.strides[:2]
