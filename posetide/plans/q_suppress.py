@@ -81,8 +81,8 @@ def _oks_lambda(g: str, d: str) -> str:
   from pl a join pl b on a.image_id = b.image_id and a.pose_id < b.pose_id, vars)
 select image_id, id_a, id_b, {rnd_sql('oks')} oks from pr where oks > {OKS_THR}""")
 def q_oks_pairs(spark, d):
-    """OKS of every pose pair of an image that exceeds 0.5 — found by
-    the exact radius-bounded grid join, never all pairs."""
+    """OKS of every pose pair of an image that exceeds 0.5. Small images
+    pair their poses on the key, larger ones by the exact radius-bounded grid."""
     p = S.oks_pairs(fx.fx_poses(spark, d), OKS_THR)
     return p.where(F.col("oks") > OKS_THR).select(
         "image_id", F.least("src", "dst").alias("id_a"), F.greatest("src", "dst").alias("id_b"),
@@ -140,8 +140,8 @@ def q_soft_oks_nms(spark, d):
 
 @query("oks_nms_pair_graph", ORACLE_OKS_NMS)
 def q_oks_nms_pair_graph(spark, d):
-    """G5 through the distributed path only (radius-bounded grid join +
-    greedy rounds)."""
+    """G5 through the distributed path only (pair join, by the grid in large
+    images, + greedy rounds)."""
     return S.oks_nms(fx.fx_poses(spark, d), OKS_THR, small_group=0).select("image_id", "pose_id")
 
 
