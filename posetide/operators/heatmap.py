@@ -56,16 +56,20 @@ def blur_at(batch: np.ndarray, k: int, rows: np.ndarray, cols: np.ndarray) -> np
     """``blur`` of [N, H, W] maps at the cells rows [N, R] x cols [N, C] only,
     tap by tap in the same order: [N, R, C]."""
     g, p, (n, h, w) = gaussian_kernel_1d(k), k // 2, batch.shape
-    taps = np.arange(k)
-    ys = _reflect101_index(h, p)[rows[:, :, None] + taps]                  # [N, R, k]
-    xs = _reflect101_index(w, p)[cols[:, :, None] + taps]                  # [N, C, k]
-    at, out = np.arange(n)[:, None, None, None], 0.0
+    top, left = rows.min(axis=1, keepdims=True), cols.min(axis=1, keepdims=True)
+    high, wide = (int((v - first).max(initial=0)) + 1 for v, first in ((rows, top), (cols, left)))
+    # one window a map, which holds what all its cells read
+    ys = _reflect101_index(h, p)[np.minimum(top + np.arange(high + k - 1), h + 2 * p - 1)]
+    xs = _reflect101_index(w, p)[np.minimum(left + np.arange(wide + k - 1), w + 2 * p - 1)]
+    at = np.arange(n)[:, None, None]
+    window = batch[at, ys[:, :, None], xs[:, None, :]].astype(np.float64, copy=False)
+    out = np.zeros((n, high + k - 1, wide))
     for t in range(k):
-        out = out + g[t] * batch[at, ys[..., None], xs[:, None, None, :, t]]  # [N, R, k, C]
-    out2 = 0.0
+        out += g[t] * window[:, :, t:t + wide]
+    out2 = np.zeros((n, high, wide))
     for t in range(k):
-        out2 = out2 + g[t] * out[:, :, t]
-    return out2
+        out2 += g[t] * out[:, t:t + high]
+    return out2[at, (rows - top)[:, :, None], (cols - left)[:, None, :]]
 
 
 def modulate(batch: np.ndarray, k: int = 11) -> np.ndarray:

@@ -127,8 +127,14 @@ def video_poses(frames: DataFrame, url_col: str, fetcher=local_then_http, detect
              .join(frames.select("video_id", "frame_idx", url_col), ["video_id", "frame_idx"]))
     rp = C.round_pad_clip("x1", "y1", "x2", "y2", "img_w", "img_h")
     boxes = sized.select("video_id", "frame_idx", "track_id", url_col, *[v.alias(k) for k, v in rp.items()])
+    boxes = cut_lineage(boxes)  # tracked once, used twice
     joints = P.pose_urls(boxes, url_col, ["video_id", "frame_idx", "track_id"], fetcher, pose_model)
     if not smooth:
         return joints
+    # a box gives one sample a joint at most: series are counted in the boxes, not in
+    # the joints, whose pictures would be fetched and posed for it once more
+    longest = boxes.groupBy("video_id", "track_id").count().agg(F.max("count")).first()[0] or 0
+    if longest > T.LONG_SERIES:
+        joints = cut_lineage(joints)  # cut into segments in several passes
     # x and y smoothed in one sorted pass per (video, track, joint)
-    return T.one_euro(joints, ["video_id", "track_id", "joint"], "frame_idx", ["x", "y"])
+    return T.one_euro(joints, ["video_id", "track_id", "joint"], "frame_idx", ["x", "y"], long_series=T.LONG_SERIES, longest=longest)
