@@ -117,7 +117,14 @@ class DarkMaskSegmenter:
         pass
 
     def predict(self, images):
-        return [np.where(darkest(img) < 240, 255, 0).astype(np.uint8) for img in images]
+        out = []
+        for img in images:
+            mask, found = np.zeros(img.shape[:2], dtype=np.uint8), dark_extent(img, 240)
+            if found is not None:
+                part = np.s_[found[2]:found[3] + 1, found[0]:found[1] + 1]
+                mask[part] = (darkest(img[part]) < 240) * np.uint8(255)
+            out.append(mask)
+        return out
 
 
 class OnnxPredictor:
@@ -349,42 +356,45 @@ def score_images(df: DataFrame, url_col: str, keys: list[str], fetcher, detector
     detector = detector or DarkBlobDetector()
     kt = {c: t for c, t in df.dtypes}
     schema = ", ".join(f"{k} {kt[k]}" for k in keys) + ", " + SCORED_FIELDS
-    names = keys + [f.split()[0] for f in SCORED_FIELDS.split(", ")]
+    fields = [f.split()[0] for f in SCORED_FIELDS.split(", ")]
 
     def run(it):
         det = cached(detector)
         pose = cached(pose_model) if pose_model is not None else None
         seg = cached(segmenter) if segmenter is not None else None
-        for pdf in it:
-            rows = []
-            for _, r in pdf.iterrows():
-                meta = tuple(r[k] for k in keys)
+        def persons(urls, rows):
+            """A row a URL; (place, picture, box) of those with a person."""
+            for url in urls:
+                row = [None] * len(fields)
+                rows.append(row)
                 try:
-                    data = fetcher(r[url_col])
+                    data = fetcher(url)
                 except Exception:  # noqa: BLE001
-                    rows.append(meta + (None, None, "fetch", None, None, None, None, None, None, None, None))
+                    row[2] = "fetch"
                     continue
                 try:
                     img = decode_any(data)
                 except Exception:  # noqa: BLE001
-                    rows.append(meta + (None, None, "decode", None, None, None, None, None, None, None, None))
+                    row[2] = "decode"
                     continue
                 h, w = img.shape[:2]
                 if seg is not None:
                     img = composite_on_white(img, seg.predict([img])[0])
                 d = det.predict([img])[0]
                 d = d[(d[:, 5] == class_id) & (d[:, 4] > score_thr)] if len(d) else d
-                if len(d) == 0:
-                    rows.append(meta + (w, h, None, 0, None, None, None, None, None, None, None))
-                    continue
-                box = _pad_clip_np(d[0], w, h)
-                jx = jy = js = None
-                if pose is not None:
-                    res = _pose_in_box(pose, img, box)
-                    if res is not None:
-                        jx, jy, js = (list(map(float, a)) for a in res)
-                rows.append(meta + (w, h, None, int(len(d))) + box + (jx, jy, js))
-            yield pd.DataFrame(rows, columns=names)
+                row[0], row[1], row[3] = w, h, len(d)
+                if len(d):
+                    row[4:8] = _pad_clip_np(d[0], w, h)
+                    yield len(rows) - 1, img, tuple(row[4:8])
+
+        for pdf in it:
+            rows: list = []
+            found = persons(pdf[url_col], rows)
+            for n, res in (_posed(pose, found) if pose is not None else ((n, None) for n, _, _ in found)):
+                if res is not None:
+                    rows[n][-3:] = res
+            out = pd.DataFrame(rows, columns=fields, index=pdf.index)
+            yield pd.concat([pdf[keys], out], axis=1)
     return spread(df.select(*dict.fromkeys(keys + [url_col])), num_partitions).mapInPandas(run, schema)
 
 

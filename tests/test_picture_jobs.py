@@ -3,6 +3,7 @@
 import os
 import tempfile
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from posetide.operators import images as D
 from posetide.operators import score as P
 from posetide.operators.track import AdaptiveLowPass, AdaptiveLowPasses
 from posetide.plans import jobs as J
-from posetide.sources.images import block_png, decode_png, encode_png, frame_fetch
+from posetide.sources.images import block_png, decode_png, encode_png, frame_fetch, synthetic_fetch
 
 
 def _logging_fetch(log, fetch):
@@ -22,6 +23,15 @@ def _logging_fetch(log, fetch):
     return run
 
 
+def _watched_model(log):
+    class Watched(P.GridPoseModel):
+        def predict(self, images):
+            with open(log, "a") as f:
+                f.write(f"{len(images)}\n")
+            return P.GridPoseModel.predict(self, images)
+    return Watched()
+
+
 def _lines(log):
     with open(log) as f:
         return f.read().split()
@@ -46,6 +56,27 @@ def test_long_series_of_joints_are_stored_not_posed_again(spark, monkeypatch):
     assert set(Counter(_lines(log)).values()) == {2}
 
 
+def test_pictures_are_posed_together(spark):
+    log = os.path.join(tempfile.mkdtemp(prefix="posetide-cut-"), "calls")
+    urls = [f"/p/{i}.jpg" for i in range(40)] + [None, "/p/page.html"]
+    df = spark.createDataFrame(list(enumerate(urls)), "k long, u string").coalesce(1)
+    fetch = partial(synthetic_fetch, size=(400, 240))
+    got = {r.k: r for r in P.score_images(df, "u", ["k"], fetch, pose_model=_watched_model(log), segmenter=P.DarkMaskSegmenter(),
+                                          num_partitions=1).collect()}
+    assert sum(map(int, _lines(log))) == sum(r.jx is not None for r in got.values()) > 20
+    assert max(map(int, _lines(log))) == P.POSE_BATCH  # before: a call a picture
+    assert got[40].error == got[41].error == "fetch" and got[40].n_persons is None
+    for k in range(40):
+        img = decode_png(fetch(urls[k]))
+        img = D.composite_on_white(img, P.DarkMaskSegmenter().predict([img])[0])
+        d = P.DarkBlobDetector().predict([img])[0]
+        assert got[k].n_persons == len(d) and (got[k].img_w, got[k].img_h) == (400, 240)
+        if len(d):
+            box = P._pad_clip_np(d[0], 400, 240)
+            assert (got[k].bx1, got[k].by1, got[k].bx2, got[k].by2) == box
+            assert [got[k].jx, got[k].jy, got[k].js] == [a.tolist() for a in P._pose_in_box(P.GridPoseModel(), img, box)]
+
+
 def test_poses_of_maps_of_several_sizes_and_empty_boxes():
     class Model:
         def predict(self, images):
@@ -69,6 +100,21 @@ def test_grid_model_equals_the_plain_gaussians():
         assert np.allclose(hm, np.exp(-((xx - cx) ** 2 + (yy - cy) ** 2) / 8.0), rtol=2e-7, atol=1e-40)
 
 
+def test_blank_and_small_masks_are_not_blended(monkeypatch):
+    rng = np.random.default_rng(6)
+    img = rng.integers(0, 256, (30, 20, 3)).astype(np.uint8)
+    mask = np.zeros((30, 20), dtype=np.uint8)
+    soft = mask.copy()
+    soft[4:9, 3:7] = rng.integers(0, 256, (5, 4))
+    m = soft.astype(np.float32)[..., None] / 255
+    assert np.array_equal(D.composite_on_white(img, soft), (img.astype(np.float32) * m + 255.0 * (1 - m)).round().astype(np.uint8))
+    monkeypatch.setattr(D, "_blended", None)
+    assert (D.composite_on_white(img, mask) == 255).all()  # before: blended pixel by pixel
+    mask[4:9, 3:7] = 255
+    mask[6, 5] = 0
+    assert np.array_equal(D.composite_on_white(img, mask), np.where(mask[..., None] > 0, img, 255))
+
+
 @pytest.mark.parametrize("white", [240, 1])
 def test_dark_extent_equals_the_mask(white):
     rng = np.random.default_rng(7)
